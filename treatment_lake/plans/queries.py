@@ -11,9 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..functions.tags import GROUP, unwrap_group
 from ..operators import marts
-from ..operators.combos import add_combo_ids
+from ..operators import silver as sv
+from ..operators.combos import add_combo_ids, combo_ids, combo_label, registry_update
+from ..schemas import FLAT_COLUMNS, SILVER_COLUMNS
+from ..session import scratch_path
 from ..sources.adapter import flat_records
+from ..sources.items import read_items, write_items
 from ..sources.tables import Tables
 from .star import build_star
 
@@ -109,6 +116,131 @@ for _key, _table in [
     QUERIES[_key] = _star_table(_table)
 
 
+
+
+# --- silver path (A1, A4, B1-B3, U1-U2, I11-I16, F3-F4, Q5, P1) -------------
+
+def flat_t(spark, sf_dir) -> DataFrame:
+    return flat_records(Tables(spark, sf_dir))
+
+
+def bronze_t(spark, sf_dir) -> DataFrame:
+    """T as bronze rows (tagged groups), built in-query."""
+    return sv.bronze_from_items(sv.items_from_flat(flat_t(spark, sf_dir)), "t")
+
+
+def _text_columns(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+
+
+@query("unwrap_items")
+def q_unwrap_items(spark, sf_dir):
+    u = sv.unwrap_items(bronze_t(spark, sf_dir))
+    return u.select(F.col("treatment")["id"].alias("treatment_id"),
+                    F.col("treatment")["type"].alias("treatment_type"),
+                    F.col("treatment")["outcome_status"].alias("treatment_outcome_status"),
+                    F.col("treatment")["cost"].alias("treatment_cost"),
+                    F.col("treatment")["completion_date"].alias("treatment_completion_date"))
+
+
+@query("scan_items")
+def q_scan_items(spark, sf_dir):
+    path = scratch_path(spark, "items")
+    write_items(flat_t(spark, sf_dir), path)
+    b = sv.bronze_from_items(read_items(spark, path), "scan")
+    u = sv.unwrap_items(b)
+    return u.select(F.col("treatment")["id"].alias("treatment_id"),
+                    F.col("treatment")["type"].alias("treatment_type"),
+                    F.col("treatment")["outcome_status"].alias("treatment_outcome_status"),
+                    F.col("treatment")["cost"].alias("treatment_cost"),
+                    F.col("provider")["id"].alias("provider_id"),
+                    F.col("metadata")["modified_at"].alias("metadata_modified_at"))
+
+
+@query("unwrap_nested")
+def q_unwrap_nested(spark, sf_dir):
+    """events.props re-encoded as a nested M value and as an L list, parsed with
+    the fixed value schema and unwrapped natively."""
+    ev = Tables(spark, sf_dir).events.select("event_id", "props")
+    k = F.get_json_object("props", "$.k")
+    line = F.concat(F.lit('{"props_m":{"M":{"k":{"N":"'), k, F.lit('"}}},"props_l":{"L":[{"N":"'), k,
+                    F.lit('"}]}}'))
+    parsed = F.from_json(line, GROUP)
+    u = ev.select("event_id", unwrap_group(parsed).alias("g"))
+    return u.select("event_id",
+                    F.get_json_object(F.col("g")["props_m"], "$.k").alias("k"),
+                    F.get_json_object(F.col("g")["props_l"], "$[0]").alias("k_from_list"))
+
+
+@query("flatten_items")
+def q_flatten_items(spark, sf_dir):
+    return sv.flatten_items(sv.unwrap_items(bronze_t(spark, sf_dir)))
+
+
+def text_with_bad_values(spark, sf_dir) -> DataFrame:
+    """T's 30 columns as text, with unparsable values planted on data-defined rows."""
+    t = _text_columns(flat_t(spark, sf_dir), FLAT_COLUMNS)
+    status, typ, seg = F.col("treatment_outcome_status"), F.col("treatment_type"), F.col("patient_gender")
+    return t.select(
+        *[F.col(c) for c in FLAT_COLUMNS if c not in (
+            "treatment_cost", "treatment_start_date", "disease_mortality_rate", "patient_age",
+            "treatment_duration_in_days")],
+        F.when(status == "P", F.lit("abc")).otherwise(F.col("treatment_cost")).alias("treatment_cost"),
+        F.when((typ == "1-URGENT") & (status == "P"), F.lit("2024-13-01"))
+        .otherwise(F.col("treatment_start_date")).alias("treatment_start_date"),
+        F.when(seg == "BUILDING", F.lit("12345.67")).otherwise(F.col("disease_mortality_rate"))
+        .alias("disease_mortality_rate"),
+        F.when(seg == "MACHINERY", F.lit("x7")).otherwise(F.col("patient_age")).alias("patient_age"),
+        F.when(typ == "5-LOW", F.lit("99999999999")).otherwise(F.col("treatment_duration_in_days"))
+        .alias("treatment_duration_in_days"),
+    ).select(*FLAT_COLUMNS)
+
+
+@query("cast_types")
+def q_cast_types(spark, sf_dir):
+    return sv.cast_types(text_with_bad_values(spark, sf_dir))
+
+
+@query("safe_casts")
+def q_safe_casts(spark, sf_dir):
+    typed = sv.cast_types(text_with_bad_values(spark, sf_dir))
+    return typed.select("treatment_id", "treatment_cost", "treatment_start_date", "patient_age",
+                        "disease_mortality_rate", "treatment_duration_in_days")
+
+
+@query("cast_rejects")
+def q_cast_rejects(spark, sf_dir):
+    return sv.cast_rejects(text_with_bad_values(spark, sf_dir))
+
+
+@query("type_outcome_ids")
+def q_type_outcome_ids(spark, sf_dir):
+    return combo_ids(flat_t(spark, sf_dir))
+
+
+@query("combo_label")
+def q_combo_label(spark, sf_dir):
+    return flat_t(spark, sf_dir).select("treatment_id", combo_label().alias("combo"))
+
+
+@query("type_outcome_registry")
+def q_type_outcome_registry(spark, sf_dir):
+    """Ids of a first batch (finished and open orders), then the whole table arrives."""
+    flat = flat_t(spark, sf_dir)
+    first = combo_ids(flat.where(F.col("treatment_outcome_status").isin("F", "O")))
+    return registry_update(first, flat)
+
+
+@query("silver_treatments")
+def q_silver_treatments(spark, sf_dir):
+    return sv.to_silver(bronze_t(spark, sf_dir))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The end-to-end query used as the smoke entry."""
-    return q_provider_success_rate_rank(spark, sf_dir)
+    """End to end: tagged items -> silver -> star -> provider success-rate ranking."""
+    silver = sv.to_silver(bronze_t(spark, sf_dir))
+    star = build_star(silver)
+    return marts.provider_success_rate_rank(star["fact_treatments"], star["dim_providers"])
+
+
+__all__ = ["QUERIES", "flagship", "SILVER_COLUMNS"]

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_RECORDS = 5_000_000
 
@@ -54,7 +55,9 @@ def write_layout(df: DataFrame, path: str, distribute_by: Sequence[str] = (),
     write_table(out, path, mode)
 
 
-def bulk_append(df: DataFrame, target_columns: Sequence[str], path: str) -> None:
-    """Append by column name: missing target columns become NULL, extra ones are dropped."""
-    cols = [F.col(c) if c in df.columns else F.lit(None).alias(c) for c in target_columns]
+def bulk_append(df: DataFrame, target_schema: T.StructType, path: str) -> None:
+    """Append by column name, cast to the target types: a missing target column
+    becomes a typed NULL, an extra source column is dropped."""
+    cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in target_schema.fields]
     write_table(df.select(*cols), path, mode="append")

@@ -1,49 +1,21 @@
-"""Named queries over the driver tables, one per inventory operator.
-
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame. The input of
-most is "T": the treatment records the adapter derives from the driver
-tables, so every query's work grows with those tables.
-"""
+"""Named queries: marts, star tables and the silver path."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from ..functions.tags import GROUP, unwrap_group
 from ..operators import marts
 from ..operators import silver as sv
-from ..operators.combos import add_combo_ids, combo_ids, combo_label, registry_update
+from ..operators.combos import combo_ids, combo_label, registry_update
 from ..schemas import FLAT_COLUMNS, SILVER_COLUMNS
 from ..session import scratch_path
-from ..sources.adapter import flat_records
 from ..sources.items import read_items, write_items
 from ..sources.tables import Tables
+from .registry import QUERIES, bronze_t, flat_t, query, silver_t, star_t  # noqa: F401
 from .star import build_star
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-
-
-def query(name: str):
-    def register(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        return fn
-    return register
-
-
-def silver_t(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T: 31-column silver records derived from the driver tables."""
-    return add_combo_ids(flat_records(Tables(spark, sf_dir)))
-
-
-def star_t(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_star(silver_t(spark, sf_dir))
-
-
 # --- marts (E1-E7, F5) ------------------------------------------------------
 
 @query("provider_treatment_rank")
@@ -120,15 +92,6 @@ for _key, _table in [
 
 # --- silver path (A1, A4, B1-B3, U1-U2, I11-I16, F3-F4, Q5, P1) -------------
 
-def flat_t(spark, sf_dir) -> DataFrame:
-    return flat_records(Tables(spark, sf_dir))
-
-
-def bronze_t(spark, sf_dir) -> DataFrame:
-    """T as bronze rows (tagged groups), built in-query."""
-    return sv.bronze_from_items(sv.items_from_flat(flat_t(spark, sf_dir)), "t")
-
-
 def _text_columns(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in cols])
 

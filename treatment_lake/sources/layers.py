@@ -17,9 +17,13 @@ from ..schemas import WATERMARK_COLUMN
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               fmt: str = "parquet", glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Read a layer; with a schema, a missing or empty path gives an empty frame."""
-    reader = spark.read.format(fmt).option("ignoreCorruptFiles", "true")
+               fmt: str = "parquet", glob: str | None = None, recursive: bool = False,
+               ignore_corrupt: bool = False) -> DataFrame:
+    """Read a layer; with a schema, a missing or empty path gives an empty frame.
+    Unreadable files fail the job unless ``ignore_corrupt`` is set."""
+    reader = spark.read.format(fmt)
+    if ignore_corrupt:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
@@ -58,13 +62,17 @@ def with_file_facts(df: DataFrame) -> DataFrame:
                      F.col("_metadata.file_modification_time").alias("_file_mtime"))
 
 
-def latest_file_rows(df: DataFrame, by: str = "name") -> DataFrame:
-    """Rows of the newest file, by path name (``name``) or modification time (``mtime``).
+def latest_file_rows(df: DataFrame, by: str = "name", unit: str = "file") -> DataFrame:
+    """Rows of the newest file (``unit="file"``) or of the newest directory of
+    files - one Spark write (``unit="dir"``), by path name (``by="name"``) or
+    by modification time (``by="mtime"``).
 
-    One aggregate finds the newest file; a broadcast join of that single
-    row keeps the rows of that file - no collect, no second listing.
+    One aggregate finds the newest unit; a broadcast join of that single
+    row keeps its rows - no collect, no second listing.
     """
     facts = with_file_facts(df)
+    if unit == "dir":
+        facts = facts.withColumn("_file_path", F.regexp_extract("_file_path", r"^(.*)/[^/]*$", 1))
     if by == "name":
         newest = facts.agg(F.max("_file_path").alias("_pick"))
     else:

@@ -200,10 +200,16 @@ def q_silver_treatments(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """End to end: tagged items -> silver -> star -> provider success-rate ranking."""
-    silver = sv.to_silver(bronze_t(spark, sf_dir))
-    star = build_star(silver)
-    return marts.provider_success_rate_rank(star["fact_treatments"], star["dim_providers"])
+    """End to end through stored layers: item export -> bronze -> silver -> gold ->
+    marts; returns the provider success-rate ranking mart."""
+    from .end_to_end import FIXED_CLOCK, Layout, mart, run_once
+    from ..sources.items import write_items
+
+    items = scratch_path(spark, "export")
+    write_items(flat_t(spark, sf_dir), items)
+    layout = Layout(scratch_path(spark, "lake"))
+    run_once(spark, items, layout, run_id="flagship", clock=lambda: FIXED_CLOCK)
+    return mart(spark, layout, "provider_success_rate_rank")
 
 
 __all__ = ["QUERIES", "flagship", "SILVER_COLUMNS"]

@@ -70,6 +70,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ru
     step = ("transform", "bronze", "silver", bronze_root, silver_root)
     bronze = layers.read_run(layers.read_layer(spark, bronze_root, BRONZE_SCHEMA), run_id)
     typed = sv.cast_types(sv.flatten_items(sv.unwrap_items(bronze)))
+    wm = None
     if mode == "full":
         out = sv.add_combo_ids(typed)
     else:
@@ -92,4 +93,4 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ru
     after = layers.count_rows(spark, silver_root)
     if tracker:
         tracker.finished(*step, out.count(), after - before)
-    return {"run_id": run_id, "mode": mode, "rows": after - before}
+    return {"run_id": run_id, "mode": mode, "rows": after - before, "watermark_before": wm}

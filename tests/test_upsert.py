@@ -65,3 +65,23 @@ def test_versioned_table(spark, scratch):
     with pytest.raises(Exception):
         vt.commit(bad)
     assert rows(vt.read()) == [(1, "b", D2), (2, "c", D2)]
+
+
+def test_partitioned_upsert_rewrites_touched_and_moves_rows(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from treatment_lake.operators.upsert import PartitionedTable
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("m", T.IntegerType()),
+                           T.StructField("v", T.StringType())])
+    root = scratch("pt")
+    pt = PartitionedTable(spark, root, schema, "part", F.col("m"), scratch("stage"))
+    pt.upsert(spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c")], "k long, m int, v string"), ["k"])
+    # key 3 moves from partition 2 to 3 (partition 2 becomes empty); key 1 changes in place
+    pt.upsert(spark.createDataFrame([(3, 3, "c2"), (1, 1, "a2")], "k long, m int, v string"), ["k"])
+    assert rows(pt.read()) == [(1, 1, "a2"), (2, 1, "b"), (3, 3, "c2")]
+    import os
+    assert not os.path.exists(f"{root}/part=2")
+    # idempotent
+    pt.upsert(spark.createDataFrame([(3, 3, "c2"), (1, 1, "a2")], "k long, m int, v string"), ["k"])
+    assert rows(pt.read()) == [(1, 1, "a2"), (2, 1, "b"), (3, 3, "c2")]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators.fact import current_silver
 from ..operators.marts import build_marts
 from ..operators.tracker import Tracker
-from ..operators.upsert import VersionedTable
+from ..operators.upsert import PartitionedTable, VersionedTable
 from ..schemas import DIM_SCHEMAS, FACT_SCHEMA, PRIMARY_KEYS
 from .star import GOLD_ORDER, build_star
 
@@ -33,8 +33,18 @@ def gold_schema(name: str):
     return FACT_SCHEMA if name == "fact_treatments" else DIM_SCHEMAS[name]
 
 
-def gold_tables(spark: SparkSession, gold_root: str) -> dict[str, VersionedTable]:
-    return {n: VersionedTable(spark, f"{gold_root}/{n}", gold_schema(n)) for n in GOLD_ORDER}
+FACT_PARTITION = "start_month"
+
+
+def gold_tables(spark: SparkSession, gold_root: str) -> dict:
+    """Dimensions as versioned tables; the fact partitioned by start month
+    (yyyymm), so an incremental upsert rewrites only the months it touches."""
+    tables = {n: VersionedTable(spark, f"{gold_root}/{n}", gold_schema(n)) for n in GOLD_ORDER
+              if n != "fact_treatments"}
+    tables["fact_treatments"] = PartitionedTable(
+        spark, f"{gold_root}/fact_treatments", FACT_SCHEMA, FACT_PARTITION,
+        (F.col("start_date_sk") / 100).cast("int"), f"{gold_root}/_staging/fact_treatments")
+    return tables
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker: Tracker | None = None,
@@ -51,7 +61,10 @@ def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker:
             if tracker:
                 tracker.started(*step)
             try:
-                tables[name].upsert(src, keys, insert_only=name in INSERT_ONLY)
+                if name in INSERT_ONLY:
+                    tables[name].upsert(src, keys, insert_only=True)
+                else:
+                    tables[name].upsert(src, keys)
                 src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
                 src_n = src_keys.count()
                 dst_n = tables[name].read().select(*keys).join(src_keys, list(keys), "left_semi").count()

@@ -55,8 +55,9 @@ class Tracker:
                 src_n, dst_n, recon, now if done else None, now)
 
     def started(self, step, src_layer, dst_layer, src_table, dst_table, src_n=None) -> None:
+        """Record a STARTED row; it is written together with the step's outcome
+        (one small append per step instead of two)."""
         self.rows.append(self._row(step, src_layer, dst_layer, src_table, dst_table, "STARTED", src_n))
-        self.flush()
 
     def finished(self, step, src_layer, dst_layer, src_table, dst_table, src_n, dst_n) -> str:
         recon = reconcile(src_n, dst_n)

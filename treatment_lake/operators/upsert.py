@@ -98,6 +98,7 @@ class VersionedTable:
         return path
 
     def upsert(self, source: DataFrame, keys: Sequence[str], insert_only: bool = False) -> str:
+        """Merge ``source`` into a new version; returns its path."""
         cur = self.read()
         merged = insert_new_only(cur, source, keys) if insert_only else upsert_type1(cur, source, keys)
         return self.commit(merged)
@@ -160,9 +161,10 @@ class PartitionedTable:
         return df.select(*cols).withColumn(self.part_col, self.part_expr.cast("int"))
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> str:
+        """Merge ``source`` into the touched partitions; returns the table root."""
         src = self._typed(_non_null_keys(source, keys))
         if not self.exists():
-            write_table(src, self.root, mode="overwrite", partition_by=[self.part_col])
+            write_table(self._rebalanced(src), self.root, mode="overwrite", partition_by=[self.part_col])
             return self.root
         cur = self.read_stored()
         src_keys = src.select(*keys)
@@ -175,7 +177,7 @@ class PartitionedTable:
         in_touched = cur.where(F.col(self.part_col).isin(touched))  # partition pruning
         merged = in_touched.join(src_keys, list(keys), "left_anti").unionByName(src)
         stage = f"{self.stage_root}/stage-{uuid.uuid4().hex[:12]}"
-        write_table(merged, stage, mode="overwrite", partition_by=[self.part_col])
+        write_table(self._rebalanced(merged), stage, mode="overwrite", partition_by=[self.part_col])
         staged = self.spark.read.schema(self._stored_schema()).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").partitionBy(self.part_col).parquet(self.root))
@@ -183,6 +185,12 @@ class PartitionedTable:
         self._drop_partitions([v for v in touched if v not in kept])
         return self.root
 
+    def _rebalanced(self, df: DataFrame) -> DataFrame:
+        """Cluster rows by partition value before a partitioned write; AQE splits
+        a large partition value over several tasks and merges small ones, so
+        files are few and sized by ``advisoryPartitionSizeInBytes``."""
+        return df.hint("rebalance", self.part_col)
+
     def _drop_partitions(self, values: list) -> None:
         if not values:
             return

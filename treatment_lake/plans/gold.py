@@ -47,13 +47,22 @@ def gold_tables(spark: SparkSession, gold_root: str) -> dict:
     return tables
 
 
+def verify_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(source rows with a key, how many of them the written target holds) in one job:
+    source keys left-joined to the target's keys (both reduced to keys only)."""
+    src = source.select(*keys).where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    hit = target.select(*keys).withColumn("_hit", F.lit(1))
+    r = src.join(hit, list(keys), "left").agg(F.count(F.lit(1)).alias("n"), F.count("_hit").alias("h")).first()
+    return int(r["n"]), int(r["h"])
+
+
 def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker: Tracker | None = None,
                time_source: DataFrame | None = None, time_cols: list[str] | None = None,
                silver_name: str = "silver") -> dict[str, VersionedTable]:
     tables = gold_tables(spark, gold_root)
     cur = current_silver(silver).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        star = build_star(cur, time_source, time_cols)
+        star = build_star(cur, time_source, time_cols, silver_is_current=True)
         for name in GOLD_ORDER:
             keys = PRIMARY_KEYS[name]
             src = star[name]
@@ -65,9 +74,7 @@ def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker:
                     tables[name].upsert(src, keys, insert_only=True)
                 else:
                     tables[name].upsert(src, keys)
-                src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
-                src_n = src_keys.count()
-                dst_n = tables[name].read().select(*keys).join(src_keys, list(keys), "left_semi").count()
+                src_n, dst_n = verify_keys(src, tables[name].read(), keys)
             except Exception:
                 if tracker:
                     tracker.failed(*step)

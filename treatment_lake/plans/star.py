@@ -20,14 +20,16 @@ GOLD_ORDER = (
 
 
 def build_star(silver: DataFrame, time_source: DataFrame | None = None,
-               time_cols: list[str] | None = None) -> dict[str, DataFrame]:
+               time_cols: list[str] | None = None, silver_is_current: bool = False) -> dict[str, DataFrame]:
     """All nine gold source frames from ``silver``.
 
     ``time_source``/``time_cols`` let the time dimension read other
     timestamps (e.g. event times) when silver's are all midnight.
+    ``silver_is_current`` skips the fact's latest-version pick when the
+    input already holds one row per treatment.
     """
     star = {name: DIM_BUILDERS[name](silver) for name in GOLD_ORDER if name != "fact_treatments"}
     if time_source is not None:
         star["dim_times"] = DIM_BUILDERS["dim_times"](time_source, time_cols or ["ts"])
-    star["fact_treatments"] = fact_rows(silver)
+    star["fact_treatments"] = fact_rows(silver, dedupe=not silver_is_current)
     return star

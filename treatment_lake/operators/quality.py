@@ -59,17 +59,46 @@ def check_orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_co
         .select(F.col(child_col).alias("orphan_key"), "n")
 
 
+def _labelled_keys(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(foreign_key, key) rows: ``df`` unpivoted over the given (label, column)
+    pairs in one projection (``stack``), NULL keys dropped."""
+    parts = ", ".join(f"'{label}', CAST(`{col}` AS BIGINT)" for label, col in pairs)
+    return (df.selectExpr(f"stack({len(pairs)}, {parts}) AS (foreign_key, key)")
+            .where(F.col("key").isNotNull()))
+
+
 def check_all_orphans(children: Mapping[str, DataFrame], parents: Mapping[str, DataFrame],
                       foreign_keys: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Orphans for every declared foreign key, labelled ``child.column``.
     Child tables come from ``children``, parent tables from ``parents``
-    (pass the same mapping twice to check one star against itself)."""
-    out = None
-    for child, ccol, parent, pcol in foreign_keys:
-        if child not in children or parent not in parents:
-            continue
-        o = check_orphans(children[child], ccol, parents[parent], pcol) \
-            .select(F.lit(f"{child}.{ccol}").alias("foreign_key"),
-                    F.col("orphan_key").cast("long").alias("orphan_key"), "n")
-        out = o if out is None else out.unionByName(o)
-    return out
+    (pass the same mapping twice to check one star against itself).
+
+    Each child table is scanned once: all of its foreign-key columns are
+    unpivoted into (foreign_key, key) rows and counted per pair with a single
+    grouped aggregate (partial on the map side, so a hot key is one row per
+    task). Parent keys are unpivoted the same way, each parent column once,
+    and one anti join on (foreign_key, key) finds the orphans.
+    """
+    fks = [fk for fk in foreign_keys if fk[0] in children and fk[2] in parents]
+    if not fks:
+        return None
+    by_child: dict[str, list[tuple[str, str]]] = {}
+    for child, ccol, _, _ in fks:
+        by_child.setdefault(child, []).append((f"{child}.{ccol}", ccol))
+    per_key = None
+    for child, pairs in by_child.items():
+        k = _labelled_keys(children[child], pairs)
+        per_key = k if per_key is None else per_key.unionByName(k)
+    per_key = per_key.groupBy("foreign_key", "key").agg(F.count(F.lit(1)).alias("n"))
+
+    # One branch per parent table: its key column labelled with every
+    # foreign key that references it.
+    by_parent: dict[tuple[str, str], list[str]] = {}
+    for child, ccol, parent, pcol in fks:
+        by_parent.setdefault((parent, pcol), []).append(f"{child}.{ccol}")
+    known = None
+    for (parent, pcol), labels in by_parent.items():
+        k = _labelled_keys(parents[parent], [(label, pcol) for label in labels])
+        known = k if known is None else known.unionByName(k)
+    return (per_key.join(known, ["foreign_key", "key"], "left_anti")
+            .select("foreign_key", F.col("key").alias("orphan_key"), "n"))

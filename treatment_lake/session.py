@@ -16,21 +16,29 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "treatment_lake", extra: dict | None = None) -> SparkSession:
     """A session tuned for this workload.
 
     AQE re-plans joins from runtime sizes (a dimension becomes a broadcast
     only when its measured size is below the threshold), coalesces small
     shuffle partitions and splits skewed ones.
+
+    ``master`` and ``shuffle_partitions`` are applied only when given: on a
+    cluster the submitter's master and partition count stay in force (a
+    large initial count that AQE coalesces by ``advisoryPartitionSizeInBytes``
+    is the right shape at scale); tests and the bench pass ``local[N]``.
     """
+    builder = SparkSession.builder
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

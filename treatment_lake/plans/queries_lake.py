@@ -216,6 +216,7 @@ def q_file_filter(spark, sf_dir):
     return layers.read_layer(spark, root, events.schema, glob="*.parquet", recursive=True)
 
 
+@query("pipeline_silver")
 @query("source_to_silver")
 def q_source_to_silver(spark, sf_dir):
     """Item export -> bronze run -> silver table, read back."""

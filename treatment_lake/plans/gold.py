@@ -7,23 +7,27 @@ reconciled: the expected count is the step's own deduplicated source
 keys the target holds after the upsert. A failed step raises, so no later
 step runs on a half-built star.
 
-The current silver rows are persisted once for the nine steps and released
-afterwards (a lost executor's blocks are recomputed from lineage).
+The current silver rows (one per treatment) are written once as a snapshot
+table under the shared ``spark.checkpoint.dir`` folder and read by all nine
+steps: the dedupe runs once, the steps' lineage starts at that table, and a
+lost executor costs a re-read of files, not a recompute of the dedupe. The
+snapshot is removed when the build ends.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fact import current_silver
 from ..operators.marts import build_marts
+from ..operators.sinks import write_table
 from ..operators.tracker import Tracker
 from ..operators.upsert import PartitionedTable, VersionedTable
 from ..schemas import DIM_SCHEMAS, FACT_SCHEMA, PRIMARY_KEYS
+from ..session import scratch_path
 from .star import GOLD_ORDER, build_star
 
 INSERT_ONLY = ("dim_dates", "dim_times")
@@ -60,7 +64,10 @@ def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker:
                time_source: DataFrame | None = None, time_cols: list[str] | None = None,
                silver_name: str = "silver") -> dict[str, VersionedTable]:
     tables = gold_tables(spark, gold_root)
-    cur = current_silver(silver).persist(StorageLevel.MEMORY_AND_DISK)
+    snap = scratch_path(spark, "current-silver")
+    cur_rows = current_silver(silver)
+    write_table(cur_rows, snap)
+    cur = spark.read.schema(cur_rows.schema).parquet(snap)
     try:
         star = build_star(cur, time_source, time_cols, silver_is_current=True)
         for name in GOLD_ORDER:
@@ -82,10 +89,16 @@ def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker:
             if tracker:
                 tracker.finished(*step, src_n, dst_n)
     finally:
-        cur.unpersist()
+        _remove(spark, snap)
     return tables
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_marts(spark: SparkSession, tables: dict[str, VersionedTable], mart_root: str,
                 success_ids: Sequence[int] = (1,), success_statuses: Sequence[str] | None = None,
                 tracker: Tracker | None = None) -> dict[str, str]:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from treatment_lake.operators.quality import check_lengths, check_not_null, check_orphans, check_unique
+from treatment_lake.operators.quality import (check_all_orphans, check_lengths, check_not_null, check_orphans,
+                                              check_unique)
 from treatment_lake.operators.tracker import Tracker, latest_status, reconcile
 from treatment_lake.schemas import TRACKER_SCHEMA
 
@@ -21,6 +22,22 @@ def test_checks(spark):
     assert rows(check_orphans(df, "k", parent, "k")) == [(1, 2)]
 
 
+def test_all_orphans_one_pass_per_table(spark, scratch):
+    path = scratch("child")
+    spark.createDataFrame([(1, 10, 100), (1, 11, None), (2, 10, 101), (3, None, 100)],
+                          "a long, b long, c long").write.parquet(path)
+    child = spark.read.parquet(path)
+    dim_a = spark.createDataFrame([(1,), (2,)], "k long")
+    dim_bc = spark.createDataFrame([(10,), (100,)], "k long")
+    fks = [("t", "a", "da", "k"), ("t", "b", "dbc", "k"), ("t", "c", "dbc", "k"), ("t", "a", "missing", "k")]
+    out = check_all_orphans({"t": child}, {"da": dim_a, "dbc": dim_bc}, fks)
+    # a=3, b=11 and c=101 have no parent; NULL keys are never orphans; a FK
+    # to an unknown parent is skipped
+    assert rows(out) == [("t.a", 3, 1), ("t.b", 11, 1), ("t.c", 101, 1)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] parquet") == 1  # the child (the only Parquet input) is scanned once
+
+
 def test_reconcile_rule():
     assert reconcile(5, 5) == "MATCH"
     assert reconcile(5, 4) == "MISMATCH"

@@ -79,3 +79,24 @@ def test_silver_plan_has_no_python_udf(spark):
 
     plan = sv.to_silver(bronze_t(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_fused_flatten_equals_unwrap_then_flatten(spark):
+    """``flatten_tagged`` (pick a field, unwrap it) == unwrap every map, then pick."""
+    from treatment_lake.functions.tags import BRONZE_SCHEMA
+
+    rows_json = [
+        {"treatment": {"id": {"N": "1"}, "type": {"S": "A"}, "cost": {"NULL": True},
+                       "outcome_status": {"L": [{"S": "x"}, {"N": "2"}]}},
+         "provider": {"id": {"N": "7"}, "full_name": {"M": {"k": {"S": "v"}, "z": {"NULL": True}}}},
+         "patient": {"gender": {"SS": ["f", "m"]}, "age": {"BOOL": True}}},
+        {"treatment": {"id": {"N": "2"}}, "disease": None},
+        {},
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in rows_json], "j string") \
+        .select(F.from_json("j", BRONZE_SCHEMA).alias("b")).select("b.*")
+    fused = sv.flatten_tagged(df)
+    ref = sv.flatten_items(sv.unwrap_items(df))
+    assert fused.columns == ref.columns
+    assert sorted(map(tuple, fused.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+    assert fused.exceptAll(ref).count() == 0 and ref.exceptAll(fused).count() == 0

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tags import tag_value, unwrap_group
+from ..functions.tags import tag_value, unwrap_group, value_text
 from ..schemas import (COMBO_ID, FLAT_COLUMNS, ITEM_GROUPS, PARTITION_KEY_ATTR, SILVER_COLUMNS,
                        SILVER_TYPES)
 from .combos import add_combo_ids
@@ -43,6 +43,19 @@ def flatten_items(unwrapped: DataFrame) -> DataFrame:
     return unwrapped.select(*cols)
 
 
+def flatten_tagged(bronze: DataFrame) -> DataFrame:
+    """``flatten_items(unwrap_items(bronze))`` in one projection: each field's
+    tagged value is picked from its group map first and only that value is
+    unwrapped, so no row rebuilds a whole map through a lambda (higher-order
+    functions are evaluated without codegen)."""
+    cols = []
+    for g, fields in ITEM_GROUPS.items():
+        for f in fields:
+            src = value_text(F.col(g)[f]) if g in bronze.columns else F.lit(None).cast("string")
+            cols.append(src.alias(f"{g}_{f}"))
+    return bronze.select(*cols)
+
+
 def cast_types(flat: DataFrame) -> DataFrame:
     """Text -> silver types with ``try_cast``: a bad value becomes NULL
     (see ``cast_rejects``) instead of failing the job under ANSI mode."""
@@ -66,8 +79,7 @@ def cast_rejects(flat_text: DataFrame) -> DataFrame:
 
 def to_silver(bronze: DataFrame) -> DataFrame:
     """P1: unwrap -> flatten -> combination id -> cast; 31 silver columns."""
-    flat = flatten_items(unwrap_items(bronze))
-    typed = cast_types(flat)
+    typed = cast_types(flatten_tagged(bronze))
     return add_combo_ids(typed).select(*SILVER_COLUMNS)
 
 
@@ -97,5 +109,5 @@ def items_json(flat: DataFrame) -> DataFrame:
         .select(F.concat(F.lit('{"Item":'), F.col("_item"), F.lit("}")).alias("value"))
 
 
-__all__ = ["bronze_from_items", "unwrap_items", "flatten_items", "cast_types", "cast_rejects",
+__all__ = ["bronze_from_items", "unwrap_items", "flatten_items", "flatten_tagged", "cast_types", "cast_rejects",
            "to_silver", "items_from_flat", "items_json", "COMBO_ID", "FLAT_COLUMNS"]

@@ -61,7 +61,7 @@ def q_incremental_scan(spark, sf_dir):
     """Items whose nested modified_at lies in (lo, hi]."""
     items = sv.items_from_flat(flat_t(spark, sf_dir))
     picked = scan_items_window(items, SCAN_LO, SCAN_HI)
-    flat = sv.cast_types(sv.flatten_items(sv.unwrap_items(sv.bronze_from_items(picked))))
+    flat = sv.cast_types(sv.flatten_tagged(sv.bronze_from_items(picked)))
     return flat.select("treatment_id", "metadata_modified_at")
 
 
@@ -158,7 +158,7 @@ def q_bronze_roundtrip(spark, sf_dir):
 def q_read_run(spark, sf_dir):
     bronze = layers.read_layer(spark, _bronze_two_runs(spark, sf_dir), BRONZE_SCHEMA)
     one = layers.read_run(bronze, "r2")
-    return sv.cast_types(sv.flatten_items(sv.unwrap_items(one)))
+    return sv.cast_types(sv.flatten_tagged(one))
 
 
 @query("silver_roundtrip")

@@ -69,7 +69,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ru
     mode = layers.load_mode(spark, silver_root)
     step = ("transform", "bronze", "silver", bronze_root, silver_root)
     bronze = layers.read_run(layers.read_layer(spark, bronze_root, BRONZE_SCHEMA), run_id)
-    typed = sv.cast_types(sv.flatten_items(sv.unwrap_items(bronze)))
+    typed = sv.cast_types(sv.flatten_tagged(bronze))
     wm = None
     if mode == "full":
         out = sv.add_combo_ids(typed)

@@ -16,9 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .ranking import with_rank
+from .sinks import write_table
+
 COMBO_SK = "treatment_type_and_outcome_status_sk"
 
 
@@ -125,15 +129,22 @@ def avg_cost_per_provider(fact: DataFrame, dim_providers: DataFrame) -> DataFram
 
 def provider_rank_with_position(fact, dim_providers, dim_combo=None, success_ids=(1,),
                                 success_statuses=None) -> DataFrame:
-    """E2 plus rank columns. The window runs over one row per provider."""
+    """E2 plus rank columns, ``rank()`` by total treatments and
+    ``dense_rank()`` by success rate (both descending, NULL last).
+
+    The provider set grows with the data, so the ranks are not a global
+    window (one task) but distributed value ranks (``operators/ranking.py``).
+    The per-provider rates are written once and both ranks read that table.
+    """
     rates = provider_success_rates(fact, dim_providers, dim_combo, success_ids, success_statuses)
-    w_total = Window.orderBy(F.desc("total_treatments"))
-    w_rate = Window.orderBy(F.desc_nulls_last("success_rate"))
-    return rates.select(
-        "provider_id", "provider_full_name", "total_treatments", "success_rate",
-        F.rank().over(w_total).cast("long").alias("treatment_rank"),
-        F.dense_rank().over(w_rate).cast("long").alias("success_rank"),
-    )
+    spark = rates.sparkSession
+    path = scratch_path(spark, "provider-rates")
+    write_table(rates, path)
+    rates = spark.read.schema(rates.schema).parquet(path)
+    ranked = with_rank(spark, rates, "total_treatments", "treatment_rank")
+    ranked = with_rank(spark, ranked, "success_rate", "success_rank", dense=True)
+    return ranked.select("provider_id", "provider_full_name", "total_treatments", "success_rate",
+                         "treatment_rank", "success_rank")
 
 
 MART_NAMES = (

@@ -13,7 +13,7 @@ from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, SILVER_LENGTHS, TRACKER_SCHEMA
 from ..session import scratch_path
 from ..sources.tables import Tables
 from .gold import build_gold
-from .registry import query, silver_t, star_t
+from .registry import query, silver_snapshot, silver_t, star_t
 from .star import GOLD_ORDER, build_star
 
 
@@ -35,7 +35,7 @@ def q_check_lengths(spark, sf_dir):
 @query("check_orphans")
 def q_check_orphans(spark, sf_dir):
     """The full star's child keys against dimensions loaded from finished orders only."""
-    silver = silver_t(spark, sf_dir)
+    silver = silver_snapshot(spark, sf_dir)
     children = build_star(silver)
     parents = build_star(silver.where(F.col("treatment_outcome_status") == "F"))
     return check_all_orphans(children, parents, FOREIGN_KEYS)
@@ -57,7 +57,7 @@ def _count_rows_by_step(frames: list[tuple[str, str, DataFrame]]) -> DataFrame:
 @query("reconcile_counts")
 def q_reconcile_counts(spark, sf_dir):
     """The reference rule: all silver rows vs all rows of the built table."""
-    silver = silver_t(spark, sf_dir)
+    silver = silver_snapshot(spark, sf_dir)
     star = build_star(silver)
     frames = []
     for name in GOLD_ORDER:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import silver as sv
 from ..operators.combos import add_combo_ids
+from ..operators.sinks import write_table
+from ..session import scratch_path
 from ..sources.adapter import flat_records
 from ..sources.tables import Tables
 from .star import build_star
@@ -38,6 +40,16 @@ def silver_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_combo_ids(flat_t(spark, sf_dir))
 
 
+def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T written once as a table in the shared folder and read back: queries
+    that derive several stars from T scan it instead of re-running the
+    adapter joins per table (and their lineage starts at the files)."""
+    rows = silver_t(spark, sf_dir)
+    path = scratch_path(spark, "silver-snapshot")
+    write_table(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T as bronze rows (tagged groups), built in-query."""
     return sv.bronze_from_items(sv.items_from_flat(flat_t(spark, sf_dir)), "t")

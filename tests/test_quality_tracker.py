@@ -56,3 +56,13 @@ def test_tracker_latest_status(spark, scratch):
     assert t.count() == 4
     got = {r["step"]: (r["status"], r["reconciliation_status"]) for r in latest_status(t).collect()}
     assert got == {"dim_dates": ("SUCCESS", "MATCH"), "fact": ("FAILED", None)}
+
+
+def test_session_keeps_cluster_settings(spark):
+    """Without arguments ``build_session`` neither forces a master nor resets the
+    shuffle partition count of the session it joins."""
+    from treatment_lake.session import build_session
+
+    before = (spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions"))
+    s = build_session()
+    assert (s.sparkContext.master, s.conf.get("spark.sql.shuffle.partitions")) == before

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, packing  # noqa: F401
+from . import exact_dedup, langid, packing, topk  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

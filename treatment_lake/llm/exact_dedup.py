@@ -28,8 +28,12 @@ from ..session import scratch_path
 from .registry import query, stored, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# state on disk; many small stores: no preallocated files, and a commit uploads its changes only
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def ascii_lower(text: Column) -> Column:
@@ -60,8 +64,9 @@ def stream_state(spark: SparkSession, arrivals: str, schema, state_dir: str) ->
     def publish(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{state_dir}/changes/batch={number}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         (spark.readStream.schema(schema).parquet(arrivals)
          .groupBy("key").agg(_best(), F.count(F.lit(1)).alias("rows_seen"))
@@ -69,10 +74,8 @@ def stream_state(spark: SparkSession, arrivals: str, schema, state_dir: str) ->
          .option("checkpointLocation", f"{state_dir}/checkpoint").trigger(availableNow=True)
          .start().awaitTermination())
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     located = "struct<known:boolean,doc_id:{},row:bigint,file:string>".format(schema["doc_id"].dataType.simpleString())
     changes = spark.read.schema(f"key string, best {located}, rows_seen bigint, batch bigint").parquet(f"{state_dir}/changes")
     # rows_seen only grows, so the newest version of a key is the one with the largest count

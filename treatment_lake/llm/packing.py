@@ -41,8 +41,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .registry import query, stored, table
+from .worker import memo
 
-CACHE_ENTRIES = 400_000  # distinct words whose ids a worker remembers; cleared when full, never wrong
+CACHE_ENTRIES = 600_000  # distinct words whose ids a worker remembers; cleared when full, never wrong
 
 
 class WordIds(dict):
@@ -81,7 +82,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, window: int, gr
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    words, seen = WordIds(path), Counter()
+    words, seen = memo(("words", path), lambda: WordIds(path)), Counter()
     part = TaskContext.get().partitionId()
     end = _le([end_id])
     for batch in batches:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, packing, sentencepiece_fst, topk  # noqa: F401
+from . import exact_dedup, langid, packing, sentencepiece_fst, topk, url_filter  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -43,34 +43,63 @@ from ..session import scratch_path
 from .registry import query, stored, table
 from .worker import memo
 
-CACHE_ENTRIES = 600_000  # distinct words whose ids a worker remembers; cleared when full, never wrong
+CACHE_ENTRIES = 1_000_000  # distinct words whose ids a worker remembers; cleared when full, never wrong
+SLICE = 1_000_000  # characters tokenised at once
+BETWEEN = "<|startoftext|>"  # a special token of the vocabulary
 
 
 class WordIds(dict):
-    """Ids of a white-space-free chunk as little-endian uint32 bytes.
+    """Ids of white-space-free chunks as little-endian uint32 bytes.
 
     The tokenizer's rules never look across a space or a line feed, so a
-    text's ids are those of its chunks in a row."""
+    text's ids are those of its chunks in a row; chunks not seen before go to
+    the tokenizer together."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        if len(chunk) > 64:
-            return _le(ids)
-        self[chunk] = out = _le(ids)
-        return out
-
-    def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        self.between = self.tokenizer.token_to_id(BETWEEN)
+        self[""] = b""
+
+    def learn(self, chunks: list[str]) -> None:
+        """Many chunks in one call, a special token between them; chunks that may hold one themselves go alone."""
+        plain = [c for c in chunks if "<|" not in c] if self.between is not None else []
+        for c in chunks:
+            if "<|" in c or self.between is None:
+                self[c] = _le(self.tokenizer.encode(c, add_special_tokens=False).ids)
+        for at in range(0, len(plain), 10_000):
+            part = plain[at:at + 10_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([BETWEEN.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.between).tolist()
+            raw = ids.tobytes()
+            self.update((c, raw[4 * a:4 * z]) for c, a, z in zip(part, [0, *(x + 1 for x in cuts)], [*cuts, len(ids)]))
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*split).difference(self)
+        if new:
+            if len(self) + len(new) > CACHE_ENTRIES:
+                self.clear()
+                self[""] = b""
+                new = set().union(*split).difference(self)
+            self.learn(list(new))
+        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
+
+
+def slices(texts: list[str | None]) -> Iterator[list[str]]:
+    """Runs of texts of about SLICE characters; a longer text is alone."""
+    out, size = [], 0
+    for text in texts:
+        text = text or ""
+        if out and size + len(text) > SLICE:
+            yield out
+            out, size = [], 0
+        out.append(text)
+        size += len(text)
+    if out:
+        yield out
 
 
 def _le(ids: list[int]) -> bytes:
@@ -87,8 +116,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, window: int, gr
     end = _le([end_id])
     for batch in batches:
         owner, start, length, crc, total, unit, nth = ([] for _ in range(7))
-        for row, text in enumerate(batch.column(1)):
-            ids = words.of(text.as_py()) + end
+        encoded = (ids for part in slices(batch.column(1).to_pylist()) for ids in words.of(part))
+        for row, ids in enumerate(encoded):
+            ids += end
             n = len(ids) // 4
             for a in range(0, n, window):
                 b = min(n, a + window)

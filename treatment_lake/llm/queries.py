@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, langid, packing, quality, sentencepiece_fst, topk, url_filter  # noqa: F401
+from . import exact_dedup, jaccard_join, langid, packing, quality, sentencepiece_fst, suffix_trees, topk, url_filter  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

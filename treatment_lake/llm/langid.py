@@ -165,10 +165,11 @@ def cosines(texts: list[str], model: dict, space: Space) -> np.ndarray:
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
+    """The last column is the text; the others pass through, then come the language and its score."""
     space = Space(model["dims"], model["seed"])
     for batch in batches:
         langs, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
-        texts = ((r, x.as_py()) for r, x in enumerate(batch.column(2)))
+        texts = ((r, x.as_py()) for r, x in enumerate(batch.column(batch.num_columns - 1)))
         for rows, part in slices((r, t) for r, t in texts if t and model["langs"]):
             cos = cosines(part, model, space)
             lettered = ~np.isnan(cos).any(axis=1)
@@ -176,25 +177,35 @@ def _predict(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.Reco
             for j, row in enumerate(rows):
                 if lettered[j]:
                     langs[row], scores[row] = model["langs"][best[j]], min(1.0, max(0.0, cos[j, best[j]]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs), pa.array(scores)],
-                                         names=["doc_id", "held_out", "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs), pa.array(scores)],
+                                         names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
 
 def held_out(id_col: str, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, held_out, lang_pred, score`` (the cosine, not below 0)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(lambda it: _predict(it, model), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+def taught(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return docs.where(~held_out(id_col) & F.col(id_col).isNotNull())
+
+
+def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """One row per document: ``doc_id, held_out, lang_pred, score`` (the cosine, not below 0).
+
+    ``carry``: columns to pass through instead of the first two."""
+    if carry is None:
+        rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+        names = ["doc_id", "held_out"]
+    else:
+        rows, names = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("text")), carry
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    out = rows.mapInArrow(lambda it: _predict(it, model), f"{kinds}, lang_pred string, score double")
+    return out.toDF(*names, "lang_pred", "score")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dims: int = 1024) -> DataFrame:
     """Learns from the labelled documents that are not held out, predicts for all."""
-    train = docs.where(~held_out(id_col) & F.col(id_col).isNotNull())
-    return predict(docs, learn(train, text_col, lang_col, dims), id_col, text_col)
+    return predict(docs, learn(taught(docs, id_col), text_col, lang_col, dims), id_col, text_col)
 
 
 @query("op3_language_id")

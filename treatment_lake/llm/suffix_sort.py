@@ -59,6 +59,8 @@ def depth_words(heads: np.ndarray, at: np.ndarray, depth: int):
 
 def sort_directly(heads: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes ``at`` in the order of their first ``depth`` bytes; each word only orders what is still tied."""
+    if not len(at):
+        return at
     order, rank, tied = at, np.zeros(len(at), np.int64), np.arange(len(at))
     for column in depth_words(heads, at, depth):
         pass_ = column[tied]

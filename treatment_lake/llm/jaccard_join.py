@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .components import components
-from .marks import gram_hashes, merged_marks, shared_marks
+from .marks import Extract, gram_hashes, merged_marks, shared_marks
 from .registry import query, stored, table
 from .worker import memo
 
@@ -78,12 +78,12 @@ def shingles(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(gram_hashes(x, k))
 
 
-def extractor(k: int) -> Callable[[str], tuple[bytes, np.ndarray]]:
+def extractor(k: int) -> Extract:
     hashes = memo(("word hashes",), WordHashes)
 
-    def extract(text: str) -> tuple[bytes, np.ndarray]:
-        own = shingles(text.encode("utf-8", "surrogatepass").lower().split(), k, hashes)
-        return xxhash.xxh3_128_digest(own.tobytes()), own
+    def extract(texts: list[str]) -> list[tuple[bytes, np.ndarray]]:
+        own = [shingles(t.encode("utf-8", "surrogatepass").lower().split(), k, hashes) for t in texts]
+        return [(xxhash.xxh3_128_digest(x.tobytes()), x) for x in own]
 
     return extract
 
@@ -330,8 +330,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
         edges = edges.unionByName(small_links(sets, percent, small_up_to))
     same = info.where("n > 0").groupBy("text_key").agg(F.min("doc_id").alias("first"))
     classes = components(spark, edges)
-    first_of = same.join(classes, F.col("first") == F.col("node"), "left").select(
-        F.col("text_key").alias("_key"), F.coalesce("component", "first").alias("component_id"))
+    # stored, so that the join below reads a plain shuffle on both sides and a hot key can be split
+    first_of = stored(spark, same.join(classes, F.col("first") == F.col("node"), "left").select(
+        F.col("text_key").alias("_key"), F.coalesce("component", "first").alias("component_id")), scratch_path(spark, "jaccard-classes"))
     out = (info.join(first_of, F.col("text_key") == F.col("_key"), "left")
            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
     nameless = docs.where(F.col(id_col).isNull()).select(F.col(text_col).alias("text"))
@@ -342,7 +343,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
 def _nameless(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     extract = extractor(words)
     for f in frames:
-        n = [len(extract(t or "")[1]) for t in f["text"]]
+        n = [len(x) for _, x in extract([t or "" for t in f["text"]])]
         none = pd.Series([None] * len(n), dtype="Int64")
         yield pd.DataFrame({"doc_id": none, "n_shingles": n, "component_id": none})
 

@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .marks import slices
 from .registry import query, table
 
-SLICE = 1_000_000  # characters handled at once by a worker
 MAX_LANGUAGES = 2000  # a label set larger than this is an error, not a language column
 
 
@@ -60,19 +60,6 @@ class Space:
         return out
 
 
-def slices(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
-    """Runs of (row, text) of about SLICE characters; a longer text is alone."""
-    rows, out, size = [], [], 0
-    for row, text in texts:
-        if out and size + len(text) > SLICE:
-            yield rows, out
-            rows, out, size = [], [], 0
-        rows.append(row), out.append(text)
-        size += len(text)
-    if out:
-        yield rows, out
-
-
 def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(trigram codes, the text each belongs to, alphabet). The alphabet's entry 0 is the blank."""
     low = [f" {t.lower()} " for t in texts]

@@ -14,18 +14,34 @@ than one entry per worker batch and different text.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .worker import memo
+
 FLUSH = 4_000_000  # marks that a worker gathers before it sends them
 SCHEMA = "doc_id long, text_key binary, size long, marks binary, counts binary"
 
-#: text -> (16-byte key of what counts as the same text, the text's distinct marks)
-Extract = Callable[[str], tuple[bytes, np.ndarray]]
+#: texts -> for each a 16-byte key of what counts as the same text and its distinct marks
+Extract = Callable[[list[str]], list[tuple[bytes, np.ndarray]]]
+SLICE = 1_000_000  # characters handled at once
+
+
+def slices(texts: Iterable[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
+    """Runs of (row, text) of about SLICE characters; a longer text is alone."""
+    rows, out, size = [], [], 0
+    for row, text in texts:
+        if out and size + len(text) > SLICE:
+            yield rows, out
+            rows, out, size = [], [], 0
+        rows.append(row), out.append(text)
+        size += len(text)
+    if out:
+        yield rows, out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -60,6 +76,27 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(low[:len(low) - rest], low[rest:]) if rest else low
 
 
+ODD = 0x9E3779B97F4A7C15
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def piece_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each piece of ``raw``: the sum of random values of its bytes times powers of an odd number by place."""
+    n = len(raw)
+
+    def powers(base: int) -> np.ndarray:
+        out = memo(("powers", base), lambda: [np.ones(1, np.uint64)])
+        if len(out[0]) <= n:
+            steps = np.full(n + n // 4 + 1, base, np.uint64)
+            steps[0] = 1
+            out[0] = np.multiply.accumulate(steps)
+        return out[0]
+
+    sums = np.zeros(n + 1, np.uint64)
+    np.add.accumulate(BYTE_VALUES[np.frombuffer(raw, np.uint8)] * powers(ODD)[:n], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * powers(pow(ODD, -1, 1 << 64))[starts])
+
+
 def planes(x: np.ndarray) -> bytes:
     """Integers by byte position: neighbours are alike, so the shuffle compresses them."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
@@ -107,8 +144,9 @@ def _spread(batches: Iterator[pa.RecordBatch], make_extract: Callable[[], Extrac
     ids, keys, marks, seen, held = [], [], [], {}, 0
     copies: list[tuple[int, bytes, int]] = []
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            key, own = extract(text.as_py() or "")
+        doc_ids = batch.column(0).to_pylist()
+        texts = ((i, t.as_py() or "") for i, t in enumerate(batch.column(1)))
+        for doc_id, (key, own) in ((doc_ids[i], x) for rows, some in slices(texts) for i, x in zip(rows, extract(some))):
             at = seen.get(key)
             if at is not None:  # equal texts: the smallest id goes on, the others only report their key
                 doc_id, ids[at] = max(doc_id, ids[at]), min(doc_id, ids[at])

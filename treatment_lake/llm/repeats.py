@@ -23,7 +23,7 @@ A window that a third of all documents share is one item per block in steps
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,12 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .jaccard_join import WordHashes
-from .marks import gram_hashes, merged_marks, mix, planes, shared_marks, sliding_min, unplaned
+from .marks import Extract, gram_hashes, merged_marks, mix, piece_hashes, planes, shared_marks, slices, sliding_min, unplaned
 from .registry import stored
-from .worker import memo
 
-BLOCK_BYTES = 2_000_000  # text of one block
+BLOCK_BYTES = 4_000_000  # text of one block
 GROUP_WINDOWS = 400_000  # windows (with one per block counted) that one group of the exact method takes
 
 
@@ -51,48 +49,65 @@ def unsqueeze(x: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(x)
 
 
+class Tokens:
+    """The tokens of a text whose bytes are ``raw``; ``starts`` and ``ends`` are the words' places (none: every byte is one)."""
+
+    def __init__(self, raw: bytes, starts: np.ndarray | None = None, ends: np.ndarray | None = None):
+        self.raw, self.starts, self.ends = raw, starts, ends
+
+    def __len__(self) -> int:
+        return len(self.raw) if self.starts is None else len(self.starts)
+
+    def pieces(self, first: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The bytes of the tokens [first, end) of each pair (never empty)."""
+        if self.starts is not None:
+            first, end = self.starts[first], self.ends[end - 1]
+        raw = self.raw
+        return [raw[a:z] for a, z in zip(first.tolist(), end.tolist())]
+
+
 class Bytes:
     """Tokens are the bytes of a text."""
 
+    between = b""
+
     def __init__(self, width: int, k: int):
         self.width, self.k = width, k
 
-    def split(self, raw: bytes) -> bytes:
+    def plain(self, raw: bytes) -> bytes:
         return raw
 
-    def join(self, tokens: bytes) -> bytes:
-        return tokens
-
-    def text_key(self, raw: bytes, tokens: bytes) -> bytes:
-        return xxhash.xxh3_128_digest(raw)
+    def count(self, plain: bytes) -> int:
+        return len(plain)
 
-    def numbers(self, tokens: bytes) -> np.ndarray:
-        return np.frombuffer(tokens, np.uint8).astype(np.uint64) + np.uint64(1)
+    def tokens(self, plain: bytes) -> Tokens:
+        return Tokens(plain)
 
-    def concat(self, parts: list[bytes]) -> bytes:
-        return b"".join(parts)
+    def numbers(self, tokens: Tokens) -> np.ndarray:
+        return np.frombuffer(tokens.raw, np.uint8).astype(np.uint64) + np.uint64(1)
 
 
 class Words:
-    """Tokens are the words of a text: what stands between ASCII white space."""
+    """Tokens are the words of a text, what stands between ASCII white space; plain: one space between words."""
 
+    between = b" "
     def __init__(self, width: int, k: int):
         self.width, self.k = width, k
 
-    def split(self, raw: bytes) -> list[bytes]:
-        return raw.split()
+    def plain(self, raw: bytes) -> bytes:
+        return b" ".join(raw.split())
 
-    def join(self, tokens: list[bytes]) -> bytes:
-        return b" ".join(tokens)
+    def count(self, plain: bytes) -> int:
+        return plain.count(b" ") + 1 if plain else 0
 
-    def text_key(self, raw: bytes, tokens: list[bytes]) -> bytes:
-        return xxhash.xxh3_128_digest(b" ".join(tokens))
+    def tokens(self, plain: bytes) -> Tokens:
+        if not plain:
+            return Tokens(plain, np.empty(0, np.int64), np.empty(0, np.int64))
+        spaces = np.flatnonzero(np.frombuffer(plain, np.uint8) == 32)
+        return Tokens(plain, np.r_[0, spaces + 1], np.r_[spaces, len(plain)])
 
-    def numbers(self, tokens: list[bytes]) -> np.ndarray:
-        return memo(("word hashes",), WordHashes).of(tokens)
-
-    def concat(self, parts: list[list[bytes]]) -> list[bytes]:
-        return [w for p in parts for w in p]
+    def numbers(self, tokens: Tokens) -> np.ndarray:
+        return piece_hashes(tokens.raw, tokens.starts, tokens.ends)
 
 
 def samples(kind, x: np.ndarray) -> np.ndarray:
@@ -102,11 +117,28 @@ def samples(kind, x: np.ndarray) -> np.ndarray:
     return sliding_min(gram_hashes(x, kind.k), kind.width - kind.k + 1)
 
 
-def extractor(kind) -> Callable[[str], tuple[bytes, np.ndarray]]:
-    def extract(text: str) -> tuple[bytes, np.ndarray]:
-        raw = text.encode("utf-8", "surrogatepass")
-        tokens = kind.split(raw)
-        return kind.text_key(raw, tokens), np.unique(samples(kind, kind.numbers(tokens)))
+def text_key(plain: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(plain)
+
+
+def sampled(kind, plains: list[bytes]) -> tuple[Tokens, np.ndarray, np.ndarray, np.ndarray]:
+    """Of several texts put in a row: all tokens, all windows' samples, each text's first token and number of windows."""
+    n = np.fromiter(map(kind.count, plains), np.int64, len(plains))
+    tokens = kind.tokens(kind.between.join(p for p in plains if p))
+    return tokens, samples(kind, kind.numbers(tokens)), np.cumsum(n) - n, np.maximum(n - kind.width + 1, 0)
+
+
+def extractor(kind) -> Extract:
+    def extract(texts: list[str]) -> list[tuple[bytes, np.ndarray]]:
+        plains = [kind.plain(t.encode("utf-8", "surrogatepass")) for t in texts]
+        _, marks, first, windows = sampled(kind, plains)
+        out = []
+        for plain, a, n in zip(plains, first.tolist(), windows.tolist()):
+            own = marks[a:a + n]
+            if n > 1:
+                own = np.unique(own[np.r_[True, own[1:] != own[:-1]]])
+            out.append((text_key(plain), own))
+        return out
     return extract
 
 
@@ -125,23 +157,20 @@ class Block:
     doc: np.ndarray
     first: np.ndarray
     windows: np.ndarray
-    tokens: object
+    tokens: Tokens
 
-    def pack(self, kind) -> bytes:
-        return squeeze(pickle.dumps((self.ids, self.parts, self.doc, self.first, self.windows, kind.join(self.tokens))))
+    def pack(self) -> bytes:
+        return squeeze(pickle.dumps((self.ids, self.parts, self.doc, self.first, self.windows, self.tokens.raw)))
 
     @staticmethod
     def unpack(raw: bytes, kind) -> Block:
-        *rest, tokens = pickle.loads(unsqueeze(raw))
-        return Block(*rest, kind.split(tokens))
+        *rest, plain = pickle.loads(unsqueeze(raw))
+        return Block(*rest, kind.tokens(plain))
 
     def places(self, kind) -> tuple[np.ndarray, np.ndarray]:
         """For each window its place in ``tokens`` and its run."""
-        length = self.windows + kind.width - 1
-        at = np.cumsum(length) - length
         run = np.repeat(np.arange(len(self.windows)), self.windows)
-        inside = np.arange(len(run)) - np.repeat(np.cumsum(self.windows) - self.windows, self.windows)
-        return at[run] + inside, run
+        return np.arange(len(run)) + run * (kind.width - 1), run
 
     def only(self, flags: np.ndarray, kind) -> Block:
         """The runs of flagged windows."""
@@ -152,8 +181,8 @@ class Block:
             starts, ends = np.sort(np.r_[starts, inner]), np.sort(np.r_[ends, inner])
         own = run[starts]
         begin = np.cumsum(self.windows) - self.windows
-        tokens = kind.concat([self.tokens[place[a]:place[a] + (z - a) + kind.width - 1] for a, z in zip(starts, ends)])
-        return Block(self.ids, self.parts, self.doc[own], self.first[own] + starts - begin[own], (ends - starts).astype(np.int64), tokens)
+        plain = kind.between.join(self.tokens.pieces(place[starts], place[starts] + (ends - starts) + kind.width - 1))
+        return Block(self.ids, self.parts, self.doc[own], self.first[own] + starts - begin[own], ends - starts, kind.tokens(plain))
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch], kind, block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -166,27 +195,29 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], kind, block_bytes: int) -> Ite
 
     def flush() -> pa.RecordBatch:
         nonlocal held, size, number
-        ids = np.array([h[0] for h in held], np.int64)
         doc = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
-        block = Block(ids, [h[1] for h in held], doc, np.concatenate([h[2] for h in held]).astype(np.int64),
-                      np.concatenate([h[3] for h in held]).astype(np.int64), kind.concat([p for h in held for p in h[4]]))
-        out = pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "data": [block.pack(kind)],
+        block = Block(np.array([h[0] for h in held], np.int64), [h[1] for h in held], doc, np.concatenate([h[2] for h in held]),
+                      np.concatenate([h[3] for h in held]), Tokens(kind.between.join(p for h in held for p in h[4])))
+        out = pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "data": [block.pack()],
                                           "n": pa.array([int(block.windows.sum())], pa.int64())})
         held, size, number = [], 0, number + 1
         return out
 
     for batch in batches:
-        for doc_id, text, part, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            raw = text.as_py().encode("utf-8", "surrogatepass")
-            tokens = kind.split(raw)
-            if kind.text_key(raw, tokens)[:6] != part:
-                continue
-            shared = np.frombuffer(b"".join(marks), np.uint64)
-            starts, ends = stretches(np.isin(samples(kind, kind.numbers(tokens)), shared))
-            held.append((doc_id, part, starts, ends - starts, [tokens[a:z + kind.width - 1] for a, z in zip(starts, ends)]))
-            size += sum(len(kind.join(p)) for p in held[-1][4])
-            if size >= block_bytes:
-                yield flush()
+        ids, parts, found = (batch.column(i).to_pylist() for i in (0, 2, 3))
+        texts = ((i, t.as_py()) for i, t in enumerate(batch.column(1)))
+        for rows, some in slices(texts):
+            plains = [kind.plain(t.encode("utf-8", "surrogatepass")) for t in some]
+            tokens, marks, first, windows = sampled(kind, plains)
+            for i, plain, a, n in zip(rows, plains, first.tolist(), windows.tolist()):
+                if not n or text_key(plain)[:6] != parts[i]:
+                    continue
+                starts, ends = stretches(np.isin(marks[a:a + n], np.frombuffer(b"".join(found[i]), np.uint64)))
+                pieces = tokens.pieces(a + starts, a + ends + kind.width - 1)
+                held.append((ids[i], parts[i], starts, ends - starts, pieces))
+                size += sum(map(len, pieces))
+                if size >= block_bytes:
+                    yield flush()
     if held:
         yield flush()
 
@@ -250,7 +281,7 @@ def _refine(batches: Iterator[pa.RecordBatch], kind) -> Iterator[pa.RecordBatch]
                 raise ValueError("a block and its flags differ")
             left = block.only(flags[which], kind)
             if len(left.windows):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "data": [left.pack(kind)],
+                yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "data": [left.pack()],
                                                   "n": pa.array([int(left.windows.sum())], pa.int64())})
 
 
@@ -270,8 +301,12 @@ class Method:
         """(items as bytes, answers per item, smallest id per item, group per item, for each window its item and answer in it)"""
         raise NotImplementedError
 
-    def solve(self, items: list[bytes], ids: np.ndarray, kind) -> list[np.ndarray]:
-        """For each item the smallest id of each of its windows over all items."""
+    def answers_of(self, item: bytes, kind) -> int:
+        """Number of an item's windows."""
+        return 1
+
+    def solve(self, items: list[bytes], ids: np.ndarray, kind) -> np.ndarray:
+        """For each window of each item the smallest id of its window over all items."""
         raise NotImplementedError
 
 
@@ -337,9 +372,10 @@ def _solve_group(rows: pa.Table, method: Method, kind) -> pa.Table:
         items += part
         sizes.append(len(part)), ids.append(unplaned(unsqueeze(own), "int64"))
     answers = method.solve(items, np.concatenate(ids), kind)
+    ends = np.cumsum(np.r_[0, [method.answers_of(x, kind) for x in items]])
     out, at = [], 0
     for n in sizes:
-        out.append(squeeze(planes(np.concatenate(answers[at:at + n]).astype(np.int64))))
+        out.append(squeeze(planes(answers[ends[at]:ends[at + n]])))
         at += n
     return pa.table({"block": rows["block"], "grp": rows["grp"], "answers": pa.array(out, pa.binary())})
 
@@ -366,7 +402,7 @@ def _spans(batches: Iterator[pa.RecordBatch], method: Method, heavy: dict, group
             at[by] = np.cumsum(per_item[by]) - per_item[by]
             doc = block.doc[run]
             gone = answers[at[item] + inside] < block.ids[doc]
-            start = (block.first[run] + place - (np.cumsum(block.windows + kind.width - 1) - block.windows - kind.width + 1)[run])[gone]
+            start = (block.first[run] + np.arange(len(run)) - (np.cumsum(block.windows) - block.windows)[run])[gone]
             doc = doc[gone]
             out: dict[str, list] = {"doc_id": [], "text_part": [], "starts": [], "ends": []}
             for d in np.unique(doc):
@@ -388,7 +424,9 @@ def find_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, buc
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = stored(spark, shared_marks(named, lambda: extractor(kind), buckets), scratch_path(spark, "repeat-marks"))
     info = found.where("size IS NOT NULL").select("doc_id", "text_key")
-    first = info.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    # stored, so that the join below reads a plain shuffle on both sides and a hot key can be split
+    first = stored(spark, info.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                   .where("first < last").select("text_key", "first"), scratch_path(spark, "repeat-copies"))
     copies = (info.join(first, "text_key").where("doc_id > first")
               .select("doc_id", F.substring("text_key", 1, 6).alias("text_part")).distinct())
     chosen = merged_marks(found).select("doc_id", "text_part", "marks")
@@ -416,16 +454,19 @@ def _cut(batches: Iterator[pa.RecordBatch], kind, carried: int) -> Iterator[pa.R
     for batch in batches:
         out: dict[str, list] = {"n": [], "n_removed": [], "n_spans": [], "starts": [], "ends": [], "kept": []}
         for text, found in zip(batch.column(carried), batch.column(carried + 1).to_pylist()):
-            raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            tokens = kind.split(raw)
-            key, n = kind.text_key(raw, tokens)[:6], len(tokens)
-            starts, ends = [], []
-            for r in found or ():
-                if r["text_part"] == key:
-                    starts, ends = ([0], [n]) if r["copy"] and n >= kind.width else ([], []) if r["copy"] else (r["starts"], r["ends"])
-            kept = kind.concat([tokens[a:z] for a, z in zip([0, *ends], [*starts, n])]) if starts else tokens
+            plain = kind.plain((text.as_py() or "").encode("utf-8", "surrogatepass"))
+            n, starts, ends, kept = kind.count(plain), [], [], plain
+            if found:
+                key = text_key(plain)[:6]
+                for r in found:
+                    if r["text_part"] == key:
+                        starts, ends = ([0], [n]) if r["copy"] and n >= kind.width else ([], []) if r["copy"] else (r["starts"], r["ends"])
+            if starts:
+                edges = np.array([[0, *ends], [*starts, n]], np.int64)
+                first, end = edges[:, edges[0] < edges[1]]
+                kept = kind.between.join(kind.tokens(plain).pieces(first, end))
             out["n"].append(n), out["n_spans"].append(len(starts)), out["n_removed"].append(sum(ends) - sum(starts))
-            out["starts"].append(starts), out["ends"].append(ends), out["kept"].append(kind.join(kept))
+            out["starts"].append(starts), out["ends"].append(ends), out["kept"].append(kept)
         cols = [pa.array(out[k], pa.int64()) for k in ("n", "n_removed", "n_spans")]
         cols += [pa.array(out[k], pa.list_(pa.int64())) for k in ("starts", "ends")] + [pa.array(out["kept"], pa.binary())]
         yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(carried)] + cols,

@@ -147,7 +147,8 @@ class SuffixSort(Method):
         size = np.diff(np.r_[first, len(place)])
         begin, end = place[first].tolist(), (place[first] + size + self.width - 1).tolist()
         known: dict[tuple[bytes, int], int] = {}
-        which = np.fromiter((known.setdefault((block.tokens[a:z], g), len(known)) for a, z, g in zip(begin, end, group[first].tolist())),
+        raw = block.tokens.raw
+        which = np.fromiter((known.setdefault((raw[a:z], g), len(known)) for a, z, g in zip(begin, end, group[first].tolist())),
                             np.int64, len(first))
         ids = np.full(len(known), np.iinfo(np.int64).max)
         np.minimum.at(ids, which, block.ids[block.doc[run[first]]])
@@ -156,7 +157,10 @@ class SuffixSort(Method):
         segment = np.cumsum(new) - 1
         return [s for s, _ in known], per_item, ids, of, which[segment], np.arange(len(place)) - first[segment]
 
-    def solve(self, items: list[bytes], ids: np.ndarray, kind: Bytes) -> list[np.ndarray]:
+    def answers_of(self, item: bytes, kind: Bytes) -> int:
+        return len(item) - self.width + 1
+
+    def solve(self, items: list[bytes], ids: np.ndarray, kind: Bytes) -> np.ndarray:
         known: dict[bytes, int] = {}
         which = np.fromiter((known.setdefault(s, len(known)) for s in items), np.int64, len(items))
         least = np.full(len(known), np.iinfo(np.int64).max)
@@ -172,8 +176,7 @@ class SuffixSort(Method):
         smallest = np.minimum.reduceat(least[owner[order]], start)
         answer = np.empty(len(text), np.int64)
         answer[order] = np.repeat(smallest, np.diff(np.r_[start, len(order)]))
-        per_known = [answer[a:a + n - self.width] for a, n in zip(begin, length)]
-        return [per_known[i] for i in which]
+        return np.concatenate([answer[a:z] for a, z in zip(begin[which].tolist(), (begin + length - self.width)[which].tolist())])
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50,

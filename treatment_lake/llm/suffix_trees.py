@@ -36,30 +36,33 @@ def common_words(a: list[bytes], b: list[bytes]) -> int:
     return n
 
 
-def suffix_tree(suffixes: list[list[bytes]], ids: list[int]) -> list[tuple[int, int, int, int]]:
-    """Internal nodes (depth in words, first and end suffix, smallest id) of the tree of sorted suffixes."""
+def suffix_tree(suffixes: list[bytes], ids: list[int], width: int, least_depth: int = 1) -> list[tuple[int, int, int, int]]:
+    """Internal nodes (depth in words, first and end suffix, smallest id) of the tree of sorted suffixes of at most
+    ``width`` words that are at least ``least_depth`` words deep; of the shallower ones nothing is built."""
     nodes, stack = [], []  # open nodes: [depth, first, smallest id]
-    for i, suffix in enumerate(suffixes):
-        depth = common_words(suffixes[i - 1], suffix) if i else 0
-        first, least = i, ids[i]
-        if i:
-            first, least = i - 1, ids[i - 1]
+
+    def close(depth: int, end: int) -> int | None:
+        first = None
         while stack and stack[-1][0] > depth:
-            d, f, m = stack.pop()
-            nodes.append((d, f, i, m))
-            first = f
-            least = min(least, m)
+            d, first, least = stack.pop()
+            nodes.append((d, first, end, least))
             if stack:
-                stack[-1][2] = min(stack[-1][2], m)
-        if i and depth and (not stack or stack[-1][0] < depth):
-            stack.append([depth, first, least])
-        if stack:
-            stack[-1][2] = min(stack[-1][2], ids[i], ids[i - 1] if i else ids[i])
-    while stack:
-        d, f, m = stack.pop()
-        nodes.append((d, f, len(suffixes), m))
-        if stack:
-            stack[-1][2] = min(stack[-1][2], m)
+                stack[-1][2] = min(stack[-1][2], least)
+        return first
+
+    for i in range(1, len(suffixes)):
+        if suffixes[i] == suffixes[i - 1]:
+            depth = width
+        elif least_depth < width:
+            depth = common_words(suffixes[i - 1].split(b" "), suffixes[i].split(b" "))
+        else:
+            depth = 0
+        first = close(depth, i)
+        if depth >= least_depth:
+            if not stack or stack[-1][0] < depth:
+                stack.append([depth, i - 1 if first is None else first, ids[i - 1] if first is None else nodes[-1][3]])
+            stack[-1][2] = min(stack[-1][2], ids[i])
+    close(0, len(suffixes))
     return nodes
 
 
@@ -72,22 +75,21 @@ class PrefixTrees(Method):
 
     def items(self, block: Block, place: np.ndarray, run: np.ndarray, group: np.ndarray, common: np.ndarray, kind: Words):
         known: dict[bytes, int] = {}
-        words, width = block.tokens, kind.width
-        item = np.fromiter((known.setdefault(b" ".join(words[p:p + width]), len(known)) for p in place.tolist()), np.int64, len(place))
+        windows = block.tokens.pieces(place, place + kind.width) if len(place) else []
+        item = np.fromiter((known.setdefault(w, len(known)) for w in windows), np.int64, len(place))
         ids = np.full(len(known), np.iinfo(np.int64).max)
         np.minimum.at(ids, item, block.ids[block.doc[run]])
         of = np.empty(len(known), np.int64)
         of[item] = group
         return list(known), np.ones(len(known), np.int64), ids, of, item, np.zeros(len(place), np.int64)
 
-    def solve(self, items: list[bytes], ids: np.ndarray, kind: Words) -> list[np.ndarray]:
+    def solve(self, items: list[bytes], ids: np.ndarray, kind: Words) -> np.ndarray:
         order = sorted(range(len(items)), key=items.__getitem__)
         answers = ids.copy()
-        nodes = suffix_tree([items[i].split(b" ") for i in order], ids[order].tolist())
-        for depth, first, end, least in nodes:
-            if depth >= kind.width:
-                answers[order[first:end]] = least
-        return [answers[i:i + 1] for i in range(len(items))]
+        order_ids = np.array(order, np.int64)
+        for _, first, end, least in suffix_tree([items[i] for i in order], ids[order_ids].tolist(), kind.width, kind.width):
+            answers[order_ids[first:end]] = least
+        return answers
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13,

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import array
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -40,12 +41,74 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .marks import piece_hashes
 from .registry import query, stored, table
 from .worker import memo
 
 CACHE_ENTRIES = 1_000_000  # distinct words whose ids a worker remembers; cleared when full, never wrong
-SLICE = 1_000_000  # characters tokenised at once
+SLICE = 2_000_000  # characters tokenised at once
 BETWEEN = "<|startoftext|>"  # a special token of the vocabulary
+WORD_END = "</w>"  # ends the last token of every word, in this vocabulary
+
+#: Latin texts without apostrophes: letters that normalisation leaves alone but for their case, ASCII digits and
+#: punctuation. Their words are the runs of letters, the runs of punctuation and the single digits.
+PLAIN = re.compile("[\t\n\r -&(-~\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+KIND = np.full(256, 2, np.uint8)  # of a byte of such a text: 0 blank, 1 letter, 2 punctuation, 3 digit
+KIND[[9, 10, 13, 32]] = 0
+KIND[[*range(97, 123), *range(128, 256)]] = 1
+KIND[48:58] = 3
+
+
+class LatinIds:
+    """Ids of plain Latin texts, many texts at a time: words are found and told apart (by a 64-bit hash) with array
+    operations, and only words not seen before go to the tokenizer."""
+
+    def __init__(self, tokenizer):
+        vocabulary = tokenizer.get_vocab()
+        self.tokenizer, self.ends = tokenizer, np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith(WORD_END)
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.ids, self.at, self.count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self, hashes: list[int], words: list[str]) -> None:
+        parts, counts = [], []
+        for a in range(0, len(words), 10_000):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words[a:a + 10_000])], add_special_tokens=False)[0].ids, np.uint32)
+            parts.append(ids)
+            counts.append(np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
+        n = np.concatenate(counts)
+        if len(n) != len(words):
+            raise ValueError("the vocabulary does not end each word with one token")
+        self.slots.update(zip(hashes, range(len(self.slots), len(self.slots) + len(n))))
+        self.at = np.r_[self.at, len(self.ids) + np.cumsum(n) - n]
+        self.count, self.ids = np.r_[self.count, n], np.concatenate([self.ids, *parts])
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        low = [t.lower().encode() for t in texts]
+        raw = b" ".join(low) + b" "
+        kind = KIND[np.frombuffer(raw, np.uint8)]
+        single, word = kind == 3, kind != 0
+        starts = np.flatnonzero(word & (single | np.r_[True, kind[1:] != kind[:-1]]))
+        ends = np.flatnonzero(word & (single | np.r_[kind[1:] != kind[:-1], True])) + 1
+        hashes, first, which = np.unique(piece_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        if len(self.slots) + len(hashes) > CACHE_ENTRIES:
+            self.forget()
+        keys = hashes.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.slots]
+        if new:
+            places = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self.learn([keys[i] for i in new], [raw[a:z].decode() for a, z in places])
+        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))
+        n, at = self.count[slot][which], self.at[slot][which]
+        upto = np.r_[0, np.cumsum(n)]
+        ids = self.ids[np.repeat(at - upto[:-1], n) + np.arange(upto[-1])].astype("<u4").tobytes()
+        text_starts = np.cumsum([0, *(len(t) + 1 for t in low)])
+        cuts = (4 * upto[np.searchsorted(starts, text_starts)]).tolist()
+        return [ids[a:z] for a, z in zip(cuts, cuts[1:])]
 
 
 class WordIds(dict):
@@ -61,6 +124,7 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.token_to_id(BETWEEN)
+        self.latin = LatinIds(self.tokenizer) if self.tokenizer.get_vocab_size() and "a" + WORD_END in self.tokenizer.get_vocab() else None
         self[""] = b""
 
     def learn(self, chunks: list[str]) -> None:
@@ -77,6 +141,13 @@ class WordIds(dict):
             self.update((c, raw[4 * a:4 * z]) for c, a, z in zip(part, [0, *(x + 1 for x in cuts)], [*cuts, len(ids)]))
 
     def of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        plain = [self.latin is not None and "<|" not in t and PLAIN.fullmatch(t) is not None for t in texts]
+        done = iter(self.latin.of([t for t, p in zip(texts, plain) if p]) if any(plain) else ())
+        rest = iter(self.by_chunks([t for t, p in zip(texts, plain) if not p]))
+        return [next(done if p else rest) for p in plain]
+
+    def by_chunks(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         new = set().union(*split).difference(self)
         if new:

@@ -37,7 +37,6 @@ from ..session import scratch_path
 from .marks import Extract, gram_hashes, merged_marks, mix, piece_hashes, planes, shared_marks, slices, sliding_min, unplaned
 from .registry import stored
 
-BLOCK_BYTES = 4_000_000  # text of one block
 GROUP_WINDOWS = 400_000  # windows (with one per block counted) that one group of the exact method takes
 
 
@@ -70,6 +69,7 @@ class Bytes:
     """Tokens are the bytes of a text."""
 
     between = b""
+    block_bytes = 750_000  # text of one block: a worker holds a dozen arrays of as many 8-byte numbers
 
     def __init__(self, width: int, k: int):
         self.width, self.k = width, k
@@ -91,6 +91,7 @@ class Words:
     """Tokens are the words of a text, what stands between ASCII white space; plain: one space between words."""
 
     between = b" "
+    block_bytes = 4_000_000
     def __init__(self, width: int, k: int):
         self.width, self.k = width, k
 
@@ -414,13 +415,13 @@ def _spans(batches: Iterator[pa.RecordBatch], method: Method, heavy: dict, group
 
 
 def find_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, buckets: int | None = None,
-                 block_bytes: int = BLOCK_BYTES, group_windows: int = GROUP_WINDOWS) -> DataFrame:
+                 block_bytes: int | None = None, group_windows: int = GROUP_WINDOWS) -> DataFrame:
     """Of ``docs`` (``doc_id`` long, ``text``): ``doc_id, text_part, starts, ends, copy``.
 
     Spans of tokens that windows with a smaller first id cover; ``copy`` is
     true (and the spans null) where the whole text equals that of a smaller
     id. Documents without either have no row."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, block_bytes = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), block_bytes or kind.block_bytes
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = stored(spark, shared_marks(named, lambda: extractor(kind), buckets), scratch_path(spark, "repeat-marks"))
     info = found.where("size IS NOT NULL").select("doc_id", "text_key")

@@ -97,6 +97,36 @@ def piece_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix((sums[ends] - sums[starts]) * powers(pow(ODD, -1, 1 << 64))[starts])
 
 
+class IdStore:
+    """Ids of byte strings that recur: told apart by a 64-bit hash, made by ``solve`` when first met, looked up with
+    array operations. ``solve`` takes strings and returns their ids in a row and the number of each."""
+
+    def __init__(self, solve: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int):
+        self.solve, self.most = solve, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.ids, self.at, self.count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def of(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Ids of the pieces of ``raw`` in a row (little-endian uint32), and how many ids come before each piece."""
+        hashes, first, which = np.unique(piece_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        if len(self.slots) + len(hashes) > self.most:
+            self.forget()
+        keys = hashes.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.slots]
+        if new:
+            ids, n = self.solve([raw[a:z] for a, z in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            self.slots.update(zip((keys[i] for i in new), range(len(self.slots), len(self.slots) + len(new))))
+            self.at = np.r_[self.at, len(self.ids) + np.cumsum(n) - n]
+            self.count, self.ids = np.r_[self.count, n], np.concatenate([self.ids, ids])
+        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))
+        n, at = self.count[slot][which], self.at[slot][which]
+        before = np.r_[0, np.cumsum(n)]
+        return self.ids[np.repeat(at - before[:-1], n) + np.arange(before[-1])].astype("<u4").tobytes(), before
+
+
 def planes(x: np.ndarray) -> bytes:
     """Integers by byte position: neighbours are alike, so the shuffle compresses them."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .marks import piece_hashes
+from .marks import IdStore
 from .registry import query, stored, table
 from .worker import memo
 
@@ -68,24 +68,19 @@ class LatinIds:
         self.tokenizer, self.ends = tokenizer, np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith(WORD_END)
-        self.forget()
+        self.store = IdStore(self.learn, CACHE_ENTRIES)
 
-    def forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.ids, self.at, self.count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def learn(self, hashes: list[int], words: list[str]) -> None:
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         parts, counts = [], []
         for a in range(0, len(words), 10_000):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words[a:a + 10_000])], add_special_tokens=False)[0].ids, np.uint32)
+            text = b" ".join(words[a:a + 10_000]).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             parts.append(ids)
             counts.append(np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
         n = np.concatenate(counts)
         if len(n) != len(words):
             raise ValueError("the vocabulary does not end each word with one token")
-        self.slots.update(zip(hashes, range(len(self.slots), len(self.slots) + len(n))))
-        self.at = np.r_[self.at, len(self.ids) + np.cumsum(n) - n]
-        self.count, self.ids = np.r_[self.count, n], np.concatenate([self.ids, *parts])
+        return np.concatenate(parts), n
 
     def of(self, texts: list[str]) -> list[bytes]:
         low = [t.lower().encode() for t in texts]
@@ -94,20 +89,9 @@ class LatinIds:
         single, word = kind == 3, kind != 0
         starts = np.flatnonzero(word & (single | np.r_[True, kind[1:] != kind[:-1]]))
         ends = np.flatnonzero(word & (single | np.r_[kind[1:] != kind[:-1], True])) + 1
-        hashes, first, which = np.unique(piece_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slots) + len(hashes) > CACHE_ENTRIES:
-            self.forget()
-        keys = hashes.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.slots]
-        if new:
-            places = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self.learn([keys[i] for i in new], [raw[a:z].decode() for a, z in places])
-        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))
-        n, at = self.count[slot][which], self.at[slot][which]
-        upto = np.r_[0, np.cumsum(n)]
-        ids = self.ids[np.repeat(at - upto[:-1], n) + np.arange(upto[-1])].astype("<u4").tobytes()
+        ids, before = self.store.of(raw, starts, ends)
         text_starts = np.cumsum([0, *(len(t) + 1 for t in low)])
-        cuts = (4 * upto[np.searchsorted(starts, text_starts)]).tolist()
+        cuts = (4 * before[np.searchsorted(starts, text_starts)]).tolist()
         return [ids[a:z] for a, z in zip(cuts, cuts[1:])]
 
 

@@ -10,11 +10,11 @@ Three machines are compiled from the model file and composed with each text:
   neighbours are allowed);
 - byte fallback: a character without a piece becomes the pieces of its bytes.
 
-The shortest path in the tropical semiring is found position by position.
-Only one path of finite weight reaches a position, so a position keeps one
-state: the piece that ends there. No piece has a blank after another
-character, so the machine passes its start state at every word and words
-can be solved once and remembered. Decoding is the inverse machine.
+The shortest path in the tropical semiring is the only one of finite weight:
+at most one such path reaches a place, whose state is the piece that ends
+there. Between two characters that no piece has side by side the machine
+passes its start state, so texts are cut there, and the parts (words, in
+the main) are solved once and remembered. Decoding is the inverse machine.
 
 Each text is encoded where it is read; nothing moves.
 
@@ -35,11 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .marks import IdStore, slices
 from .registry import query, table
 from .worker import memo
 
 BLANK = "▁"
-WORDS = 600_000  # solved words that a worker remembers; cleared when full
+BLANK_BYTES = BLANK.encode()
+STORED = 1_000_000  # words whose ids a worker looks up; forgotten when full
+WORDS = 500_000  # solved words that a worker remembers; cleared when full
 
 
 def _model_path(path: str | None) -> str:
@@ -50,8 +53,23 @@ def _model_path(path: str | None) -> str:
     return path
 
 
-class Transducer(dict):
-    """The composed machine; as a mapping: word -> ids as little-endian uint32 bytes."""
+class Memo(dict):
+    """Remembers what ``solve`` makes of a string; cleared when full."""
+
+    def __init__(self, solve):
+        self.solve = solve
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.solve(key)
+        if len(key) <= 64:
+            if len(self) >= WORDS:
+                self.clear()
+            self[key] = out
+        return out
+
+
+class Transducer:
+    """The composed machine; ids are little-endian uint32 bytes."""
 
     def __init__(self, path: str | None = None):
         import sentencepiece
@@ -71,9 +89,20 @@ class Transducer(dict):
         for piece in self.ids:
             if BLANK in piece.lstrip(BLANK):
                 raise ValueError(f"piece {piece!r} has a blank after another character")
-        self.longest = max(map(len, self.ids))
+        # characters that some piece has side by side; between two others every path passes the start state
+        self.inside = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
+        self.trie: dict = {}  # arcs by character; "" holds the piece that ends at a node
+        for piece in self.ids:
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = piece
+        sizes = np.array([len(t) for t in self.text])
+        self.spelling, self.sizes, self.begin = np.frombuffer(b"".join(self.text), np.uint8), sizes, np.cumsum(sizes) - sizes
         self.lines = not any("\n" in piece for piece in self.ids)
         self.allowed: dict[tuple[str, str], bool] = {}
+        self.parts = Memo(self.solve)  # strings without a cut
+        self.store = IdStore(self.learn, STORED)
 
     # ---- the two-piece machine
 
@@ -102,67 +131,90 @@ class Transducer(dict):
 
     # ---- shortest path
 
+    def arcs(self, word: str, at: int) -> Iterator[str]:
+        """Pieces that start here, longest first; a character without a piece stands for its bytes."""
+        node, found = self.trie, []
+        for c in word[at:]:
+            node = node.get(c)
+            if node is None:
+                break
+            if "" in node:
+                found.append(node[""])
+        if not found or len(found[0]) > 1:
+            found.insert(0, word[at])
+        return reversed(found)
+
     def path(self, word: str) -> list[str]:
-        """Pieces of the one path of finite weight through ``word``."""
-        if word in self.weight and self.merged(word) == [word]:
-            return [word]
-        n, weight, follows = len(word), self.weight, self.follows
-        last: list[str] = [""] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = word[start:end]
-                if (piece in weight or end - start == 1) and (not start or follows(last[start], piece)):
-                    last[end] = piece
-                    break
-        out, end = [], n
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
-
-    def __missing__(self, word: str) -> bytes:
+        """Pieces of the one path of finite weight through ``word``.
+
+        Depth first along the arcs, longest first. A place is reached by one path only, so a place that leads
+        nowhere is never tried again."""
+        n, allowed, out, dead, at = len(word), self.allowed, [], set(), 0
+        open_arcs = [self.arcs(word, 0)]
+        while at < n:
+            for piece in open_arcs[-1]:
+                if at + len(piece) in dead:
+                    continue
+                if out:
+                    ok = allowed.get((out[-1], piece))
+                    if not (self.follows(out[-1], piece) if ok is None else ok):
+                        continue
+                out.append(piece)
+                at += len(piece)
+                open_arcs.append(self.arcs(word, at) if at < n else iter(()))
+                break
+            else:
+                dead.add(at)
+                open_arcs.pop()
+                at -= len(out.pop())
+        return out
+
+    def solve(self, word: str) -> bytes:
         ids: list[int] = []
         for piece in self.path(word):
             if piece in self.ids:
                 ids.append(self.ids[piece])
             else:
                 ids += [self.byte[b] for b in piece.encode("utf-8", "surrogatepass")]
-        out = np.array(ids, dtype="<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= WORDS:
-                self.clear()
-            self[word] = out
-        return out
-
-    def words(self, text: str) -> Iterator[str]:
-        """The normalised text, cut where every path passes the start state."""
-        first = True
-        for line in text.split("\n") if self.lines else [text]:
-            if not first:
-                yield "\n"
-            blanks = 1 if first else 0
-            first = False
-            for word in line.split(" "):
-                if word:
-                    yield BLANK * blanks + word
-                    blanks = 1
-                else:
-                    blanks += 1
-            if blanks > 1:
-                yield BLANK * (blanks - 1)
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian uint32 bytes."""
-        if not text:
-            return b""
-        if BLANK in text:
-            text = text.replace(BLANK, " ")
-        return b"".join(map(self.__getitem__, self.words(text)))
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def by_parts(self, text: str) -> bytes:
+        """``text`` cut between characters that no piece has side by side."""
+        inside = self.inside
+        cuts = [i + 1 for i in range(len(text) - 1) if text[i:i + 2] not in inside]
+        if not cuts:
+            return self.parts[text]
+        return b"".join([self.parts[text[a:z]] for a, z in zip([0, *cuts], [*cuts, len(text)])])
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self.by_parts(w.decode("utf-8", "surrogatepass").replace(" ", BLANK)) for w in words]
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Texts are cut before every run of blanks and every line feed, where paths part too."""
+        raws = [(" " + t.replace(BLANK, " ")).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        raw = b"".join(raws)
+        if not raw:
+            return [b""] * len(texts)
+        x = np.frombuffer(raw, np.uint8)
+        text_starts = np.cumsum([0, *map(len, raws)])
+        begins = x == 32
+        begins[1:] &= x[:-1] != 32  # a run of blanks stays with the word after it
+        if self.lines:
+            begins |= x == 10
+        begins[text_starts[:-1][np.array([len(r) > 0 for r in raws])]] = True
+        starts = np.flatnonzero(begins)
+        ids, before = self.store.of(raw, starts, np.r_[starts[1:], len(raw)])
+        cuts = (4 * before[np.searchsorted(starts, text_starts)]).tolist()
+        return [ids[a:z] for a, z in zip(cuts, cuts[1:])]
 
     def decode(self, ids: bytes) -> str:
         """The normalised text with its blanks back and the one in front taken off."""
-        text = b"".join(map(self.text.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "surrogatepass")
-        text = text.replace(BLANK, " ")
+        own = np.frombuffer(ids, "<u4")
+        n = self.sizes[own]
+        before = np.cumsum(n) - n
+        raw = self.spelling[np.repeat(self.begin[own] - before, n) + np.arange(int(n.sum()))].tobytes()
+        text = raw.replace(BLANK_BYTES, b" ").decode("utf-8", "surrogatepass")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -170,9 +222,8 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str | None, with_ids: bool)
     machine: Transducer = memo(("sentencepiece", path), lambda: Transducer(path))
     for batch in batches:
         n, crc, same, lists = [], [], [], []
-        for x in batch.column(1):
-            text = x.as_py() or ""
-            ids = machine.encode(text)
+        coded = ((t, ids) for _, some in slices(enumerate(x.as_py() or "" for x in batch.column(1))) for t, ids in zip(some, machine.encode(some)))
+        for text, ids in coded:
             n.append(len(ids) // 4), crc.append(zlib.crc32(ids))
             same.append(machine.decode(ids) == text.replace(BLANK, " "))
             if with_ids:

@@ -59,7 +59,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
         if len(word) <= 32:
-            if len(self) >= 500_000:
+            if len(self) >= 300_000:
                 self.clear()
             self[word] = h
         return h

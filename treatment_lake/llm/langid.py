@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .marks import slices
-from .registry import query, table
+from .registry import bounded_batches, query, table
 
 MAX_LANGUAGES = 2000  # a label set larger than this is an error, not a language column
 
@@ -110,6 +110,7 @@ def _learn(batches: Iterator[pa.RecordBatch], dims: int, seed: int) -> Iterator[
 
 def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = 1024, seed: int = 7) -> dict:
     """Prototypes of the languages of ``train``: ``{"langs", "vectors", "dims", "seed"}`` (languages x dims numbers)."""
+    bounded_batches(train.sparkSession)
     rows = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sums = (rows.mapInArrow(lambda it: _learn(it, dims, seed), "lang string, dim int, value long")
@@ -180,6 +181,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     """One row per document: ``doc_id, held_out, lang_pred, score`` (the cosine, not below 0).
 
     ``carry``: columns to pass through instead of the first two."""
+    bounded_batches(docs.sparkSession)
     if carry is None:
         rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
         names = ["doc_id", "held_out"]

@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .registry import bounded_batches
 from .worker import memo
 
-FLUSH = 4_000_000  # marks that a worker gathers before it sends them
+FLUSH = 2_000_000  # marks that a worker gathers before it sends them
 SCHEMA = "doc_id long, text_key binary, size long, marks binary, counts binary"
 
 #: texts -> for each a 16-byte key of what counts as the same text and its distinct marks
@@ -203,40 +204,45 @@ def _spread(batches: Iterator[pa.RecordBatch], make_extract: Callable[[], Extrac
 def _meet(rows: pa.Table) -> pa.Table:
     """One bucket: the marks that occur in two different texts or more, by document."""
     out: dict[str, list] = {"doc_id": [], "text_key": [], "size": [], "marks": [], "counts": []}
-    docs, texts, marks = [], [], []
-    for r in rows.select(["ids", "texts", "n", "marks", "info"]).to_pylist():
-        ids = np.cumsum(unplaned(r["ids"], "int64"))
-        n = unplaned(r["n"], "uint32")
-        text = np.zeros((len(ids), 8), dtype=np.uint8)
-        text[:, :6] = np.frombuffer(r["texts"], np.uint8).reshape(6, -1).T
-        docs.append(np.repeat(ids, n)), texts.append(np.repeat(text.view(np.uint64).ravel(), n)), marks.append(unplaned(r["marks"], "uint64"))
-        if r["info"]:
-            k = len(r["info"]) // 32
-            out["doc_id"] += np.frombuffer(r["info"], np.int64, k).tolist()
-            out["text_key"] += [r["info"][8 * k + 16 * i:8 * k + 16 * i + 16] for i in range(k)]
-            out["size"] += np.frombuffer(r["info"], np.int64, k, 24 * k).tolist()
-    none = [None] * len(out["doc_id"])
-    out["marks"], out["counts"] = list(none), list(none)
-    doc, text, mark = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((docs, np.int64), (texts, np.uint64), (marks, np.uint64)))
+    docs, texts, counts, marks = [], [], [], []
+    for part in rows.select(["ids", "texts", "n", "marks", "info"]).to_batches():
+        for r in part.to_pylist():
+            n = unplaned(r["n"], "uint32")
+            text = np.zeros((len(n), 8), dtype=np.uint8)
+            text[:, :6] = np.frombuffer(r["texts"], np.uint8).reshape(6, -1).T
+            docs.append(np.cumsum(unplaned(r["ids"], "int64"))), texts.append(text.view(np.uint64).ravel())
+            counts.append(n), marks.append(unplaned(r["marks"], "uint64"))
+            if r["info"]:
+                k = len(r["info"]) // 32
+                out["doc_id"] += np.frombuffer(r["info"], np.int64, k).tolist()
+                out["text_key"] += [r["info"][8 * k + 16 * i:8 * k + 16 * i + 16] for i in range(k)]
+                out["size"] += np.frombuffer(r["info"], np.int64, k, 24 * k).tolist()
+    out["marks"], out["counts"] = [None] * len(out["doc_id"]), [None] * len(out["doc_id"])
+    doc, text, n = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((docs, np.int64), (texts, np.uint64), (counts, np.uint32)))
+    mark = np.concatenate(marks) if marks else np.empty(0, np.uint64)
+    del marks
     if len(mark):
+        # one document, the smallest, speaks for equal texts
         by_text = np.lexsort((doc, text))
         first = np.r_[True, text[by_text][1:] != text[by_text][:-1]]
-        smallest = np.empty(len(doc), np.int64)
-        smallest[by_text] = doc[by_text][first][np.cumsum(first) - 1]
-        mine = doc == smallest  # one document speaks for equal texts
-        doc, text, mark = doc[mine], text[mine], mark[mine]
+        speaks = np.empty(len(doc), bool)
+        speaks[by_text] = doc[by_text] == doc[by_text][first][np.cumsum(first) - 1]
+        owner = np.repeat(np.arange(len(doc), dtype=np.int32), n)
+        mine = speaks[owner]
+        mark, owner = mark[mine], owner[mine]
         by = np.argsort(mark, kind="stable")
-        doc, text, mark = doc[by], text[by], mark[by]
+        mark, owner = mark[by], owner[by]
+        del by, mine
         start = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
-        n = np.diff(np.r_[start, len(mark)])
-        count = np.repeat(n, n)
+        times = np.diff(np.r_[start, len(mark)])
+        count = np.repeat(times.astype(np.uint32), times)
         several = count > 1
-        doc, text, mark, count = doc[several], text[several], mark[several], count[several]
-        by = np.lexsort((text, doc))
-        doc, text, mark, count = doc[by], text[by], mark[by], count[by].astype(np.uint32)
-        start = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]) if len(doc) else np.empty(0, int)
-        for a, z in zip(start, np.r_[start[1:], len(doc)]):
-            out["doc_id"].append(int(doc[a])), out["text_key"].append(text[a].tobytes()[:6]), out["size"].append(None)
+        mark, owner, count = mark[several], owner[several], count[several]
+        by = np.argsort(owner, kind="stable")
+        mark, owner, count = mark[by], owner[by], count[by]
+        start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, int)
+        for a, z in zip(start, np.r_[start[1:], len(owner)]):
+            out["doc_id"].append(int(doc[owner[a]])), out["text_key"].append(text[owner[a]].tobytes()[:6]), out["size"].append(None)
             out["marks"].append(mark[a:z].tobytes()), out["counts"].append(count[a:z].tobytes())
     return pa.table(out, schema=pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("size", pa.int64()),
                                            ("marks", pa.binary()), ("counts", pa.binary())]))
@@ -250,6 +256,7 @@ def shared_marks(docs: DataFrame, make_extract: Callable[[], Extract], buckets:
       parts, for one document of each text (the smallest id): its marks that
       other texts have (uint64) and in how many texts each occurs (uint32).
     """
+    bounded_batches(docs.sparkSession)
     sent = docs.select("doc_id", "text").mapInArrow(
         lambda it: _spread(it, make_extract, buckets),
         "bucket int, ids binary, texts binary, n binary, marks binary, info binary")

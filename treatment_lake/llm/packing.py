@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .marks import IdStore
-from .registry import query, stored, table
+from .registry import bounded_batches, query, stored, table
 from .worker import memo
 
 CACHE_ENTRIES = 1_000_000  # distinct words whose ids a worker remembers; cleared when full, never wrong
@@ -191,6 +191,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, window: int, gr
 def pieces_of(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, window: int, grid: int,
               end_id: int, vocab: str | None, path: str) -> DataFrame:
     """All pieces as a written table (no texts)."""
+    bounded_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(lambda it: _pieces(it, vocab, window, grid, end_id),

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .marks import IdStore, slices
-from .registry import query, table
+from .registry import bounded_batches, query, table
 from .worker import memo
 
 BLANK = "▁"
@@ -239,6 +239,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str | None, with_ids: bool)
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,
            with_ids: bool = True) -> DataFrame:
     """``doc_id, n_ids, ids_crc32, round_trip`` and, if asked for, ``ids``."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(lambda it: _encode(it, model, with_ids),

@@ -20,7 +20,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from treatment_lake.plans.oracle_sql import ORACLE
+    from treatment_lake.plans.queries import QUERIES
+
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +51,8 @@ def _canon(cols, data):
 
 SAMPLE = ["provider_success_rate_rank", "monthly_trends", "geo_distribution", "avg_cost_per_provider",
           "dim_dates", "silver_treatments", "cast_rejects", "type_outcome_registry", "latest_per_key",
-          "null_safe_join", "check_orphans", "upsert_type1", "incremental_lookback", "epoch_seconds"]
+          "null_safe_join", "check_orphans", "upsert_type1", "incremental_lookback", "epoch_seconds", "mart_order",
+          "monthly_trends_by_role", "pipeline_rejects", "upsert_late_version", "latest_file_mtime", "empty_export", "layer_reset"]
 
 
 @pytest.mark.parametrize("key", SAMPLE)

@@ -4,14 +4,16 @@ source -> bronze -> silver -> gold build."""
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from treatment_lake.operators.tracker import Tracker
-from treatment_lake.plans.gold import build_gold
-from treatment_lake.plans.registry import flat_t
-from treatment_lake.plans.silver_build import bronze_to_silver, extract_to_bronze
-from treatment_lake.schemas import silver_schema
+from treatment_lake.plans.end_to_end import Layout, mart, run_once, tracker_table
+from treatment_lake.plans.gold import gold_tables
+from treatment_lake.plans.registry import flat_snapshot
+from treatment_lake.plans.silver_build import bronze_to_silver, extract_to_bronze, ledger, read_silver, reset_layer
 from treatment_lake.sources import layers
 from treatment_lake.sources.items import write_items
 
@@ -42,29 +44,95 @@ def test_load_mode(spark, scratch):
     assert layers.load_mode(spark, scratch("nothing")) == "full"
 
 
+CLOCK = lambda: dt.datetime(2100, 1, 1)
+
+
+def early():
+    return F.col("metadata_modified_at") <= F.lit("1996-01-01").cast("timestamp_ntz")
+
+
+def _export(spark, scratch, rows_):
+    path = scratch("items")
+    write_items(rows_, path)
+    return path
+
+
 def test_split_invariance(spark, scratch):
-    """Full load == the same records in two incremental batches (same gold)."""
-    flat = flat_t(spark, SMOKE_DIR)
-    early = F.col("metadata_modified_at") <= F.lit("1996-01-01").cast("timestamp_ntz")
+    """One run == the same records in two runs: gold, marts (success included) and counts."""
+    flat = flat_snapshot(spark, SMOKE_DIR)
 
     def run(batches):
-        bronze, silver, gold = scratch("bronze"), scratch("silver"), scratch("gold")
-        tracker = Tracker(spark, scratch("tracker"), "run")
-        for cond in batches:
-            items = scratch("items")
-            write_items(flat.where(cond), items)
-            r = extract_to_bronze(spark, items, bronze, tracker=tracker, clock=lambda: dt.datetime(2100, 1, 1))
-            bronze_to_silver(spark, bronze, silver, r["run_id"], tracker=tracker)
-        s = layers.read_layer(spark, silver, silver_schema())
-        tables = build_gold(spark, s, gold, tracker)
-        return s, tables, tracker
-
-    s1, g1, t1 = run([F.lit(True)])
-    s2, g2, t2 = run([early, ~early])
-    assert s1.count() == s2.count() == flat.count()
-    for name in ("fact_treatments", "dim_providers", "dim_dates", "dim_locations"):
-        a, b = g1[name].read(), g2[name].read()
-        if name == "fact_treatments":  # combination ids may differ by arrival order
+        layout = Layout(scratch("lake"))
+        for i, cond in enumerate(batches):
+            run_once(spark, _export(spark, scratch, flat.where(cond)), layout, f"r{i}", clock=CLOCK)
+        return layout, gold_tables(spark, layout.gold)
+
+    l1, g1 = run([F.lit(True)])
+    l2, g2 = run([~early(), F.lit(True)])  # the second export holds older items too: those are not new by time
+    l3, g3 = run([early(), F.lit(True)])
+    for name in ("fact_treatments", "dim_providers", "dim_dates", "dim_locations", "dim_patients"):
+        a, b = g1[name].read(), g3[name].read()
+        if name == "fact_treatments":  # ids are given in the order of arrival
             a, b = a.drop("treatment_type_and_outcome_status_sk"), b.drop("treatment_type_and_outcome_status_sk")
         assert rows(a) == rows(b), name
-    assert all(r[10] in (None, "MATCH") for r in t2.rows), t2.rows
+    for name in ("provider_success_rate_rank", "monthly_treatment_trends", "summary_avg_treatment_cost"):
+        assert rows(mart(spark, l1, name)) == rows(mart(spark, l3, name)), name
+    assert g2["fact_treatments"].count() < g1["fact_treatments"].count()
+    steps = tracker_table(spark, l3).where("status = 'SUCCESS'")
+    assert {r["reconciliation_status"] for r in steps.collect()} == {"MATCH"}
+
+
+def test_items_without_a_time_are_never_lost(spark, scratch):
+    flat = flat_snapshot(spark, SMOKE_DIR)
+    unknown = F.col("treatment_id") % 7 == 0
+    mixed = flat.withColumn("metadata_modified_at", F.when(~unknown, F.col("metadata_modified_at")))
+    layout = Layout(scratch("lake"))
+    run_once(spark, _export(spark, scratch, mixed.where(early() & ~unknown)), layout, clock=CLOCK)
+    run_once(spark, _export(spark, scratch, mixed), layout, clock=CLOCK)
+    assert gold_tables(spark, layout.gold)["fact_treatments"].count() == flat.where("treatment_start_date IS NOT NULL").count()
+
+
+def test_crash_between_layers_is_taken_up(spark, scratch):
+    flat = flat_snapshot(spark, SMOKE_DIR)
+    layout = Layout(scratch("lake"))
+    extract_to_bronze(spark, _export(spark, scratch, flat), layout.bronze, "r1", clock=CLOCK)
+    run_once(spark, _export(spark, scratch, flat), layout, "r2", clock=CLOCK)
+    n = flat.where("treatment_start_date IS NOT NULL").count()
+    assert gold_tables(spark, layout.gold)["fact_treatments"].count() == n
+    # a started step leaves its row even if it never ends
+    tracker = Tracker(spark, scratch("tracker"), "run")
+    tracker.started("extract", "source", "bronze", "a", "b")
+    assert [r["status"] for r in spark.read.parquet(tracker.path).collect()] == ["STARTED"]
+
+
+def test_empty_and_missing_export_and_reset(spark, scratch):
+    bronze = scratch("bronze")
+    assert extract_to_bronze(spark, scratch("none"), bronze)["rows"] == 0
+    run = extract_to_bronze(spark, _export(spark, scratch, flat_snapshot(spark, SMOKE_DIR)), bronze)
+    assert run["rows"] > 0
+    reset_layer(spark, bronze)
+    assert layers.load_mode(spark, bronze) == "full" and ledger(spark, bronze).runs() == []
+    assert layers.count_rows(spark, bronze) is None
+
+
+def test_incremental_silver_reads_only_its_run(spark, scratch):
+    """The plan of an incremental read scans the pending run's folder and no other."""
+    silver = scratch("silver")
+    flat = flat_snapshot(spark, SMOKE_DIR)
+    bronze = scratch("bronze")
+    for i, cond in enumerate((early(), ~early())):
+        extract_to_bronze(spark, _export(spark, scratch, flat.where(cond)), bronze, f"r{i}", clock=CLOCK)
+        bronze_to_silver(spark, bronze, silver, f"r{i}")
+    one = read_silver(spark, silver, ["r1"])
+    assert {f.split("ingest_run_id=")[1].split("/")[0] for f in one.inputFiles()} <= {"r0", "r1"}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_run_id" in plan and one.count() == flat.where(~early()).count()
+
+
+def test_read_errors_are_not_an_empty_layer(spark, scratch):
+    path = scratch("broken")
+    os.makedirs(path)
+    with open(f"{path}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        layers.load_mode(spark, path)

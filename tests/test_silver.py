@@ -29,7 +29,7 @@ def test_safe_casts_and_rejects(spark):
     assert rej["treatment_id"] == 0 and rej["provider_full_name"] == 0
 
 
-def test_combo_ids_dense_rank_on_label(spark):
+def test_combo_ids_in_label_order(spark):
     df = spark.createDataFrame(
         [("Surgery", "Ongoing"), ("Surgery", "Ongoing"), ("Drug", "Cured"), (None, "Cured"), (None, None)],
         "treatment_type string, treatment_outcome_status string")
@@ -54,3 +54,23 @@ def test_registry_keeps_known_ids(spark):
     # Applying the same batch again changes nothing.
     reg3 = registry_update(reg2, later)
     assert rows(reg3) == rows(reg2)
+
+
+def test_pairs_with_one_label_get_their_own_ids_either_way(spark):
+    schema = "treatment_type string, treatment_outcome_status string"
+    pairs = [("a_b", "c"), ("a", "b_c")]
+    full = {(r[0], r[1]): r[COMBO_ID] for r in combo_ids(spark.createDataFrame(pairs, schema)).collect()}
+    assert full == {("a", "b_c"): 1, ("a_b", "c"): 2}
+    one = combo_ids(spark.createDataFrame(pairs[1:], schema))
+    both = {(r[0], r[1]): r[COMBO_ID] for r in registry_update(one, spark.createDataFrame(pairs, schema)).collect()}
+    assert both == full
+
+
+def test_combo_registry_has_a_bound(spark, monkeypatch):
+    import pytest
+
+    from treatment_lake.operators import combos
+
+    monkeypatch.setattr(combos, "MAX_COMBOS", 1)
+    with pytest.raises(ValueError):
+        add_combo_ids(spark.createDataFrame([("a", "x"), ("b", "x")], "treatment_type string, treatment_outcome_status string"))

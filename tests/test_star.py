@@ -94,6 +94,8 @@ def test_success_by_status(spark, star):
     by_status = marts.provider_success_rates(fact, prov, combo, success_statuses=["F"])
     a = {r["provider_id"]: r["success_rate"] for r in by_id.collect()}
     b = {r["provider_id"]: r["success_rate"] for r in by_status.collect()}
+    first = marts.provider_success_rates(fact, prov, combo, success_ids=marts.FIRST)
+    assert rows(first) == rows(by_id)
     assert set(a) == set(b)
     assert all(b[k] >= a[k] for k in a)
 
@@ -105,3 +107,18 @@ def test_mart_plans_aggregate_before_join(spark, star):
     join_at = plan.find("Join Inner")
     agg_after = plan.find("Aggregate [provider_sk", join_at)
     assert join_at >= 0 and agg_after > join_at
+
+
+def test_ids_need_no_shuffle_of_the_rows(spark):
+    """Above the distinct pairs nothing is exchanged on (type, status): the registry is broadcast."""
+    plan = silver_t(spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(treatment_type" not in plan and "BroadcastHashJoin [coalesce(treatment_type" in plan
+
+
+def test_marts_read_one_snapshot(spark):
+    """A mart query's plan scans the snapshot, not the source tables."""
+    import __spark_entry__ as entry
+
+    for name in ("provider_success_rate_rank", "monthly_trends", "treatments_per_city"):
+        files = entry.queries()[name](spark, SMOKE_DIR).inputFiles()
+        assert files and not any("lineitem" in f or "orders" in f for f in files), name

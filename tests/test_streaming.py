@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from treatment_lake.operators import marts
 from treatment_lake.operators.sinks import write_table
-from treatment_lake.plans.gold import read_mart
+from treatment_lake.plans.gold import gold_tables, read_mart
 from treatment_lake.plans.registry import silver_t
 from treatment_lake.plans.star import build_star
 from treatment_lake.schemas import silver_schema
@@ -43,3 +43,6 @@ def test_streaming_gold_equals_batch(spark, scratch):
     assert rows(read_mart(spark, mart_root, "provider_treatment_rank")) == rows(batch_e1)
     batch_geo = marts.geo_distribution(star["fact_treatments"], star["dim_locations"])
     assert rows(read_mart(spark, mart_root, "geographical_treatment_distribution")) == rows(batch_geo)
+    tables = gold_tables(spark, gold)
+    for name in ("dim_providers", "dim_patients", "dim_diseases", "fact_treatments"):
+        assert rows(tables[name].read()) == rows(star[name]), name

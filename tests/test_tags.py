@@ -100,3 +100,16 @@ def test_fused_flatten_equals_unwrap_then_flatten(spark):
     assert fused.columns == ref.columns
     assert sorted(map(tuple, fused.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
     assert fused.exceptAll(ref).count() == 0 and ref.exceptAll(fused).count() == 0
+
+
+def test_binary_tags_and_lines_that_are_no_items(spark, scratch):
+    from treatment_lake.sources.items import bad_lines, is_item, read_items
+
+    path = scratch("items")
+    lines = ['{"Item": {"treatment": {"M": {"id": {"N": "1"}, "type": {"B": "aGk="}, "outcome_status": {"BS": ["eA==", "eQ=="]}}}}}',
+             '{"Item": {"treatment": ', '{}', '[1, 2]']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    items = read_items(spark, path)
+    good = sv.flatten_tagged(sv.bronze_from_items(items.where(is_item()))).collect()
+    assert [(r["treatment_id"], r["treatment_type"], r["treatment_outcome_status"]) for r in good] == [("1", "aGk=", '["eA==","eQ=="]')]
+    assert sorted(r["line"] for r in bad_lines(items).collect()) == sorted(lines[1:])

@@ -2,7 +2,7 @@
 
 An item attribute is a one-key object naming its type: ``{"S": "text"}``,
 ``{"N": "12.5"}``, ``{"BOOL": true}``, ``{"NULL": true}``, ``{"SS": [...]}``,
-``{"NS": [...]}``, ``{"L": [v, ...]}``, ``{"M": {"k": v, ...}}``.
+``{"NS": [...]}``, ``{"B": "base64"}``, ``{"BS": [...]}``, ``{"L": [v, ...]}``, ``{"M": {"k": v, ...}}``.
 
 The JSON reader parses items against a fixed schema (no inference); a
 value is a struct with one nullable field per tag. Unwrapping is then a
@@ -28,6 +28,8 @@ def _scalar_fields() -> list[T.StructField]:
         T.StructField("NULL", T.BooleanType()),
         T.StructField("SS", T.ArrayType(T.StringType())),
         T.StructField("NS", T.ArrayType(T.StringType())),
+        T.StructField("B", T.StringType()),  # binary values are base64 text in the encoding
+        T.StructField("BS", T.ArrayType(T.StringType())),
     ]
 
 
@@ -62,6 +64,8 @@ def _scalar_text(v: Column) -> Column:
         v["S"], v["N"], v["BOOL"].cast("string"),
         F.when(v["SS"].isNotNull(), F.to_json(v["SS"])),
         F.when(v["NS"].isNotNull(), F.to_json(v["NS"])),
+        v["B"],
+        F.when(v["BS"].isNotNull(), F.to_json(v["BS"])),
     )
 
 

@@ -40,15 +40,22 @@ def dim_times(df: DataFrame, cols: Sequence[str] = TIMESTAMP_COLUMNS) -> DataFra
     return distinct_times(df, cols).select(*time_columns_from_key("k"))
 
 
-def _attribute_dim(silver: DataFrame, name: str, mapping: dict[str, str]) -> DataFrame:
-    """Latest row per key, renamed silver -> dimension. First mapping entry is the key."""
+def _attribute_dim(silver: DataFrame, name: str, mapping: dict[str, str], with_version: bool = False) -> DataFrame:
+    """Latest row per key, renamed silver -> dimension. First mapping entry is the key.
+
+    Equal attribute rows of a key are folded into their newest version first: that is a hash aggregate,
+    and the maximum over whole rows (a sort aggregate) sees only what is left."""
     src_cols = list(mapping)
     key = src_cols[0]
     have_wm = WATERMARK_COLUMN in silver.columns
     picked = silver.select(*src_cols, *([WATERMARK_COLUMN] if have_wm else []))
+    if have_wm:
+        picked = (picked.where(F.col(key).isNotNull()).groupBy(*src_cols)
+                  .agg(F.max(WATERMARK_COLUMN).alias(WATERMARK_COLUMN)))
     latest = latest_per_key(picked, [key], [WATERMARK_COLUMN] if have_wm else [])
     schema = DIM_SCHEMAS[name]
-    return latest.select(*[F.col(s).cast(schema[d].dataType).alias(d) for s, d in mapping.items()])
+    version = [F.col(WATERMARK_COLUMN)] if with_version else []
+    return latest.select(*[F.col(s).cast(schema[d].dataType).alias(d) for s, d in mapping.items()], *version)
 
 
 # Silver column -> dimension column, per dimension (key first).
@@ -83,6 +90,11 @@ DIM_MAPPINGS: dict[str, dict[str, str]] = {
 }
 
 
+def versioned_dim(silver: DataFrame, name: str) -> DataFrame:
+    """An attribute dimension with the version column that merges compare."""
+    return _attribute_dim(silver, name, DIM_MAPPINGS[name], with_version=True)
+
+
 def dim_type_outcome(silver: DataFrame) -> DataFrame:
     return _attribute_dim(silver, "dim_treatment_types_and_outcome_statuses",
                           DIM_MAPPINGS["dim_treatment_types_and_outcome_statuses"])

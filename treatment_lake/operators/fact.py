@@ -15,26 +15,20 @@ from ..schemas import COMBO_ID, FACT_SCHEMA, WATERMARK_COLUMN
 from .dedupe import latest_per_key
 
 
-def current_silver(silver: DataFrame) -> DataFrame:
-    """Latest version of every treatment (silver may hold several)."""
-    order = [WATERMARK_COLUMN] if WATERMARK_COLUMN in silver.columns else []
-    return latest_per_key(silver, ["treatment_id"], order)
-
-
-def fact_rows(silver: DataFrame, dedupe: bool = True) -> DataFrame:
-    """The fact projection of the latest version of every treatment.
+def fact_versions(silver: DataFrame) -> DataFrame:
+    """The latest version of every treatment as a fact row with its version, also where it has no start date
+    (merges need it: it replaces an older row that had one).
 
     The 15 fact columns are projected first and the latest-version pick
     runs on that narrow row (plus ``metadata_modified_at``), so the
     per-key aggregate moves 16 columns instead of all 31. Ties on
-    ``metadata_modified_at`` are broken by the fact columns. A treatment
-    whose latest version has no start date has no fact row.
+    ``metadata_modified_at`` are broken by the fact columns, here as in merges.
     """
     start, comp, outc = (F.col("treatment_start_date"), F.col("treatment_completion_date"),
                          F.col("treatment_outcome_date"))
     cols = [
         F.col("treatment_id").alias("fact_treatment_sk"),
-        F.col(COMBO_ID).alias("treatment_type_and_outcome_status_sk"),
+        (F.col(COMBO_ID) if COMBO_ID in silver.columns else F.lit(None)).alias("treatment_type_and_outcome_status_sk"),
         F.col("provider_id").alias("provider_sk"),
         F.col("location_id").alias("location_sk"),
         F.col("patient_id").alias("patient_sk"),
@@ -51,7 +45,11 @@ def fact_rows(silver: DataFrame, dedupe: bool = True) -> DataFrame:
     ]
     has_wm = WATERMARK_COLUMN in silver.columns
     proj = silver.select(*cols, *([F.col(WATERMARK_COLUMN)] if has_wm else []))
-    if dedupe:
-        proj = latest_per_key(proj, ["fact_treatment_sk"], [WATERMARK_COLUMN] if has_wm else [])
-    out = proj.where(F.col("start_date_sk").isNotNull())
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields])
+    typed = proj.select(*[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMA.fields],
+                        *([F.col(WATERMARK_COLUMN)] if has_wm else []))
+    return latest_per_key(typed, ["fact_treatment_sk"], [WATERMARK_COLUMN] if has_wm else [])
+
+
+def fact_rows(silver: DataFrame) -> DataFrame:
+    """The fact: the latest version of every treatment, where it has a start date."""
+    return fact_versions(silver).where(F.col("start_date_sk").isNotNull()).select(*FACT_SCHEMA.fieldNames())

@@ -7,9 +7,10 @@ the dimension. As each dimension holds one row per key, the result equals
 "join, then group by key and attributes". The inner join still drops fact
 rows whose key has no dimension row (and NULL keys).
 
-Success is the fact's combination id being in ``success_ids`` (default
-``[1]``, the first label in order), or - when ``success_statuses`` is
-given - the combination's outcome status being in that list.
+Success is the combination's outcome status being in ``success_statuses``,
+or the combination being the first in label order (``success_ids="first"``,
+the default of ``build_marts``: it depends on the pairs, not on the order in
+which they arrived), or the combination id being in ``success_ids``.
 """
 
 from __future__ import annotations
@@ -26,30 +27,42 @@ from .sinks import write_table
 COMBO_SK = "treatment_type_and_outcome_status_sk"
 
 
-def _success_flag(fact: DataFrame, dim_combo: DataFrame | None, success_ids: Sequence[int],
-                  success_statuses: Sequence[str] | None) -> tuple[DataFrame, F.Column]:
-    if success_statuses is None:
-        return fact, F.col(COMBO_SK).isin(list(success_ids))
+FIRST = "first"
+
+
+def success_combos(dim_combo: DataFrame | None, success_ids=FIRST, success_statuses: Sequence[str] | None = None) -> DataFrame | None:
+    """The combination ids that count as success (``_ok_sk``); None: ``success_ids`` says it by itself."""
+    if success_statuses is None and success_ids != FIRST:
+        return None
     if dim_combo is None:
-        raise ValueError("success_statuses needs the type/outcome dimension")
-    ok = dim_combo.where(F.col("treatment_outcome_status").isin(list(success_statuses))) \
-        .select(F.col(COMBO_SK).alias("_ok_sk"))
-    flagged = fact.join(ok, fact[COMBO_SK] == ok["_ok_sk"], "left")
-    return flagged, F.col("_ok_sk").isNotNull()
+        raise ValueError("success by status or by the first combination needs the type/outcome dimension")
+    if success_statuses is not None:
+        ok = dim_combo.where(F.col("treatment_outcome_status").isin(list(success_statuses)))
+    else:
+        label = F.concat_ws("_", "treatment_type", "treatment_outcome_status")
+        ok = dim_combo.orderBy(*[c.asc_nulls_last() for c in (label, F.col("treatment_type"), F.col("treatment_outcome_status"))]).limit(1)
+    return ok.select(F.col(COMBO_SK).alias("_ok_sk"))
 
 
 def _rate(success: str, total: str) -> F.Column:
     return F.try_divide(F.col(success).cast("double") * F.lit(100.0), F.col(total).cast("double"))
 
 
-def _per_key(fact: DataFrame, key: str, dim_combo=None, success_ids=(1,), success_statuses=None,
-             with_cost: bool = False) -> DataFrame:
-    flagged, ok = _success_flag(fact, dim_combo, success_ids, success_statuses)
-    aggs = [F.count("fact_treatment_sk").alias("total_treatments"),
-            F.count_if(ok).alias("n_success")]
-    if with_cost:
-        aggs += [F.sum("cost").alias("sum_cost"), F.count("cost").alias("n_cost")]
-    return flagged.groupBy(key).agg(*aggs)
+def _counts(fact: DataFrame, key: str) -> DataFrame:
+    return fact.groupBy(key).agg(F.count("fact_treatment_sk").alias("total_treatments"))
+
+
+def _success_counts(fact: DataFrame, key: str, dim_combo=None, success_ids=FIRST, success_statuses=None) -> DataFrame:
+    """Treatments and successes per key: counted per (key, combination) first, so what meets the combinations is
+    that reduced set and not the fact."""
+    per = fact.groupBy(key, COMBO_SK).agg(F.count("fact_treatment_sk").alias("n"))
+    ok = success_combos(dim_combo, success_ids, success_statuses)
+    if ok is None:
+        hit = F.coalesce(F.col(COMBO_SK).isin(list(success_ids)), F.lit(False))
+    else:
+        per = per.join(ok, F.col(COMBO_SK) == F.col("_ok_sk"), "left")
+        hit = F.col("_ok_sk").isNotNull()
+    return per.groupBy(key).agg(F.sum("n").alias("total_treatments"), F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("n_success"))
 
 
 def _with_providers(per_provider: DataFrame, dim_providers: DataFrame) -> DataFrame:
@@ -60,8 +73,7 @@ def _with_providers(per_provider: DataFrame, dim_providers: DataFrame) -> DataFr
 
 def provider_treatment_rank(fact: DataFrame, dim_providers: DataFrame, ordered: bool = True) -> DataFrame:
     """E1: treatments per provider, most first."""
-    j = _with_providers(_per_key(fact.select("provider_sk", "fact_treatment_sk", COMBO_SK),
-                                 "provider_sk"), dim_providers)
+    j = _with_providers(_counts(fact, "provider_sk"), dim_providers)
     out = j.select("provider_id", "provider_full_name", "total_treatments")
     return out.orderBy(F.desc("total_treatments"), F.asc("provider_id")) if ordered else out
 
@@ -70,8 +82,7 @@ def provider_success_rates(fact: DataFrame, dim_providers: DataFrame, dim_combo:
                            success_ids: Sequence[int] = (1,), success_statuses=None,
                            ordered: bool = False) -> DataFrame:
     """E7 (unordered) and, with ``ordered=True``, E2: success rate per provider."""
-    per = _per_key(fact.select("provider_sk", "fact_treatment_sk", COMBO_SK), "provider_sk",
-                   dim_combo, success_ids, success_statuses)
+    per = _success_counts(fact, "provider_sk", dim_combo, success_ids, success_statuses)
     j = _with_providers(per, dim_providers)
     out = j.select("provider_id", "provider_full_name", "total_treatments",
                    _rate("n_success", "total_treatments").alias("success_rate"))
@@ -86,12 +97,12 @@ def provider_success_rate_rank(fact, dim_providers, dim_combo=None, success_ids=
 
 
 def monthly_trends(fact: DataFrame, dim_dates: DataFrame, dim_combo=None, success_ids=(1,),
-                   success_statuses=None, ordered: bool = True) -> DataFrame:
-    """E3: per (year, month name) of the start date; newest year first, month name descending."""
-    per_day = _per_key(fact.select("start_date_sk", "fact_treatment_sk", COMBO_SK), "start_date_sk",
-                       dim_combo, success_ids, success_statuses)
+                   success_statuses=None, ordered: bool = True, date_role: str = "start") -> DataFrame:
+    """E3: per (year, month name) of the start, completion or outcome date; newest year first, month name descending."""
+    day = f"{date_role}_date_sk"
+    per_day = _success_counts(fact, day, dim_combo, success_ids, success_statuses)
     d = dim_dates.select("date_sk", "year", "month")
-    j = per_day.join(d, per_day.start_date_sk == d.date_sk, "inner")
+    j = per_day.join(d, per_day[day] == d.date_sk, "inner")
     g = j.groupBy("year", "month").agg(F.sum("total_treatments").alias("total_treatments"),
                                        F.sum("n_success").alias("n_success"))
     out = g.select("year", "month", "total_treatments",
@@ -120,8 +131,7 @@ def treatments_per_city(fact: DataFrame, dim_locations: DataFrame, ordered: bool
 
 def avg_cost_per_provider(fact: DataFrame, dim_providers: DataFrame) -> DataFrame:
     """E5: average cost per provider, from the exact decimal sum."""
-    per = _per_key(fact.select("provider_sk", "fact_treatment_sk", COMBO_SK, "cost"), "provider_sk",
-                   with_cost=True)
+    per = fact.groupBy("provider_sk").agg(F.sum("cost").alias("sum_cost"), F.count("cost").alias("n_cost"))
     j = _with_providers(per, dim_providers)
     avg = F.try_divide(F.col("sum_cost").cast("double"), F.col("n_cost").cast("double"))
     return j.select("provider_id", "provider_full_name", avg.alias("avg_treatment_cost"))
@@ -154,7 +164,7 @@ MART_NAMES = (
 )
 
 
-def build_marts(star: dict[str, DataFrame], success_ids: Sequence[int] = (1,),
+def build_marts(star: dict[str, DataFrame], success_ids: Sequence[int] | str = FIRST,
                 success_statuses: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """All seven marts from a star (dict of dimension and fact frames)."""
     f = star["fact_treatments"]

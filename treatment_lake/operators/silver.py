@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tags import tag_value, unwrap_group, value_text
-from ..schemas import (COMBO_ID, FLAT_COLUMNS, ITEM_GROUPS, PARTITION_KEY_ATTR, SILVER_COLUMNS,
-                       SILVER_TYPES)
+from ..schemas import ITEM_GROUPS, PARTITION_KEY_ATTR, SILVER_COLUMNS, SILVER_TYPES
 from .combos import add_combo_ids
 
 # --- items <-> bronze ---------------------------------------------------------
@@ -77,6 +76,28 @@ def cast_rejects(flat_text: DataFrame) -> DataFrame:
     return counts.selectExpr(f"stack({len(names)}, {stack}) AS (column_name, rejects)")
 
 
+def n_rejects(names: list[str]) -> F.Column:
+    """Per row, how many of the text values ``raw_<name>`` fail their cast."""
+    return sum((F.when(F.col(f"raw_{c}").isNotNull() & F.col(c).isNull(), 1).otherwise(0) for c in names), F.lit(0))
+
+
+def cast_with_raw(flat_text: DataFrame) -> DataFrame:
+    """The typed columns, the texts they came from (``raw_<name>``) and ``n_rejects``."""
+    names = [c for c in flat_text.columns if c in SILVER_TYPES]
+    both = flat_text.select(*[F.col(c).try_cast(SILVER_TYPES[c]).alias(c) for c in names], *[F.col(c).alias(f"raw_{c}") for c in names])
+    return both.withColumn("n_rejects", n_rejects(names))
+
+
+def reject_rows(both: DataFrame) -> DataFrame:
+    """(treatment_id as text, column_name, value) of every value that failed its cast (of ``cast_with_raw``)."""
+    names = [c for c in SILVER_TYPES if f"raw_{c}" in both.columns]
+    cells = F.array(*[F.when(F.col(f"raw_{c}").isNotNull() & F.col(c).isNull(),
+                             F.struct(F.lit(c).alias("column_name"), F.col(f"raw_{c}").alias("value"))) for c in names])
+    return (both.where("n_rejects > 0").select(F.col("raw_treatment_id").alias("treatment_id"),
+                                               F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("r"))
+            .select("treatment_id", "r.column_name", "r.value"))
+
+
 def to_silver(bronze: DataFrame) -> DataFrame:
     """P1: unwrap -> flatten -> combination id -> cast; 31 silver columns."""
     typed = cast_types(flatten_tagged(bronze))
@@ -108,6 +129,3 @@ def items_json(flat: DataFrame) -> DataFrame:
     return items_from_flat(flat).select(F.to_json("Item").alias("_item")) \
         .select(F.concat(F.lit('{"Item":'), F.col("_item"), F.lit("}")).alias("value"))
 
-
-__all__ = ["bronze_from_items", "unwrap_items", "flatten_items", "flatten_tagged", "cast_types", "cast_rejects",
-           "to_silver", "items_from_flat", "items_json", "COMBO_ID", "FLAT_COLUMNS"]

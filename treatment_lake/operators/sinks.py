@@ -2,10 +2,9 @@
 
 No ``coalesce(1)``: every write is parallel; ``maxRecordsPerFile`` caps
 file size and AQE coalesces small shuffle partitions before the write.
-Bronze is append-only and partitioned by ingest run (a run is then read
-back by partition pruning); tables are rewritten by writing a fresh
-version directory and switching to it, so a failed job never leaves a
-half-written table in place.
+Bronze and silver are partitioned by ingest run (a run is read back by
+partition pruning, and written again it replaces itself); other tables are
+rewritten by ``upsert.RunTable``.
 """
 
 from __future__ import annotations
@@ -20,9 +19,14 @@ DEFAULT_MAX_RECORDS = 5_000_000
 
 
 def write_bronze(df: DataFrame, path: str, run_id: str) -> None:
-    """Append one ingest run to the bronze layer (partition ``ingest_run_id``)."""
+    """One ingest run of the bronze layer (partition ``ingest_run_id``)."""
+    write_run(df, path, run_id)
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """One run as its own partition. Written again (after a failure in between) it replaces itself."""
     (df.withColumn("ingest_run_id", F.lit(run_id))
-     .write.mode("append").partitionBy("ingest_run_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_run_id")
      .option("compression", "zstd").option("maxRecordsPerFile", DEFAULT_MAX_RECORDS)
      .parquet(path))
 
@@ -40,16 +44,19 @@ def write_layout(df: DataFrame, path: str, distribute_by: Sequence[str] = (),
                  range_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Distribution and sort keys as a write layout.
 
-    ``distribute_by`` hash-partitions on the key (co-locates a key in one
-    file set), ``range_by`` range-partitions (interleaved-sort analogue),
-    ``sort_by`` sorts within each output partition so Parquet row-group
-    min/max statistics let later scans skip data.
+    ``distribute_by`` clusters by the key (a key beyond the advisory partition
+    size is split over several tasks and files), ``range_by`` range-partitions
+    (interleaved-sort analogue), ``num_partitions`` without a key deals rows
+    out evenly, ``sort_by`` sorts within each output partition so Parquet
+    row-group min/max statistics let later scans skip data.
     """
     out = df
     if range_by:
         out = out.repartitionByRange(*(([num_partitions] if num_partitions else []) + list(range_by)))
     elif distribute_by:
-        out = out.repartition(*(([num_partitions] if num_partitions else []) + list(distribute_by)))
+        out = out.hint("rebalance", *distribute_by)
+    elif num_partitions:
+        out = out.repartition(num_partitions)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     write_table(out, path, mode)

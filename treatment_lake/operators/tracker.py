@@ -55,9 +55,9 @@ class Tracker:
                 src_n, dst_n, recon, now if done else None, now)
 
     def started(self, step, src_layer, dst_layer, src_table, dst_table, src_n=None) -> None:
-        """Record a STARTED row; it is written together with the step's outcome
-        (one small append per step instead of two)."""
+        """Write a STARTED row before the work, so a crash leaves a trace."""
         self.rows.append(self._row(step, src_layer, dst_layer, src_table, dst_table, "STARTED", src_n))
+        self.flush()
 
     def finished(self, step, src_layer, dst_layer, src_table, dst_table, src_n, dst_n) -> str:
         recon = reconcile(src_n, dst_n)
@@ -78,7 +78,7 @@ class Tracker:
         if self.path is None or self._flushed >= len(self.rows):
             return
         pending = self.rows[self._flushed:]
-        self.spark.createDataFrame(pending, TRACKER_SCHEMA).write.mode("append").parquet(self.path)
+        self.spark.createDataFrame(pending, TRACKER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
         self._flushed = len(self.rows)
 
     def frame(self) -> DataFrame:

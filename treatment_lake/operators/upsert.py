@@ -1,29 +1,35 @@
-"""Upserts (MERGE) on plain Parquet tables.
+"""Upserts (MERGE) and the tables they write.
 
 ``upsert_type1``: matched keys take the source row, unmatched source rows
 are inserted, other target rows stay. ``insert_new_only``: only unmatched
 source rows are added. Both are one anti join (a shuffle on the key of
 both sides; AQE broadcasts whichever side is measured small) plus a union.
 
-Source rows must be one per key (``dedupe.latest_per_key``) and NULL keys
-are removed first: NULL never matches, so it would be inserted on every
-run. Both operations are idempotent - applying a batch twice gives the
-same table - which is what makes streaming micro-batch replays safe.
+``merge_latest``: the newest version of a key wins, wherever it comes
+from. It is the maximum of ``(version, other columns)`` per key over target
+and source, so it does not depend on the order in which batches arrive,
+and applying a batch twice changes nothing.
 
-``VersionedTable`` stores each result as a new version directory and
-reads the newest committed one, so a table is never overwritten while a
-job reads it and a failed write leaves the previous version current.
+NULL keys are removed first: NULL never matches, so it would be inserted on
+every run.
+
+``RunTable`` is a folder per write plus one pointer file that names the
+current folders. A write goes to a fresh folder and counts only once the
+pointer moved, which is a single rename: a failed write leaves the table as
+it was and never stands in the way of the next one. One writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .dedupe import latest_per_key
 from .sinks import write_table
 
 
@@ -46,156 +52,143 @@ def insert_new_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -
     return target.unionByName(new)
 
 
-class VersionedTable:
-    """A Parquet table stored as ``<root>/v<NNNNNNNN>`` version directories.
-
-    The current version is the highest one whose write committed
-    (``_SUCCESS`` present). Listing goes through the Hadoop FileSystem of
-    the path, so it works on any cluster file system.
-    """
+def merge_latest(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Target and source, of each key the row with the newest ``version`` (ties: the other columns, largest first)."""
+    both = target.unionByName(_non_null_keys(source, keys).select(*target.columns))
+    return latest_per_key(both, keys, [version])
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        return jvm, root.getFileSystem(conf), root
-
-    def versions(self) -> list[int]:
-        jvm, fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[1:]))
-        return sorted(out)
-
-    def current_path(self) -> str | None:
-        v = self.versions()
-        return f"{self.root}/v{v[-1]:08d}" if v else None
 
-    def read(self) -> DataFrame:
-        path = self.current_path()
-        if path is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(path)
+class RunTable:
+    """A Parquet table of one folder per write.
 
-    def exists(self) -> bool:
-        return bool(self.versions())
+    ``version``: a stored column that ``merge`` compares and ``read`` hides.
+    ``part``: an int expression; a merge then rewrites only the parts it
+    touches, those of the source rows plus those where the matched old rows
+    are. The number of parts is bounded by their domain (e.g. months), so the
+    touched list is collected and the pointer stays small.
+    ``visible``: rows that ``read`` shows (the others only take part in merges).
+    """
 
-    def commit(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        v = self.versions()
-        path = f"{self.root}/v{(v[-1] + 1 if v else 1):08d}"
-        cols = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        write_table(df.select(*cols), path, mode="errorifexists", partition_by=partition_by)
-        return path
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, version: str | None = None,
+                 part: Column | None = None, visible: str | None = None):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.version, self.part, self.visible = version, part, visible
 
-    def upsert(self, source: DataFrame, keys: Sequence[str], insert_only: bool = False) -> str:
-        """Merge ``source`` into a new version; returns its path."""
-        cur = self.read()
-        merged = insert_new_only(cur, source, keys) if insert_only else upsert_type1(cur, source, keys)
-        return self.commit(merged)
+    # --- pointer -----------------------------------------------------------
 
-    def count(self) -> int:
-        return self.read().count()
+    def _path(self, *names: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *names)))
 
+    def _fs(self):
+        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, *folder: str) -> list[str]:
+        fs, path = self._fs(), self._path(*folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+    def _pointers(self) -> list[str]:
+        return [n for n in self._names("pointer") if n.endswith(".json")]
+
+    def _pointed(self, name: str) -> dict[str, str]:
+        stream = self._fs().open(self._path("pointer", name))
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def current(self) -> dict[str, str] | None:
+        """Part -> folder of the committed table, None before the first commit."""
+        names = self._pointers()
+        return self._pointed(names[-1]) if names else None
+
+    def _commit(self, parts: dict[str, str]) -> None:
+        """Moves the pointer, then removes what neither it nor the one before names (a reader may still be there)."""
+        fs, names = self._fs(), self._pointers()
+        number = int(names[-1][:-len(".json")]) + 1 if names else 1
+        before = self._pointed(names[-1]) if names else {}
+        draft = self._path("pointer", f"{number:010d}.{uuid.uuid4().hex}.draft")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps(parts).encode()))
+        out.close()
+        if not fs.rename(draft, self._path("pointer", f"{number:010d}.json")):
+            raise RuntimeError(f"another writer moved the pointer of {self.root}")
+        named = {f.split("/")[0] for p in (parts, before) for f in p.values()}
+        for run in self._names("runs"):
+            if run not in named:
+                fs.delete(self._path("runs", run), True)
+        for old in names[:-1]:
+            fs.delete(self._path("pointer", old), False)
+
+    # --- reading -----------------------------------------------------------
 
-class PartitionedTable:
-    """A Parquet table partitioned by a column derived from each row; an upsert
-    rewrites only the partitions it touches.
-
-    Touched = the partitions of the source rows plus the partitions where the
-    matched old rows live (a row whose partition value changed moves). The
-    merged rows of the touched partitions are staged under the shared folder
-    and swapped in with dynamic partition overwrite; a touched partition left
-    empty is removed. Cost follows the size of the touched partitions, not of
-    the table. The number of partitions is bounded by the partition domain
-    (e.g. months), so the touched list is broadcast and collected safely.
-    """
+    def exists(self) -> bool:
+        return self.current() is not None
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, part_col: str,
-                 part_expr: F.Column, stage_root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
-        self.part_col = part_col
-        self.part_expr = part_expr
-        self.stage_root = stage_root.rstrip("/")
+    def _load(self, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self._stored())
+        return self.spark.read.schema(self._stored()).parquet(*[f"{self.root}/runs/{f}" for f in folders])
 
-    def _stored_schema(self) -> T.StructType:
-        return T.StructType(list(self.schema.fields) + [T.StructField(self.part_col, T.IntegerType())])
-
-    def exists(self) -> bool:
-        """True once a partition directory is in place (a dynamic partition
-        overwrite leaves no ``_SUCCESS`` marker at the root)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return False
-        prefix = f"{self.part_col}="
-        return any(st.isDirectory() and st.getPath().getName().startswith(prefix)
-                   for st in fs.listStatus(root))
+    def _stored(self) -> T.StructType:
+        extra = [T.StructField(self.version, T.TimestampNTZType())] if self.version else []
+        return T.StructType(list(self.schema.fields) + extra)
 
     def read_stored(self) -> DataFrame:
-        if not self.exists():
-            return self.spark.createDataFrame([], self._stored_schema())
-        return self.spark.read.schema(self._stored_schema()).parquet(self.root)
+        return self._load(sorted(set((self.current() or {}).values())))
 
     def read(self) -> DataFrame:
-        return self.read_stored().drop(self.part_col)
+        rows = self.read_stored()
+        return (rows.where(self.visible) if self.visible else rows).select(*self.schema.fieldNames())
 
     def count(self) -> int:
-        return self.read_stored().count()
+        return self.read().count()
 
-    def _typed(self, df: DataFrame) -> DataFrame:
-        cols = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        return df.select(*cols).withColumn(self.part_col, self.part_expr.cast("int"))
+    # --- writing -----------------------------------------------------------
 
-    def upsert(self, source: DataFrame, keys: Sequence[str]) -> str:
-        """Merge ``source`` into the touched partitions; returns the table root."""
+    def _typed(self, df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in self._stored().fields])
+
+    def _write(self, df: DataFrame) -> dict[str, str]:
+        """The rows in a fresh folder: part -> folder."""
+        run = uuid.uuid4().hex
+        path = f"{self.root}/runs/{run}"
+        if self.part is None:
+            write_table(df, path, mode="errorifexists")
+            return {"all": run}
+        # clustered by part: AQE splits a large part over several tasks and merges small ones
+        rows = df.withColumn("_part", F.coalesce(self.part.cast("int"), F.lit(0))).hint("rebalance", "_part")
+        write_table(rows, path, mode="errorifexists", partition_by=["_part"])
+        fs, jvm_path = self._fs(), self._path("runs", run)
+        names = [s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory()]
+        return {n.split("=")[1]: f"{run}/{n}" for n in names if n.startswith("_part=")}
+
+    def replace(self, df: DataFrame) -> None:
+        """``df`` becomes the table."""
+        self._commit(self._write(self._typed(df)))
+
+    def merge(self, source: DataFrame, keys: Sequence[str], insert_only: bool = False) -> None:
+        """Merges ``source`` (a stored frame: it is read more than once): the newest version of a key wins;
+        without a version column the source does, or with ``insert_only`` the target."""
         src = self._typed(_non_null_keys(source, keys))
-        if not self.exists():
-            write_table(self._rebalanced(src), self.root, mode="overwrite", partition_by=[self.part_col])
-            return self.root
-        cur = self.read_stored()
-        src_keys = src.select(*keys)
-        moved_from = cur.select(*keys, self.part_col).join(src_keys, list(keys), "left_semi") \
-            .select(self.part_col)
-        # Bounded by the partition domain; taken once, before anything is rewritten.
-        touched = [r[0] for r in src.select(self.part_col).unionByName(moved_from).distinct().collect()]
-        if not touched:
-            return self.root
-        in_touched = cur.where(F.col(self.part_col).isin(touched))  # partition pruning
-        merged = in_touched.join(src_keys, list(keys), "left_anti").unionByName(src)
-        stage = f"{self.stage_root}/stage-{uuid.uuid4().hex[:12]}"
-        write_table(self._rebalanced(merged), stage, mode="overwrite", partition_by=[self.part_col])
-        staged = self.spark.read.schema(self._stored_schema()).parquet(stage)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "zstd").partitionBy(self.part_col).parquet(self.root))
-        kept = {r[0] for r in staged.select(self.part_col).distinct().collect()}
-        self._drop_partitions([v for v in touched if v not in kept])
-        return self.root
-
-    def _rebalanced(self, df: DataFrame) -> DataFrame:
-        """Cluster rows by partition value before a partitioned write; AQE splits
-        a large partition value over several tasks and merges small ones, so
-        files are few and sized by ``advisoryPartitionSizeInBytes``."""
-        return df.hint("rebalance", self.part_col)
-
-    def _drop_partitions(self, values: list) -> None:
-        if not values:
-            return
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for v in values:
-            p = jvm.org.apache.hadoop.fs.Path(self.root, f"{self.part_col}={v}")
-            p.getFileSystem(conf).delete(p, True)
+        held = self.current()
+        touched: list[str] = []
+        if not held:
+            held, old = {}, self._load([])
+        elif self.part is None:
+            old = self._load(sorted(set(held.values())))
+        else:
+            part = F.coalesce(self.part.cast("int"), F.lit(0)).alias("_part")
+            moved = self._load(sorted(held.values())).select(*keys, part).join(src.select(*keys), list(keys), "left_semi").select("_part")
+            touched = [str(r[0]) for r in src.select(part).unionByName(moved).distinct().collect()]
+            old = self._load(sorted(held[p] for p in touched if p in held))
+        if insert_only:
+            new = insert_new_only(old, src, keys)
+        elif self.version:
+            new = merge_latest(old, src, keys, self.version)
+        else:
+            new = upsert_type1(old, src, keys)
+        written = self._write(new)
+        if self.part is not None:
+            written = {**{p: f for p, f in held.items() if p not in touched}, **written}
+        self._commit(written)

@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.ledger import Ledger
+from ..operators.marts import FIRST
 from ..operators.tracker import Tracker, utc_now
-from ..schemas import TRACKER_SCHEMA, silver_schema
-from ..sources import layers
+from ..schemas import TRACKER_SCHEMA
 from .gold import build_gold, read_mart, write_marts
-from .silver_build import bronze_to_silver, extract_to_bronze
+from .silver_build import extract_to_bronze, ledger, read_silver, silver_from_pending
 
 
 @dataclass(frozen=True)
@@ -46,19 +47,23 @@ class Layout:
 
 
 def run_once(spark: SparkSession, items_path: str, layout: Layout, run_id: str | None = None,
-             lookback: str | None = None, clock=utc_now, success_ids=(1,)) -> dict:
-    """One run over whatever the export holds: full on an empty lake, else incremental."""
+             lookback: str | None = None, clock=utc_now, success_ids=FIRST, success_statuses=None) -> dict:
+    """One run over whatever the export holds: full on an empty lake, else incremental. Each layer takes every run
+    that the layer before has committed and it has not, so a run that stopped half-way is finished here."""
     run_id = run_id or uuid.uuid4().hex
     tracker = Tracker(spark, layout.tracker, run_id, clock=clock)
     bronze = extract_to_bronze(spark, items_path, layout.bronze, run_id, tracker, lookback, clock)
-    silver = bronze_to_silver(spark, layout.bronze, layout.silver, run_id, tracker, lookback)
-    delta = layers.read_layer(spark, layout.silver, silver_schema())
-    if silver["watermark_before"] is not None:
-        # Only this run's rows reach the upserts: gold is updated, not rebuilt.
-        delta = layers.incremental_filter(delta, silver["watermark_before"], lookback=lookback)
-    tables = build_gold(spark, delta, layout.gold, tracker)
-    write_marts(spark, tables, layout.marts, success_ids, tracker=tracker)
-    return {"run_id": run_id, "bronze": bronze, "silver": silver}
+    silver = silver_from_pending(spark, layout.bronze, layout.silver, tracker)
+    gold = Ledger(spark, f"{layout.gold}_meta/ledger")
+    pending = gold.missing(ledger(spark, layout.silver))
+    if pending:
+        # only these runs' rows reach the merges: gold is updated, not rebuilt
+        rows = read_silver(spark, layout.silver, pending)
+        tables = build_gold(spark, rows, layout.gold, tracker, silver_is_stored=True)
+        write_marts(spark, tables, layout.marts, success_ids, success_statuses, tracker=tracker)
+        for run in pending:
+            gold.commit(run, 0)
+    return {"run_id": run_id, "bronze": bronze, "silver": silver, "gold": pending}
 
 
 def mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

@@ -1,54 +1,59 @@
 """Silver -> gold (P4) and gold -> marts.
 
-``build_gold`` upserts the nine gold tables from one silver frame (full
-table or an incremental delta), in the fixed order, each step tracked and
-reconciled: the expected count is the step's own deduplicated source
-(rows with a non-NULL key), the destination count is how many of those
-keys the target holds after the upsert. A failed step raises, so no later
-step runs on a half-built star.
-
-The current silver rows (one per treatment) are written once as a snapshot
-table under the shared ``spark.checkpoint.dir`` folder and read by all nine
-steps: the dedupe runs once, the steps' lineage starts at that table, and a
-lost executor costs a re-read of files, not a recompute of the dedupe. The
-snapshot is removed when the build ends.
+``build_gold`` merges the nine gold tables from one silver frame (full
+table or the runs gold has not committed), in the fixed order, each step
+tracked and reconciled. A step's source is derived once, written to the
+shared folder, merged from there and counted from there: the source count
+is its rows with a key, the destination count is how many of those keys
+the target holds afterwards. A failed step raises, so no later step runs on
+a half-built star.
+
+Dimensions and the fact are stored with the version of each row, and the
+newest version of a key wins (``upsert.merge_latest``): the order in which
+batches arrive does not matter, and a batch merged twice changes nothing.
+Dimensions take every version in silver, so a key that only a superseded
+version had is in the dimension either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.fact import current_silver
-from ..operators.marts import build_marts
+from ..operators.dims import DIM_BUILDERS, DIM_MAPPINGS, versioned_dim
+from ..operators.fact import fact_versions
+from ..operators.marts import FIRST, build_marts
 from ..operators.sinks import write_table
 from ..operators.tracker import Tracker
-from ..operators.upsert import PartitionedTable, VersionedTable
-from ..schemas import DIM_SCHEMAS, FACT_SCHEMA, PRIMARY_KEYS
+from ..operators.upsert import RunTable
+from ..schemas import DIM_SCHEMAS, FACT_SCHEMA, PRIMARY_KEYS, WATERMARK_COLUMN
 from ..session import scratch_path
-from .star import GOLD_ORDER, build_star
+from .star import GOLD_ORDER
 
 INSERT_ONLY = ("dim_dates", "dim_times")
 
 
-def gold_schema(name: str):
-    return FACT_SCHEMA if name == "fact_treatments" else DIM_SCHEMAS[name]
-
-
-FACT_PARTITION = "start_month"
+def gold_tables(spark: SparkSession, gold_root: str) -> dict[str, RunTable]:
+    """Dimensions as one part each; the fact by start month (yyyymm), so a merge rewrites only the months it touches.
+    A treatment whose newest version has no start date stays in part 0, hidden, to replace older rows."""
+    tables = {n: RunTable(spark, f"{gold_root}/{n}", DIM_SCHEMAS[n], None if n in INSERT_ONLY else WATERMARK_COLUMN)
+              for n in GOLD_ORDER if n != "fact_treatments"}
+    tables["fact_treatments"] = RunTable(spark, f"{gold_root}/fact_treatments", FACT_SCHEMA, WATERMARK_COLUMN,
+                                         part=(F.col("start_date_sk") / 100).cast("int"), visible="start_date_sk IS NOT NULL")
+    return tables
 
 
-def gold_tables(spark: SparkSession, gold_root: str) -> dict:
-    """Dimensions as versioned tables; the fact partitioned by start month
-    (yyyymm), so an incremental upsert rewrites only the months it touches."""
-    tables = {n: VersionedTable(spark, f"{gold_root}/{n}", gold_schema(n)) for n in GOLD_ORDER
-              if n != "fact_treatments"}
-    tables["fact_treatments"] = PartitionedTable(
-        spark, f"{gold_root}/fact_treatments", FACT_SCHEMA, FACT_PARTITION,
-        (F.col("start_date_sk") / 100).cast("int"), f"{gold_root}/_staging/fact_treatments")
-    return tables
+def gold_source(name: str, silver: DataFrame, time_source: DataFrame | None = None, time_cols: list[str] | None = None) -> DataFrame:
+    """The rows that a step merges, with their version where the table keeps one."""
+    if name == "fact_treatments":
+        return fact_versions(silver)
+    if name in DIM_MAPPINGS:
+        return versioned_dim(silver, name)
+    if name == "dim_times" and time_source is not None:
+        return DIM_BUILDERS[name](time_source, time_cols or ["ts"])
+    return DIM_BUILDERS[name](silver)
 
 
 def verify_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -60,28 +65,31 @@ def verify_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> tu
     return int(r["n"]), int(r["h"])
 
 
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = scratch_path(spark, name)
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker: Tracker | None = None,
                time_source: DataFrame | None = None, time_cols: list[str] | None = None,
-               silver_name: str = "silver") -> dict[str, VersionedTable]:
-    tables = gold_tables(spark, gold_root)
-    snap = scratch_path(spark, "current-silver")
-    cur_rows = current_silver(silver)
-    write_table(cur_rows, snap)
-    cur = spark.read.schema(cur_rows.schema).parquet(snap)
+               silver_name: str = "silver", silver_is_stored: bool = False) -> dict[str, RunTable]:
+    """``silver_is_stored``: ``silver`` is a scan of a table; otherwise it is written once, for the nine steps."""
+    tables, paths = gold_tables(spark, gold_root), []
     try:
-        star = build_star(cur, time_source, time_cols, silver_is_current=True)
+        if not silver_is_stored:
+            silver, path = _staged(spark, silver, "gold-silver")
+            paths.append(path)
         for name in GOLD_ORDER:
             keys = PRIMARY_KEYS[name]
-            src = star[name]
             step = (name, "silver", "gold", silver_name, name)
             if tracker:
                 tracker.started(*step)
             try:
-                if name in INSERT_ONLY:
-                    tables[name].upsert(src, keys, insert_only=True)
-                else:
-                    tables[name].upsert(src, keys)
-                src_n, dst_n = verify_keys(src, tables[name].read(), keys)
+                src, path = _staged(spark, gold_source(name, silver, time_source, time_cols), f"gold-{name}")
+                paths.append(path)
+                tables[name].merge(src, keys, insert_only=name in INSERT_ONLY)
+                src_n, dst_n = verify_keys(src, tables[name].read_stored(), keys)
             except Exception:
                 if tracker:
                     tracker.failed(*step)
@@ -89,7 +97,8 @@ def build_gold(spark: SparkSession, silver: DataFrame, gold_root: str, tracker:
             if tracker:
                 tracker.finished(*step, src_n, dst_n)
     finally:
-        _remove(spark, snap)
+        for path in paths:
+            _remove(spark, path)
     return tables
 
 
@@ -99,33 +108,31 @@ def _remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def write_marts(spark: SparkSession, tables: dict[str, VersionedTable], mart_root: str,
-                success_ids: Sequence[int] = (1,), success_statuses: Sequence[str] | None = None,
-                tracker: Tracker | None = None) -> dict[str, str]:
-    """Rebuild all seven marts from the current gold tables (overwrite = new version)."""
+def write_marts(spark: SparkSession, tables: dict[str, RunTable], mart_root: str,
+                success_ids: Sequence[int] | str = FIRST, success_statuses: Sequence[str] | None = None,
+                tracker: Tracker | None = None) -> None:
+    """Rebuild all seven marts from the current gold tables. Rows are counted as they are written and again from
+    the written files."""
     star = {n: t.read() for n, t in tables.items()}
-    marts = build_marts(star, success_ids, success_statuses)
-    paths = {}
-    for name, df in marts.items():
-        vt = VersionedTable(spark, f"{mart_root}/{name}", df.schema)
+    for name, df in build_marts(star, success_ids, success_statuses).items():
+        table = RunTable(spark, f"{mart_root}/{name}", df.schema)
         step = (name, "gold", "mart", "fact_treatments", name)
         if tracker:
             tracker.started(*step)
         try:
-            paths[name] = vt.commit(df)
+            seen = Observation()
+            table.replace(df.observe(seen, F.count(F.lit(1)).alias("n")))
         except Exception:
             if tracker:
                 tracker.failed(*step)
             raise
         if tracker:
-            n = vt.count()
-            tracker.finished(*step, n, n)
-    return paths
+            tracker.finished(*step, seen.get["n"], table.count())
 
 
 def read_mart(spark: SparkSession, mart_root: str, name: str) -> DataFrame:
-    vt = VersionedTable(spark, f"{mart_root}/{name}", None)
-    path = vt.current_path()
-    if path is None:
-        raise FileNotFoundError(f"mart {name} has no committed version under {mart_root}")
-    return spark.read.parquet(path)
+    table = RunTable(spark, f"{mart_root}/{name}", None)
+    folders = table.current()
+    if folders is None:
+        raise FileNotFoundError(f"mart {name} has no committed run under {mart_root}")
+    return spark.read.parquet(f"{table.root}/runs/{folders['all']}")

@@ -9,18 +9,18 @@ from ..functions.tags import GROUP, unwrap_group
 from ..operators import marts
 from ..operators import silver as sv
 from ..operators.combos import combo_ids, combo_label, registry_update
-from ..schemas import FLAT_COLUMNS, SILVER_COLUMNS
+from ..schemas import FLAT_COLUMNS
 from ..session import scratch_path
 from ..sources.items import read_items, write_items
 from ..sources.tables import Tables
-from .registry import QUERIES, bronze_t, flat_t, query, silver_t, star_t  # noqa: F401
+from .registry import QUERIES, QueryFn, bronze_t, flat_t, query, silver_t, star_t
 from .star import build_star
 
 # --- marts (E1-E7, F5) ------------------------------------------------------
 
 @query("provider_treatment_rank")
 def q_provider_treatment_rank(spark, sf_dir):
-    s = star_t(spark, sf_dir)
+    s = star_t(spark, sf_dir, with_ids=False)
     return marts.provider_treatment_rank(s["fact_treatments"], s["dim_providers"])
 
 
@@ -50,27 +50,30 @@ def q_monthly_trends(spark, sf_dir):
 
 @query("geo_distribution")
 def q_geo_distribution(spark, sf_dir):
-    s = star_t(spark, sf_dir)
+    s = star_t(spark, sf_dir, with_ids=False)
     return marts.geo_distribution(s["fact_treatments"], s["dim_locations"])
 
 
 @query("treatments_per_city")
 def q_treatments_per_city(spark, sf_dir):
-    s = star_t(spark, sf_dir)
+    s = star_t(spark, sf_dir, with_ids=False)
     return marts.treatments_per_city(s["fact_treatments"], s["dim_locations"])
 
 
 @query("avg_cost_per_provider")
 def q_avg_cost_per_provider(spark, sf_dir):
-    s = star_t(spark, sf_dir)
+    s = star_t(spark, sf_dir, with_ids=False)
     return marts.avg_cost_per_provider(s["fact_treatments"], s["dim_providers"])
 
 
 # --- dimensions and fact (D1-D9) ---------------------------------------------
 
 def _star_table(name: str) -> QueryFn:
+    """One star table straight from T; only two of them need the combination ids."""
     def fn(spark, sf_dir):
-        return star_t(spark, sf_dir)[name]
+        if name in ("dim_treatment_types_and_outcome_statuses", "fact_treatments"):
+            return build_star(silver_t(spark, sf_dir))[name]
+        return build_star(flat_t(spark, sf_dir))[name]
     fn.__name__ = f"q_{name}"
     return fn
 
@@ -88,6 +91,30 @@ for _key, _table in [
     QUERIES[_key] = _star_table(_table)
 
 
+@query("monthly_trends_by_role")
+def q_monthly_trends_by_role(spark, sf_dir):
+    """E3 for each of the fact's three date roles."""
+    s = star_t(spark, sf_dir)
+    out = None
+    for role in ("start", "completion", "outcome"):
+        part = marts.monthly_trends(s["fact_treatments"], s["dim_dates"], ordered=False, date_role=role).withColumn("date_role", F.lit(role))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("mart_order")
+def q_mart_order(spark, sf_dir):
+    """The first twenty rows of E1 (one sort key and the id) and of E3 (two sort keys), with their positions."""
+    s = star_t(spark, sf_dir)
+    e1 = marts.provider_treatment_rank(s["fact_treatments"], s["dim_providers"]).limit(20)
+    e3 = marts.monthly_trends(s["fact_treatments"], s["dim_dates"]).limit(20)
+
+    def numbered(df, mart, label):
+        rows = df.select(F.collect_list(label).alias("v")).select(F.posexplode("v").alias("p", "label"))
+        return rows.select(F.lit(mart).alias("mart"), (F.col("p") + 1).cast("int").alias("position"), "label")
+
+    return numbered(e1, "provider_treatment_rank", F.col("provider_id").cast("string")).unionByName(
+        numbered(e3, "monthly_trends", F.concat_ws(" ", F.col("year").cast("string"), "month")))
 
 
 # --- silver path (A1, A4, B1-B3, U1-U2, I11-I16, F3-F4, Q5, P1) -------------
@@ -211,5 +238,3 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_once(spark, items, layout, run_id="flagship", clock=lambda: FIXED_CLOCK)
     return mart(spark, layout, "provider_success_rate_rank")
 
-
-__all__ = ["QUERIES", "flagship", "SILVER_COLUMNS"]

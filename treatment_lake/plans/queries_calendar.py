@@ -11,7 +11,7 @@ from ..functions.calendar import calendar_columns, epoch_seconds, second_of_day,
 from ..operators.dims import distinct_dates, distinct_times
 from ..schemas import TIMESTAMP_COLUMNS
 from ..sources.tables import Tables
-from .registry import query, silver_t
+from .registry import flat_t, query
 
 
 @query("calendar_attributes")
@@ -22,7 +22,7 @@ def q_calendar_attributes(spark, sf_dir):
 
 @query("union_dates")
 def q_union_dates(spark, sf_dir):
-    return distinct_dates(silver_t(spark, sf_dir))
+    return distinct_dates(flat_t(spark, sf_dir))
 
 
 @query("date_row_numbers")
@@ -30,13 +30,13 @@ def q_date_row_numbers(spark, sf_dir):
     """Parity numbering: row_number over the distinct dates (one row per day, so the
     single-partition window sees at most a few thousand rows per decade)."""
     w = Window.orderBy(F.col("date").asc_nulls_last())
-    return distinct_dates(silver_t(spark, sf_dir)).select(
+    return distinct_dates(flat_t(spark, sf_dir)).select(
         F.row_number().over(w).cast("long").alias("date_row_number"), "date")
 
 
 def _all_times(spark, sf_dir) -> DataFrame:
     """Seconds of day over silver's five timestamps and the event times."""
-    a = distinct_times(silver_t(spark, sf_dir), TIMESTAMP_COLUMNS)
+    a = distinct_times(flat_t(spark, sf_dir), TIMESTAMP_COLUMNS)
     b = distinct_times(Tables(spark, sf_dir).events, ["ts"])
     return a.unionByName(b).distinct()
 
@@ -88,7 +88,7 @@ def q_null_safe_join(spark, sf_dir):
     """Each record joined to the distinct (start, completion, outcome) triples with
     NULL-safe equality (planned as an equi hash join), counted per status;
     a plain equality join would lose every record without an outcome."""
-    t = silver_t(spark, sf_dir).where(F.col("treatment_start_date").isNotNull())
+    t = flat_t(spark, sf_dir).where(F.col("treatment_start_date").isNotNull())
     cols = ["treatment_start_date", "treatment_completion_date", "treatment_outcome_date"]
     d = t.select(*[F.col(c).alias(f"d_{c}") for c in cols]).distinct()
     cond = None

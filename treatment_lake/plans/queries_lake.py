@@ -10,14 +10,17 @@ from ..functions.tags import BRONZE_SCHEMA
 from ..operators import silver as sv
 from ..operators.dedupe import latest_per_key
 from ..operators.sinks import bulk_append, write_bronze, write_layout, write_table
-from ..operators.upsert import insert_new_only, upsert_type1
-from ..schemas import FLAT_COLUMNS, SILVER_COLUMNS, silver_schema
+from ..operators.upsert import RunTable, insert_new_only, upsert_type1
+from ..schemas import FACT_SCHEMA, WATERMARK_COLUMN, silver_schema
 from ..session import scratch_path
 from ..sources import layers
 from ..sources.items import read_items, scan_items_window, write_items
 from ..sources.tables import Tables, read_table
-from .registry import flat_t, query, silver_t
-from .silver_build import bronze_to_silver, extract_to_bronze
+from .end_to_end import FIXED_CLOCK, Layout, run_once
+from .gold import gold_tables
+from .queries import text_with_bad_values
+from .registry import flat_snapshot, flat_t, query, silver_snapshot, silver_t
+from .silver_build import bronze_to_silver, extract_to_bronze, read_silver, rejects, reset_layer
 
 # --- upserts (D0, D0b, D10) --------------------------------------------------------
 
@@ -104,7 +107,7 @@ def q_load_mode(spark, sf_dir):
 
 @query("latest_batch_count")
 def q_latest_batch_count(spark, sf_dir):
-    top = layers.rows_at_watermark(silver_t(spark, sf_dir))
+    top = layers.rows_at_watermark(flat_snapshot(spark, sf_dir))
     return top.agg(F.max("metadata_modified_at").alias("watermark"), F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -172,15 +175,29 @@ def q_silver_roundtrip(spark, sf_dir):
 def q_bulk_append(spark, sf_dir):
     """Silver file of finished orders, then a file of the others appended by column
     name (columns reordered, ``metadata_added_at`` absent -> NULL)."""
-    silver = silver_t(spark, sf_dir)
+    silver = silver_snapshot(spark, sf_dir)
     path = scratch_path(spark, "silver-append")
     first = F.col("treatment_outcome_status") == "F"
     write_table(silver.where(first), path)
-    later = silver.where(~first).drop("metadata_added_at")
+    later = silver.where(~first | first.isNull()).drop("metadata_added_at")
     bulk_append(later.select(*reversed(later.columns)), silver_schema(), path)
     return layers.read_layer(spark, path, silver_schema())
 
 
+@query("write_layout_even")
+def q_write_layout_even(spark, sf_dir):
+    path = scratch_path(spark, "silver-even")
+    write_layout(silver_t(spark, sf_dir), path, num_partitions=6)
+    return layers.read_layer(spark, path, silver_schema())
+
+
+@query("write_layout_range")
+def q_write_layout_range(spark, sf_dir):
+    path = scratch_path(spark, "silver-range")
+    write_layout(silver_snapshot(spark, sf_dir), path, range_by=["treatment_start_date", "provider_id"], sort_by=["provider_id"])
+    return layers.read_layer(spark, path, silver_schema())
+
+
 @query("write_layout")
 def q_write_layout(spark, sf_dir):
     path = scratch_path(spark, "silver-layout")
@@ -206,6 +223,18 @@ def q_latest_file(spark, sf_dir):
     return layers.latest_file_rows(df, by="name", unit="dir")
 
 
+@query("latest_file_mtime")
+def q_latest_file_mtime(spark, sf_dir):
+    """Folders written in the reverse order of their names: the newest by time is the first by name."""
+    events = Tables(spark, sf_dir).events
+    root = scratch_path(spark, "batches")
+    et = F.col("event_type")
+    for name, cond in (("batch_003", ~et.isin("click", "view") | et.isNull()), ("batch_002", et == "view"), ("batch_001", et == "click")):
+        write_table(events.where(cond), f"{root}/{name}")
+    df = layers.read_layer(spark, root, events.schema, recursive=True)
+    return layers.latest_file_rows(df, by="mtime", unit="dir")
+
+
 @query("file_filter")
 def q_file_filter(spark, sf_dir):
     """Parquet and JSON files under one root; only ``*.parquet`` is read."""
@@ -226,7 +255,91 @@ def q_source_to_silver(spark, sf_dir):
     silver_root = scratch_path(spark, "silver")
     run = extract_to_bronze(spark, items_path, bronze_root)
     bronze_to_silver(spark, bronze_root, silver_root, run["run_id"])
-    return layers.read_layer(spark, silver_root, silver_schema())
+    return read_silver(spark, silver_root)
+
+
+@query("export_window")
+def q_export_window(spark, sf_dir):
+    """The window scan over item files."""
+    path = scratch_path(spark, "export")
+    write_items(flat_t(spark, sf_dir), path)
+    picked = scan_items_window(read_items(spark, path), SCAN_LO, SCAN_HI)
+    return sv.cast_types(sv.flatten_tagged(sv.bronze_from_items(picked))).select("treatment_id", "metadata_modified_at")
+
+
+@query("empty_export")
+def q_empty_export(spark, sf_dir):
+    """A run over an export, then a run over an export that is not there."""
+    items_path, bronze_root = scratch_path(spark, "export"), scratch_path(spark, "bronze")
+    write_items(flat_t(spark, sf_dir), items_path)
+    runs = [("export", extract_to_bronze(spark, items_path, bronze_root)),
+            ("missing", extract_to_bronze(spark, scratch_path(spark, "no-export"), bronze_root))]
+    return spark.createDataFrame([(name, r["mode"], r["rows"]) for name, r in runs], "source string, mode string, n_rows long")
+
+
+@query("pipeline_rejects")
+def q_pipeline_rejects(spark, sf_dir):
+    """An export with values that do not cast and lines that are no items: what the pipeline refused, by kind and column."""
+    items_path, bronze_root, silver_root = (scratch_path(spark, n) for n in ("export", "bronze", "silver"))
+    sv.items_json(text_with_bad_values(spark, sf_dir)).write.text(items_path)
+    broken = Tables(spark, sf_dir).orders.where("o_orderstatus = 'P'").select(
+        F.concat(F.lit('{"Item": {"treatment": '), F.col("o_orderkey").cast("string")).alias("value"))
+    broken.write.mode("append").text(items_path)
+    run = extract_to_bronze(spark, items_path, bronze_root)
+    bronze_to_silver(spark, bronze_root, silver_root, run["run_id"])
+    both = rejects(spark, bronze_root).unionByName(rejects(spark, silver_root))
+    return both.groupBy("kind", "column_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-__all__ = ["FLAT_COLUMNS"]
+@query("layer_reset")
+def q_layer_reset(spark, sf_dir):
+    """A loaded layer, the same layer after its reset, and after it was loaded again."""
+    items_path, bronze_root = scratch_path(spark, "export"), scratch_path(spark, "bronze")
+    write_items(flat_t(spark, sf_dir), items_path)
+    out = []
+    for state in ("loaded", "reset", "loaded again"):
+        if state == "reset":
+            reset_layer(spark, bronze_root)
+            out.append((state, layers.load_mode(spark, bronze_root), 0))
+        else:
+            run = extract_to_bronze(spark, items_path, bronze_root)
+            out.append((state, run["mode"], run["rows"]))
+    return spark.createDataFrame(out, "state string, mode string, n_rows long")
+
+
+FACT_WITHOUT_ID = [c for c in FACT_SCHEMA.fieldNames() if c != "treatment_type_and_outcome_status_sk"]
+
+
+@query("resume_after_failure")
+def q_resume_after_failure(spark, sf_dir):
+    """A run that stopped after bronze, one that stopped after silver, then a whole run: the fact holds them all."""
+    flat = flat_snapshot(spark, sf_dir)
+    layout = Layout(scratch_path(spark, "lake"))
+    early = F.col("metadata_modified_at") <= F.lit(SCAN_LO).cast("timestamp_ntz")
+    middle = F.col("metadata_modified_at") <= F.lit(SCAN_HI).cast("timestamp_ntz")
+
+    def export(rows):
+        path = scratch_path(spark, "export")
+        write_items(rows, path)
+        return path
+
+    clock = lambda: FIXED_CLOCK
+    extract_to_bronze(spark, export(flat.where(early)), layout.bronze, "r1", clock=clock)
+    run = extract_to_bronze(spark, export(flat.where(middle)), layout.bronze, "r2", clock=clock)
+    bronze_to_silver(spark, layout.bronze, layout.silver, run["run_id"])
+    run_once(spark, export(flat), layout, "r3", clock=clock)
+    return gold_tables(spark, layout.gold)["fact_treatments"].read().select(FACT_WITHOUT_ID)
+
+
+@query("upsert_late_version")
+def q_upsert_late_version(spark, sf_dir):
+    """The newer version of some orders is merged first, then an older one of all of them."""
+    orders = Tables(spark, sf_dir).orders
+    schema = orders.select("o_orderkey", "o_totalprice").schema
+    table = RunTable(spark, scratch_path(spark, "late"), schema, version=WATERMARK_COLUMN)
+    newer = orders.where("o_orderpriority = '1-URGENT'").select(
+        "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias(WATERMARK_COLUMN))
+    older = orders.select("o_orderkey", "o_totalprice", F.col("o_orderdate").alias(WATERMARK_COLUMN))
+    table.merge(newer, ["o_orderkey"])
+    table.merge(older, ["o_orderkey"])
+    return table.read()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import check_all_orphans, check_lengths, check_not_null, check_unique
 from ..operators.tracker import Tracker, latest_status, reconcile_col
-from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, SILVER_LENGTHS, TRACKER_SCHEMA
+from ..schemas import DIM_LENGTHS, FOREIGN_KEYS, SILVER_LENGTHS, TRACKER_SCHEMA
 from ..session import scratch_path
 from ..sources.tables import Tables
 from .gold import build_gold
@@ -32,6 +32,16 @@ def q_check_lengths(spark, sf_dir):
     return check_lengths(silver_t(spark, sf_dir), SILVER_LENGTHS)
 
 
+@query("dim_lengths")
+def q_dim_lengths(spark, sf_dir):
+    """Declared lengths of the dimensions' text columns."""
+    star, out = star_t(spark, sf_dir), None
+    for name, limits in DIM_LENGTHS.items():
+        part = check_lengths(star[name], limits).withColumn("table_name", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("check_orphans")
 def q_check_orphans(spark, sf_dir):
     """The full star's child keys against dimensions loaded from finished orders only."""
@@ -41,17 +51,13 @@ def q_check_orphans(spark, sf_dir):
     return check_all_orphans(children, parents, FOREIGN_KEYS)
 
 
-def _count_rows_by_step(frames: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """(step, side, n) rows -> one row per step with source and destination counts."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(step).alias("step"), F.lit(side).alias("side"), "n")
-             for step, side, df in frames]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    g = u.groupBy("step").agg(F.max(F.when(F.col("side") == "source", F.col("n"))).alias("source_count"),
-                              F.max(F.when(F.col("side") == "destination", F.col("n"))).alias("destination_count"))
-    return g.select("step", "source_count", "destination_count",
-                    reconcile_col(F.col("source_count"), F.col("destination_count")).alias("reconciliation_status"))
+def _counts(frames: list[tuple[str, DataFrame]]) -> DataFrame:
+    """(step, n): one count per frame."""
+    out = None
+    for step, df in frames:
+        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(step).alias("step"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("reconcile_counts")
@@ -59,10 +65,11 @@ def q_reconcile_counts(spark, sf_dir):
     """The reference rule: all silver rows vs all rows of the built table."""
     silver = silver_snapshot(spark, sf_dir)
     star = build_star(silver)
-    frames = []
-    for name in GOLD_ORDER:
-        frames += [(name, "source", silver), (name, "destination", star[name])]
-    return _count_rows_by_step(frames)
+    built = _counts([(name, star[name]) for name in GOLD_ORDER])
+    total = silver.agg(F.count(F.lit(1)).alias("source_count"))  # one row, counted once
+    both = built.crossJoin(F.broadcast(total))
+    return both.select("step", "source_count", F.col("n").alias("destination_count"),
+                       reconcile_col(F.col("source_count"), F.col("n")).alias("reconciliation_status"))
 
 
 def _run_gold(spark, sf_dir) -> str:
@@ -94,5 +101,3 @@ def q_tracker_latest(spark, sf_dir):
     return latest_status(t).select("step", "status", "source_count", "destination_count",
                                    "reconciliation_status")
 
-
-__all__ = ["PRIMARY_KEYS", "star_t"]

@@ -9,8 +9,8 @@ from ..schemas import silver_schema
 from ..session import scratch_path
 from ..sources.tables import Tables
 from ..streaming.ingest import ingest_files, stream_gold
-from .gold import read_mart
-from .registry import query, silver_t
+from .gold import gold_tables, read_mart
+from .registry import query, silver_snapshot
 
 STREAM_TIMEOUT_S = 900
 
@@ -35,16 +35,33 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(sink)
 
 
-@query("stream_star")
-def q_stream_star(spark, sf_dir):
-    """Silver lands in three files (by outcome status); each run upserts the new rows
-    into gold and rebuilds the marts. The final E1 equals the batch E1."""
-    silver = silver_t(spark, sf_dir)
+def _stream_gold(spark, sf_dir, order) -> tuple[str, str]:
+    """Silver lands in three files by outcome status, in the given order, one run per file; (gold, marts)."""
+    silver = silver_snapshot(spark, sf_dir)
     landing = scratch_path(spark, "silver-landing")
     gold, marts, ckpt = (scratch_path(spark, n) for n in ("gold", "marts", "ckpt"))
     st = F.col("treatment_outcome_status")
-    for name, cond in (("batch_001", st == "F"), ("batch_002", st == "O"),
-                       ("batch_003", ~st.isin("F", "O") | st.isNull())):
-        write_table(silver.where(cond), f"{landing}/{name}")
-        stream_gold(spark, f"{landing}/*", silver_schema(), gold, marts, ckpt, timeout_s=STREAM_TIMEOUT_S)
-    return read_mart(spark, marts, "provider_treatment_rank")
+    conditions = {"F": st == "F", "O": st == "O", "other": ~st.isin("F", "O") | st.isNull()}
+    for i, name in enumerate(order):
+        write_table(silver.where(conditions[name]), f"{landing}/batch_{i:03d}")
+        stream_gold(spark, f"{landing}/*", silver_schema(), gold, marts, ckpt, timeout_s=STREAM_TIMEOUT_S,
+                    refresh_marts=i == len(order) - 1)
+    return gold, marts
+
+
+@query("stream_star")
+def q_stream_star(spark, sf_dir):
+    """Each run merges the new rows into gold, the last one rebuilds the marts. The final E1 equals the batch E1."""
+    return read_mart(spark, _stream_gold(spark, sf_dir, ("F", "O", "other"))[1], "provider_treatment_rank")
+
+
+@query("stream_star_providers")
+def q_stream_star_providers(spark, sf_dir):
+    """The provider dimension after batches in another order equals the batch build."""
+    return gold_tables(spark, _stream_gold(spark, sf_dir, ("other", "O", "F"))[0])["dim_providers"].read()
+
+
+@query("stream_star_fact")
+def q_stream_star_fact(spark, sf_dir):
+    """The fact likewise."""
+    return gold_tables(spark, _stream_gold(spark, sf_dir, ("O", "F", "other"))[0])["fact_treatments"].read()

@@ -40,20 +40,26 @@ def silver_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_combo_ids(flat_t(spark, sf_dir))
 
 
-def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T written once as a table in the shared folder and read back: queries
-    that derive several stars from T scan it instead of re-running the
-    adapter joins per table (and their lineage starts at the files)."""
-    rows = silver_t(spark, sf_dir)
-    path = scratch_path(spark, "silver-snapshot")
+def flat_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T without ids written once as a table in the shared folder: queries that
+    derive several frames from T scan it, so each source table is read once and
+    their lineage starts at the files."""
+    rows = flat_t(spark, sf_dir)
+    path = scratch_path(spark, "flat-snapshot")
     write_table(rows, path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T with ids over the snapshot: the ids are a broadcast join on its scan."""
+    return add_combo_ids(flat_snapshot(spark, sf_dir))
+
+
 def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T as bronze rows (tagged groups), built in-query."""
     return sv.bronze_from_items(sv.items_from_flat(flat_t(spark, sf_dir)), "t")
 
 
-def star_t(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_star(silver_t(spark, sf_dir))
+def star_t(spark: SparkSession, sf_dir: str, with_ids: bool = True) -> dict[str, DataFrame]:
+    """The star over one snapshot of T; without ids there is no combination dimension."""
+    return build_star(silver_snapshot(spark, sf_dir) if with_ids else flat_snapshot(spark, sf_dir))

@@ -1,96 +1,145 @@
 """Source -> bronze -> silver (P2, P3).
 
 ``extract_to_bronze``: item export files -> one bronze ingest run. Full
-mode when bronze is empty; otherwise only items newer than bronze's data
-watermark (nested ``metadata.modified_at``), optionally re-reading a
-``lookback`` overlap.
+mode when bronze has no committed run; otherwise only items newer than the
+newest time bronze has committed (nested ``metadata.modified_at``) and items
+without a readable time, optionally re-reading a ``lookback`` overlap.
 
-``bronze_to_silver``: one bronze run -> silver rows appended to the silver
-table. In incremental mode the combination ids come from the ids already
-in silver (new pairs are numbered after them), and only rows newer than
-silver's watermark are appended.
+``bronze_to_silver``: one bronze run -> the silver partition of that run.
+Combination ids come from a small registry table that new pairs extend.
 
-Both write once and count from the written files (Parquet footers), and
-log STARTED/SUCCESS/FAILED rows with reconciled counts to a tracker.
+Both write once, count what they write while writing it (``Observation``)
+and compare that with the written files, and keep what they refuse: lines
+that are no items and values that do not cast go to the reject table, with
+their run. Side tables live beside the layer, under ``<layer>_meta``.
+A run is committed by a ledger row after its data is written; written again
+it replaces itself.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import BRONZE_SCHEMA
 from ..operators import silver as sv
-from ..operators.combos import TYPE_COL, STATUS_COL, assign_with_registry, registry_update
-from ..operators.sinks import write_bronze, write_table
+from ..operators.combos import REGISTRY_SCHEMA, assign_with_registry, registry_update
+from ..operators.ledger import Ledger
+from ..operators.sinks import write_bronze, write_run
 from ..operators.tracker import Tracker, utc_now
-from ..schemas import COMBO_ID, SILVER_COLUMNS, silver_schema
+from ..operators.upsert import RunTable
+from ..schemas import SILVER_COLUMNS, silver_schema
 from ..sources import layers
-from ..sources.items import read_items, scan_items_window
+from ..sources.items import bad_lines, is_item, modified_at, read_items, scan_items_window
 
+REJECT_SCHEMA = "kind string, treatment_id string, column_name string, value string, ingest_run_id string"
 
-def bronze_watermark(spark: SparkSession, bronze_root: str):
-    bronze = layers.read_layer(spark, bronze_root, BRONZE_SCHEMA)
-    ts = F.col("metadata")["modified_at"]["S"].try_cast("timestamp_ntz")
-    return bronze.agg(F.max(ts).alias("wm")).first()["wm"]
+
+def ledger(spark: SparkSession, layer_root: str) -> Ledger:
+    return Ledger(spark, f"{layer_root}_meta/ledger")
+
+
+def rejects(spark: SparkSession, layer_root: str) -> DataFrame:
+    """What the runs of a layer refused."""
+    return layers.read_layer(spark, f"{layer_root}_meta/rejects", spark.createDataFrame([], REJECT_SCHEMA).schema)
+
+
+def _write_rejects(found: DataFrame, layer_root: str, run_id: str) -> None:
+    write_run(found.select("kind", "treatment_id", "column_name", "value"), f"{layer_root}_meta/rejects", run_id)
+
+
+def combo_registry(spark: SparkSession, silver_root: str) -> RunTable:
+    return RunTable(spark, f"{silver_root}_meta/registry", spark.createDataFrame([], REGISTRY_SCHEMA).schema)
+
+
+def read_silver(spark: SparkSession, silver_root: str, run_ids: list[str] | None = None) -> DataFrame:
+    """The silver rows, of the given runs only (partition pruning)."""
+    rows = layers.read_layer(spark, silver_root, silver_schema())
+    if run_ids is not None:
+        rows = rows.where(F.col("ingest_run_id").isin(run_ids)) if "ingest_run_id" in rows.columns else rows.limit(0)
+    return rows.select(*SILVER_COLUMNS)
 
 
 def extract_to_bronze(spark: SparkSession, items_path: str, bronze_root: str, run_id: str | None = None,
                       tracker: Tracker | None = None, lookback: str | None = None, clock=utc_now) -> dict:
     run_id = run_id or uuid.uuid4().hex
-    mode = layers.load_mode(spark, bronze_root)
+    done = ledger(spark, bronze_root)
+    mode = "incremental" if done.runs() else "full"
     step = ("extract", "source", "bronze", items_path, bronze_root)
-    items = read_items(spark, items_path)
+    everything = read_items(spark, items_path)
+    items = everything
     if mode == "incremental":
-        wm = bronze_watermark(spark, bronze_root)
+        wm = done.watermark()
         if wm is not None and lookback:
             wm = spark.range(1).select((F.lit(wm).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}"))
                                        .alias("w")).first()["w"]
-        items = scan_items_window(items, wm, clock())
+        items = scan_items_window(items, wm, clock(), keep_unknown=True)
     if tracker:
         tracker.started(*step)
     try:
-        write_bronze(sv.bronze_from_items(items), bronze_root, run_id)
+        # bad lines have no readable time, so the window keeps them and this one pass counts them
+        seen = Observation()
+        items = items.observe(seen, F.count_if(is_item()).alias("n"), F.count_if(~is_item()).alias("bad"),
+                              F.max(modified_at()).alias("wm"))
+        write_bronze(sv.bronze_from_items(items.where(is_item())), bronze_root, run_id)
+        got = seen.get
+        if got["bad"]:
+            lines = bad_lines(everything)
+            _write_rejects(lines.select(F.lit("line").alias("kind"), F.lit(None).cast("string").alias("treatment_id"),
+                                        F.lit(None).cast("string").alias("column_name"), F.col("line").alias("value")),
+                           bronze_root, run_id)
         written = layers.read_run(layers.read_layer(spark, bronze_root, BRONZE_SCHEMA), run_id).count()
+        done.commit(run_id, written, got["wm"])
     except Exception:
         if tracker:
             tracker.failed(*step)
         raise
     if tracker:
-        # Expected rows: the items the window selects (counted from the source files).
-        tracker.finished(*step, items.count(), written)
-    return {"run_id": run_id, "mode": mode, "rows": written}
+        tracker.finished(*step, got["n"], written)
+    return {"run_id": run_id, "mode": mode, "rows": written, "rejected_lines": got["bad"]}
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, run_id: str,
-                     tracker: Tracker | None = None, lookback: str | None = None) -> dict:
-    mode = layers.load_mode(spark, silver_root)
+                     tracker: Tracker | None = None) -> dict:
+    done = ledger(spark, silver_root)
+    mode = "incremental" if done.runs() else "full"
     step = ("transform", "bronze", "silver", bronze_root, silver_root)
     bronze = layers.read_run(layers.read_layer(spark, bronze_root, BRONZE_SCHEMA), run_id)
-    typed = sv.cast_types(sv.flatten_tagged(bronze))
-    wm = None
-    if mode == "full":
-        out = sv.add_combo_ids(typed)
-    else:
-        current = layers.read_layer(spark, silver_root, silver_schema())
-        wm = layers.watermark_value(current)
-        typed = layers.incremental_filter(typed, wm, None, lookback=lookback)
-        known = current.select(TYPE_COL, STATUS_COL, COMBO_ID).distinct() \
-            .withColumn("combo", F.concat_ws("_", TYPE_COL, STATUS_COL))
-        out = assign_with_registry(typed, registry_update(known, typed))
-    out = out.select(*SILVER_COLUMNS)
+    both = sv.cast_with_raw(sv.flatten_tagged(bronze))
     if tracker:
         tracker.started(*step)
-    before = layers.count_rows(spark, silver_root) if mode == "incremental" else 0
     try:
-        write_table(out, silver_root, mode="append")
+        pairs = combo_registry(spark, silver_root)
+        pairs.replace(registry_update(pairs.read() if pairs.exists() else None, both))
+        seen = Observation()
+        both = both.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("n_rejects").alias("bad"))
+        write_run(assign_with_registry(both, pairs.read()).select(*SILVER_COLUMNS), silver_root, run_id)
+        got = seen.get
+        if got["bad"]:
+            cells = sv.reject_rows(sv.cast_with_raw(sv.flatten_tagged(bronze)))
+            _write_rejects(cells.select(F.lit("value").alias("kind"), "treatment_id", "column_name", "value"), silver_root, run_id)
+        written = read_silver(spark, silver_root, [run_id]).count()
+        done.commit(run_id, written)
     except Exception:
         if tracker:
             tracker.failed(*step)
         raise
-    after = layers.count_rows(spark, silver_root)
     if tracker:
-        tracker.finished(*step, out.count(), after - before)
-    return {"run_id": run_id, "mode": mode, "rows": after - before, "watermark_before": wm}
+        tracker.finished(*step, got["n"], written)
+    return {"run_id": run_id, "mode": mode, "rows": written, "rejected_values": got["bad"] or 0}
+
+
+def silver_from_pending(spark: SparkSession, bronze_root: str, silver_root: str, tracker: Tracker | None = None) -> list[dict]:
+    """Every run that bronze has committed and silver has not, in order."""
+    pending = ledger(spark, silver_root).missing(ledger(spark, bronze_root))
+    return [bronze_to_silver(spark, bronze_root, silver_root, run, tracker) for run in pending]
+
+
+def reset_layer(spark: SparkSession, layer_root: str) -> None:
+    """An empty layer: its data, ledger, registry and rejects go, and the next run is a full load."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in (f"{layer_root}_meta", layer_root):  # the commits first: what is left of the data then counts for nothing
+        p = hadoop.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,8 +1,8 @@
 """Silver -> star schema (eight dimensions + fact), as lazy frames.
 
 ``build_star`` gives the *source* rows of every gold table from one silver
-frame (full mode: the upsert into an empty target is the source itself).
-``plans.gold`` applies them to stored tables with upserts and tracking.
+frame (full mode: the merge into an empty target is the source itself).
+``plans.gold`` merges them into stored tables, with tracking.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.dims import DIM_BUILDERS
 from ..operators.fact import fact_rows
+from ..schemas import COMBO_ID
 
 # Build order of the gold steps (dimensions first, then the fact).
 GOLD_ORDER = (
@@ -20,16 +21,15 @@ GOLD_ORDER = (
 
 
 def build_star(silver: DataFrame, time_source: DataFrame | None = None,
-               time_cols: list[str] | None = None, silver_is_current: bool = False) -> dict[str, DataFrame]:
+               time_cols: list[str] | None = None) -> dict[str, DataFrame]:
     """All nine gold source frames from ``silver``.
 
     ``time_source``/``time_cols`` let the time dimension read other
     timestamps (e.g. event times) when silver's are all midnight.
-    ``silver_is_current`` skips the fact's latest-version pick when the
-    input already holds one row per treatment.
     """
-    star = {name: DIM_BUILDERS[name](silver) for name in GOLD_ORDER if name != "fact_treatments"}
+    star = {name: DIM_BUILDERS[name](silver) for name in GOLD_ORDER if name != "fact_treatments"
+            and (COMBO_ID in silver.columns or name != "dim_treatment_types_and_outcome_statuses")}
     if time_source is not None:
         star["dim_times"] = DIM_BUILDERS["dim_times"](time_source, time_cols or ["ts"])
-    star["fact_treatments"] = fact_rows(silver, dedupe=not silver_is_current)
+    star["fact_treatments"] = fact_rows(silver)
     return star

@@ -24,8 +24,6 @@ ITEM_GROUPS: dict[str, list[str]] = {
 }
 # The item key that is not a group and is dropped on unwrap.
 PARTITION_KEY_ATTR = "treatment_id_partition_key"
-# Tags of the document-store value encoding.
-VALUE_TAGS = ["S", "N", "BOOL", "NULL", "SS", "NS", "L", "M"]
 # Declared VARCHAR lengths of the warehouse tables (silver and dims).
 SILVER_LENGTHS: dict[str, int] = {
     "treatment_outcome_status": 50, "treatment_type": 50,
@@ -44,8 +42,6 @@ DIM_LENGTHS: dict[str, dict[str, int]] = {
     "dim_patients": {"full_name": 255, "gender": 10},
     "dim_diseases": {"name": 255, "type": 100, "severity": 50, "transmission_mode": 100},
 }
-# ---------------------------------------------------------------------------
-
 COMBO_ID = "treatment_type_and_outcome_status_id"
 
 MONEY = T.DecimalType(18, 2)
@@ -85,6 +81,8 @@ SILVER_TYPES: dict[str, T.DataType] = {
     COMBO_ID: T.IntegerType(),
 }
 
+# ---------------------------------------------------------------------------
+
 FLAT_COLUMNS: list[str] = [f"{g}_{f}" for g, fields in ITEM_GROUPS.items() for f in fields]
 SILVER_COLUMNS: list[str] = FLAT_COLUMNS + [COMBO_ID]
 assert SILVER_COLUMNS == list(SILVER_TYPES)
@@ -106,6 +104,7 @@ def struct_of(spec: list[tuple[str, T.DataType]]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in spec])
 
 
+# --- Fixed values: names, types and keys of the warehouse tables -----------
 DIM_SCHEMAS: dict[str, T.StructType] = {
     "dim_dates": struct_of([
         ("date_sk", T.IntegerType()), ("date", T.DateType()), ("day_of_week", T.StringType()),
@@ -178,6 +177,7 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("fact_treatments", "completion_time_sk", "dim_times", "time_sk"),
     ("fact_treatments", "outcome_time_sk", "dim_times", "time_sk"),
 ]
+# ---------------------------------------------------------------------------
 
 TRACKER_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -194,6 +194,3 @@ TRACKER_SCHEMA = T.StructType([
     T.StructField("completion_timestamp", T.TimestampNTZType(), True),
     T.StructField("created_at", T.TimestampNTZType(), True),
 ])
-
-STATUSES = ("STARTED", "IN_PROGRESS", "SUCCESS", "FAILED")
-RECONCILIATION = ("MATCH", "MISMATCH", "SKIPPED")

@@ -72,6 +72,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # pragma: no cover
             root = None
+    if root is None and not _is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, intermediate tables need a folder that "
+                           "the driver and all executors share")
     if root is None:
         root = tempfile.mkdtemp(prefix="treatment_lake-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
@@ -82,6 +85,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
+_HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this process (frames that read them can no longer be evaluated)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _HANDED_OUT:
+        path = hadoop.Path(_HANDED_OUT.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

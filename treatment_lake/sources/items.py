@@ -8,11 +8,15 @@ or missing export yields an empty frame with the same schema.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.tags import BRONZE_SCHEMA, ITEM_SCHEMA
+from ..functions.tags import ITEM_SCHEMA
 from ..operators.silver import items_json
+from .layers import path_exists
+
+CORRUPT = "_corrupt_line"
 
 
 def write_items(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -21,27 +25,37 @@ def write_items(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Scan item files with the fixed item schema. Malformed lines keep NULL groups."""
-    return (spark.read.schema(ITEM_SCHEMA)
-            .option("mode", "PERMISSIVE")
-            .option("ignoreMissingFiles", "true")
-            .json(path))
+    """Scan item files with the fixed item schema. A line that is no item has a NULL ``Item`` and, if it is no JSON
+    of this shape, its text in ``CORRUPT``; a missing or empty export gives an empty frame."""
+    schema = T.StructType([*ITEM_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("ignoreMissingFiles", "true").json(path))
+
+
+def is_item() -> Column:
+    return F.col("Item").isNotNull() & F.col(CORRUPT).isNull()
+
 
+def bad_lines(items: DataFrame) -> DataFrame:
+    """``line`` of every line that is no item."""
+    return items.where(~is_item()).select(F.coalesce(F.col(CORRUPT), F.to_json("Item"), F.lit("{}")).alias("line"))
 
-def empty_items(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], ITEM_SCHEMA)
 
+def modified_at() -> Column:
+    return F.col("Item.metadata.M")["modified_at"]["S"].try_cast("timestamp_ntz")
 
-def empty_bronze(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], BRONZE_SCHEMA)
 
+def scan_items_window(items: DataFrame, lo=None, hi=None, keep_unknown: bool = False) -> DataFrame:
+    """Items whose nested ``metadata.modified_at`` lies in ``(lo, hi]`` (either bound optional).
 
-def scan_items_window(items: DataFrame, lo=None, hi=None) -> DataFrame:
-    """Items whose nested ``metadata.modified_at`` lies in ``(lo, hi]`` (either bound optional)."""
-    ts = F.col("Item.metadata.M")["modified_at"]["S"].try_cast("timestamp_ntz")
+    ``keep_unknown`` also keeps items without a readable time: no window says whether they are new, and upserts
+    make reading them again harmless."""
+    ts = modified_at()
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (ts > F.lit(lo).cast("timestamp_ntz"))
     if hi is not None:
         cond = cond & (ts <= F.lit(hi).cast("timestamp_ntz"))
-    return items.where(cond)
+    return items.where((cond | ts.isNull()) if keep_unknown else cond)

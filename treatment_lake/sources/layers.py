@@ -8,6 +8,8 @@ nothing lists or opens files on the driver beyond Spark's own listing.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +18,25 @@ from pyspark.sql import types as T
 from ..schemas import WATERMARK_COLUMN
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when the path (or glob) names something on its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def _nothing_there(error: AnalysisException) -> bool:
+    """No such path, or no data file under it. Every other error is the caller's to see."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet", glob: str | None = None, recursive: bool = False,
                ignore_corrupt: bool = False) -> DataFrame:
     """Read a layer; with a schema, a missing or empty path gives an empty frame.
     Unreadable files fail the job unless ``ignore_corrupt`` is set."""
+    if schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     reader = spark.read.format(fmt)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
@@ -32,17 +48,21 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
         reader = reader.schema(schema)
     try:
         return reader.load(path)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as error:
+        if schema is None or not _nothing_there(error):
             raise
         return spark.createDataFrame([], schema)
 
 
 def layer_exists(spark: SparkSession, path: str) -> bool:
     """True when the path holds at least one readable data file."""
+    if not path_exists(spark, path):
+        return False
     try:
         df = spark.read.format("parquet").load(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _nothing_there(error):
+            raise
         return False
     return not df.select(F.lit(1)).isEmpty()
 
@@ -67,26 +87,36 @@ def latest_file_rows(df: DataFrame, by: str = "name", unit: str = "file") -> Dat
     files - one Spark write (``unit="dir"``), by path name (``by="name"``) or
     by modification time (``by="mtime"``).
 
-    One aggregate finds the newest unit; a broadcast join of that single
-    row keeps its rows - no collect, no second listing.
+    The newest unit is found from the files' facts (by name from the listing
+    alone, by time from a scan that reads no column), and only its files are read.
     """
-    facts = with_file_facts(df)
-    if unit == "dir":
-        facts = facts.withColumn("_file_path", F.regexp_extract("_file_path", r"^(.*)/[^/]*$", 1))
+    spark, fmt = df.sparkSession, "parquet"
     if by == "name":
-        newest = facts.agg(F.max("_file_path").alias("_pick"))
+        files = df.inputFiles()
     else:
-        newest = facts.agg(F.max_by("_file_path", F.struct("_file_mtime", "_file_path")).alias("_pick"))
-    out = facts.join(F.broadcast(newest), facts["_file_path"] == newest["_pick"], "inner")
-    return out.drop("_file_path", "_file_mtime", "_pick")
+        newest = with_file_facts(df).agg(F.max_by("_file_path", F.struct("_file_mtime", "_file_path")).alias("p")).first()["p"]
+        files = df.inputFiles() if newest is not None else []
+    if not files:
+        return df.limit(0)
+
+    def unit_of(path: str) -> str:
+        return path.rsplit("/", 1)[0] if unit == "dir" else path
 
+    def plain(path: str) -> str:  # one spelling of a file's place for both sources of names
+        return unquote(path).replace("file:///", "file:/")
 
-def count_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
-    """Row count of a stored table (Parquet answers from footers)."""
+    pick = unit_of(plain(newest)) if by != "name" else max(unit_of(plain(f)) for f in files)
+    return spark.read.format(fmt).schema(df.schema).load([unquote(f) for f in files if unit_of(plain(f)) == pick])
+
+
+def count_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
+    """Row count of a stored table (Parquet answers from footers); None where there is no table."""
     try:
         return spark.read.format(fmt).load(path).count()
-    except AnalysisException:
-        return 0
+    except AnalysisException as error:
+        if not _nothing_there(error):
+            raise
+        return None
 
 
 def watermark(df: DataFrame, column: str = WATERMARK_COLUMN) -> DataFrame:
@@ -101,10 +131,11 @@ def watermark_value(df: DataFrame, column: str = WATERMARK_COLUMN):
 
 
 def incremental_filter(df: DataFrame, lo, hi=None, column: str = WATERMARK_COLUMN,
-                       lookback: str | None = None) -> DataFrame:
+                       lookback: str | None = None, keep_unknown: bool = False) -> DataFrame:
     """Rows with ``lo < column <= hi``; ``lookback`` (an interval string such as
     '1 hour') re-reads an overlap below ``lo`` for late or tied rows - safe
-    because upserts are idempotent. ``lo=None`` means no lower bound."""
+    because upserts are idempotent. ``lo=None`` means no lower bound.
+    ``keep_unknown`` also keeps rows whose ``column`` is NULL."""
     c = F.col(column)
     cond = F.lit(True)
     if lo is not None:
@@ -116,10 +147,11 @@ def incremental_filter(df: DataFrame, lo, hi=None, column: str = WATERMARK_COLUM
             cond = cond & (c > low)
     if hi is not None:
         cond = cond & (c <= F.lit(hi).cast("timestamp_ntz"))
-    return df.where(cond)
+    return df.where((cond | c.isNull()) if keep_unknown else cond)
 
 
 def rows_at_watermark(df: DataFrame, column: str = WATERMARK_COLUMN) -> DataFrame:
-    """Rows whose ``column`` equals its maximum (the latest batch)."""
-    top = df.agg(F.max(column).alias("_top"))
-    return df.join(F.broadcast(top), df[column] == top["_top"], "inner").drop("_top")
+    """Rows whose ``column`` equals its maximum (the latest batch). The maximum is taken first, as a literal the
+    scan can use."""
+    top = watermark_value(df, column)
+    return df.limit(0) if top is None else df.where(F.col(column) == F.lit(top).cast(df.schema[column].dataType))

@@ -52,18 +52,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def gram_hashes(x: np.ndarray, k: int) -> np.ndarray:
-    """One hash for each run of ``k`` neighbours in ``x`` (uint64)."""
+def gram_hashes(x: np.ndarray, k: int, strong: bool = True) -> np.ndarray:
+    """One hash for each run of ``k`` neighbours in ``x`` (uint64).
+
+    Not ``strong``: half the work, for hashes that only choose candidates."""
     if len(x) < k:
         return np.empty(0, dtype=np.uint64)
-    whole, size, out, done = x, 1, None, 0
+    stir = mix if strong else lambda h: h
+    whole, size, out, done, factor = x, 1, None, 0, 0xD6E8FEB86659FD93
     while True:  # by doubling: hashes of 1, 2, 4, ... neighbours; those in k's binary form are joined
         if k & size:
-            out = whole if out is None else mix(out[:len(out) - size] * np.uint64(0x9E3779B97F4A7C15) + whole[done:])
+            out = whole if out is None else stir(out[:len(out) - size] * np.uint64(0x9E3779B97F4A7C15 + 2 * size) + whole[done:])
             done += size
         if size * 2 > k:
             return mix(out)
-        whole = mix(whole[:-size] * np.uint64(0xD6E8FEB86659FD93) + whole[size:])
+        whole = stir(whole[:-size] * np.uint64(factor) + whole[size:])
+        factor = (factor * 0xC2B2AE3D27D4EB4F) % 2 ** 64
         size *= 2
 
 

@@ -115,7 +115,7 @@ def samples(kind, x: np.ndarray) -> np.ndarray:
     """Each window's sample: the least of its k-gram hashes."""
     if len(x) < kind.width:
         return np.empty(0, np.uint64)
-    return sliding_min(gram_hashes(x, kind.k), kind.width - kind.k + 1)
+    return sliding_min(gram_hashes(x, kind.k, strong=False), kind.width - kind.k + 1)
 
 
 def text_key(plain: bytes) -> bytes:
@@ -227,7 +227,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], kind, block_bytes: int) -> Ite
 
 def _window_hashes(block: Block, kind) -> tuple[np.ndarray, np.ndarray]:
     place, run = block.places(kind)
-    x = gram_hashes(kind.numbers(block.tokens), kind.width)
+    x = gram_hashes(kind.numbers(block.tokens), kind.width, strong=False)
     return (x[place] >> np.uint64(16) if len(place) else np.empty(0, np.uint64)), run
 
 
@@ -406,8 +406,10 @@ def _spans(batches: Iterator[pa.RecordBatch], method: Method, heavy: dict, group
             start = (block.first[run] + np.arange(len(run)) - (np.cumsum(block.windows) - block.windows)[run])[gone]
             doc = doc[gone]
             out: dict[str, list] = {"doc_id": [], "text_part": [], "starts": [], "ends": []}
-            for d in np.unique(doc):
-                a, z = covered(start[doc == d], kind.width)
+            edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True]) if len(doc) else np.empty(0, int)
+            for low, high in zip(edges[:-1], edges[1:]):  # a block's runs are in the order of its documents
+                d = doc[low]
+                a, z = covered(start[low:high], kind.width)
                 out["doc_id"].append(int(block.ids[d])), out["text_part"].append(block.parts[d])
                 out["starts"].append(a), out["ends"].append(z)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("text_part", pa.binary()),

@@ -136,7 +136,7 @@ class SuffixSort(Method):
         self.levels = sorted({max(1, width // 3), max(1, width // 2), max(1, width * 2 // 3), max(1, width * 5 // 6), width})
 
     def common(self, x: np.ndarray, level: int, kind: Bytes) -> np.ndarray:
-        return sliding_min(gram_hashes(x, level), self.width - level + 1)
+        return sliding_min(gram_hashes(x, level, strong=False), self.width - level + 1)
 
     def items(self, block: Block, place: np.ndarray, run: np.ndarray, group: np.ndarray, common: np.ndarray, kind: Bytes):
         if not len(place):

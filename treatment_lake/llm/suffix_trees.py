@@ -71,7 +71,7 @@ class PrefixTrees(Method):
         self.levels = list(range(1, width + 1))
 
     def common(self, x: np.ndarray, level: int, kind: Words) -> np.ndarray:
-        return gram_hashes(x, level)
+        return gram_hashes(x, level, strong=False)
 
     def items(self, block: Block, place: np.ndarray, run: np.ndarray, group: np.ndarray, common: np.ndarray, kind: Words):
         known: dict[bytes, int] = {}

@@ -28,11 +28,17 @@ from ..session import scratch_path
 from .registry import query, stored, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# state on disk; many small stores: no preallocated files, and a commit uploads its changes only
+# state on disk; many small stores: no preallocated files, small buffers, one memory limit for all stores of an
+# executor (they stay open for a while after the query), and a commit uploads its changes only
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+    "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "2",
 }
 
 

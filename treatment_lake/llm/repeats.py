@@ -36,16 +36,17 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .marks import Extract, gram_hashes, merged_marks, mix, piece_hashes, planes, shared_marks, slices, sliding_min, unplaned
 from .registry import stored
+from .worker import memo
 
-GROUP_WINDOWS = 400_000  # windows (with one per block counted) that one group of the exact method takes
+GROUP_WINDOWS = 600_000  # windows (with one per block counted) that one group of the exact method takes
 
 
 def squeeze(x: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(x)
+    return memo(("zstd out",), lambda: zstandard.ZstdCompressor(level=1)).compress(x)
 
 
 def unsqueeze(x: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(x)
+    return memo(("zstd in",), zstandard.ZstdDecompressor).decompress(x)
 
 
 class Tokens:
@@ -441,7 +442,7 @@ def find_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, buc
     left = stored(spark, blocks.join(flags, "block").select("block", "data", "found").mapInArrow(
         lambda it: _refine(it, kind), "block long, data binary, n long"), scratch_path(spark, "repeat-windows"))
     total = left.agg(F.sum("n")).first()[0] or 0
-    groups = int(max(buckets, 4 * -(-total // group_windows)))
+    groups = int(max(buckets, -(-3 * total // (2 * group_windows))))
     heavy = find_heavy(left, method, groups, kind, group_windows)
     answers = (left.select("block", "data").mapInArrow(lambda it: _send_items(it, method, heavy, groups, kind), "grp long, block long, items binary, ids binary")
                .groupBy("grp").applyInArrow(lambda t: _solve_group(t, method, kind), "block long, grp long, answers binary")

@@ -25,6 +25,7 @@ from .registry import bounded_batches
 from .worker import memo
 
 FLUSH = 2_000_000  # marks that a worker gathers before it sends them
+AT_ONCE = 500_000  # marks of a bucket that are compared at once
 SCHEMA = "doc_id long, text_key binary, size long, marks binary, counts binary"
 
 #: texts -> for each a 16-byte key of what counts as the same text and its distinct marks
@@ -205,43 +206,54 @@ def _spread(batches: Iterator[pa.RecordBatch], make_extract: Callable[[], Extrac
             [("bucket", pa.int32()), *((k, pa.binary()) for k in ("ids", "texts", "n", "marks", "info"))]))
 
 
+def _several(raws: list, counts: list[np.ndarray], speaks: np.ndarray, rounds: int, turn: int) -> tuple[np.ndarray, ...]:
+    """Marks (of one round) that more than one speaking document has: mark, document, how many have it."""
+    marks, owners, base = [], [], 0
+    for raw, n in zip(raws, counts):
+        mark = unplaned(raw, "uint64")
+        owner = np.repeat(np.arange(base, base + len(n), dtype=np.int32), n)
+        mine = speaks[owner] & (mark % np.uint64(rounds) == turn)
+        marks.append(mark[mine]), owners.append(owner[mine])
+        base += len(n)
+    mark, owner = np.concatenate(marks), np.concatenate(owners)
+    by = np.argsort(mark, kind="stable")
+    mark, owner = mark[by], owner[by]
+    start = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]]) if len(mark) else np.empty(0, int)
+    times = np.diff(np.r_[start, len(mark)])
+    count = np.repeat(times.astype(np.uint32), times)
+    several = count > 1
+    return mark[several], owner[several], count[several]
+
+
 def _meet(rows: pa.Table) -> pa.Table:
     """One bucket: the marks that occur in two different texts or more, by document."""
     out: dict[str, list] = {"doc_id": [], "text_key": [], "size": [], "marks": [], "counts": []}
-    docs, texts, counts, marks = [], [], [], []
-    for part in rows.select(["ids", "texts", "n", "marks", "info"]).to_batches():
-        for r in part.to_pylist():
-            n = unplaned(r["n"], "uint32")
-            text = np.zeros((len(n), 8), dtype=np.uint8)
-            text[:, :6] = np.frombuffer(r["texts"], np.uint8).reshape(6, -1).T
-            docs.append(np.cumsum(unplaned(r["ids"], "int64"))), texts.append(text.view(np.uint64).ravel())
-            counts.append(n), marks.append(unplaned(r["marks"], "uint64"))
-            if r["info"]:
-                k = len(r["info"]) // 32
-                out["doc_id"] += np.frombuffer(r["info"], np.int64, k).tolist()
-                out["text_key"] += [r["info"][8 * k + 16 * i:8 * k + 16 * i + 16] for i in range(k)]
-                out["size"] += np.frombuffer(r["info"], np.int64, k, 24 * k).tolist()
+    docs, texts, counts, raws = [], [], [], []
+    for i in range(rows.num_rows):
+        raw = {k: rows[k][i] for k in ("ids", "texts", "n", "marks", "info")}
+        n = unplaned(raw["n"].as_buffer(), "uint32")
+        text = np.zeros((len(n), 8), dtype=np.uint8)
+        text[:, :6] = np.frombuffer(raw["texts"].as_buffer(), np.uint8).reshape(6, -1).T
+        docs.append(np.cumsum(unplaned(raw["ids"].as_buffer(), "int64"))), texts.append(text.view(np.uint64).ravel())
+        counts.append(n), raws.append(raw["marks"].as_buffer())
+        info = raw["info"].as_py()
+        if info:
+            k = len(info) // 32
+            out["doc_id"] += np.frombuffer(info, np.int64, k).tolist()
+            out["text_key"] += [info[8 * k + 16 * i:8 * k + 16 * i + 16] for i in range(k)]
+            out["size"] += np.frombuffer(info, np.int64, k, 24 * k).tolist()
     out["marks"], out["counts"] = [None] * len(out["doc_id"]), [None] * len(out["doc_id"])
-    doc, text, n = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((docs, np.int64), (texts, np.uint64), (counts, np.uint32)))
-    mark = np.concatenate(marks) if marks else np.empty(0, np.uint64)
-    del marks
-    if len(mark):
+    doc, text = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((docs, np.int64), (texts, np.uint64)))
+    if len(doc):
         # one document, the smallest, speaks for equal texts
         by_text = np.lexsort((doc, text))
         first = np.r_[True, text[by_text][1:] != text[by_text][:-1]]
         speaks = np.empty(len(doc), bool)
         speaks[by_text] = doc[by_text] == doc[by_text][first][np.cumsum(first) - 1]
-        owner = np.repeat(np.arange(len(doc), dtype=np.int32), n)
-        mine = speaks[owner]
-        mark, owner = mark[mine], owner[mine]
-        by = np.argsort(mark, kind="stable")
-        mark, owner = mark[by], owner[by]
-        del by, mine
-        start = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
-        times = np.diff(np.r_[start, len(mark)])
-        count = np.repeat(times.astype(np.uint32), times)
-        several = count > 1
-        mark, owner, count = mark[several], owner[several], count[several]
+        # a bucket's marks are compared in rounds of about AT_ONCE, so that its size bounds memory only by its bytes
+        rounds = 1 + sum(r.size for r in raws) // 8 // AT_ONCE
+        found = [_several(raws, counts, speaks, rounds, turn) for turn in range(rounds)]
+        mark, owner, count = (np.concatenate(x) for x in zip(*found))
         by = np.argsort(owner, kind="stable")
         mark, owner, count = mark[by], owner[by], count[by]
         start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, int)

@@ -46,44 +46,29 @@ from ..session import scratch_path
 from .components import components
 from .marks import Extract, gram_hashes, merged_marks, shared_marks
 from .registry import query, stored, table
-from .worker import memo
+from .repeats import Words
 
 LARGEST_SMALL = 16  # no set beyond this size enumerates subsets, whatever the costs say
 UNIT_MARKS = 300_000  # shingles of a unit of sets that are linked in one place
 ROUNDS = 2  # salted rounds before the final scan of an oversized component
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 32:
-            if len(self) >= 300_000:
-                self.clear()
-            self[word] = h
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-def shingles(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
-    """Distinct shingles, sorted."""
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    x = hashes.of(words)
-    if len(x) < k:
-        return gram_hashes(np.r_[np.uint64(len(x)), x], len(x) + 1)
-    return np.unique(gram_hashes(x, k))
-
-
 def extractor(k: int) -> Extract:
-    hashes = memo(("word hashes",), WordHashes)
+    """Each text's distinct shingles, sorted; words are found and hashed for many texts at once."""
+    kind = Words(k, k)
 
     def extract(texts: list[str]) -> list[tuple[bytes, np.ndarray]]:
-        own = [shingles(t.encode("utf-8", "surrogatepass").lower().split(), k, hashes) for t in texts]
-        return [(xxhash.xxh3_128_digest(x.tobytes()), x) for x in own]
+        plains = [kind.plain(t.encode("utf-8", "surrogatepass").lower()) for t in texts]
+        x = kind.numbers(kind.tokens(kind.between.join(p for p in plains if p)))
+        grams, at, out = gram_hashes(x, k), 0, []
+        for n in map(kind.count, plains):
+            if n >= k:
+                own = np.unique(grams[at:at + n - k + 1])
+            else:  # the whole sequence, told from others by its length too; none without words
+                own = gram_hashes(np.r_[np.uint64(n), x[at:at + n]], n + 1) if n else x[:0]
+            at += n
+            out.append((xxhash.xxh3_128_digest(own.tobytes()), own))
+        return out
 
     return extract
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .registry import bounded_batches
 from .worker import memo
 
-FLUSH = 2_000_000  # marks that a worker gathers before it sends them
+FLUSH = 1_000_000  # marks that a worker gathers before it sends them
 AT_ONCE = 500_000  # marks of a bucket that are compared at once
 SCHEMA = "doc_id long, text_key binary, size long, marks binary, counts binary"
 

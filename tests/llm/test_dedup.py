@@ -98,7 +98,9 @@ def test_components(spark):
     from treatment_lake.llm.components import components
 
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (200, 200), (300, 7)] + [(500, k) for k in range(501, 540)]
-    out = {r.node: r.component for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
+    frame = spark.createDataFrame(edges, "a long, b long")
+    out = {r.node: r.component for r in components(spark, frame).collect()}
+    assert out == {r.node: r.component for r in components(spark, frame, one_task=0).collect()}  # in rounds
     want = {i: 0 for i in [*range(41), 300]} | {100: 100, 101: 100, 103: 100} | {k: 500 for k in range(500, 540)}
     assert out == want
     assert components(spark, spark.createDataFrame([], "a long, b long")).collect() == []

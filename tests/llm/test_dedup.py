@@ -66,6 +66,20 @@ def test_jaccard_nulls_repeats_and_empty(spark, docs_of):
     assert jaccard_components(spark, docs_of(rows).limit(0)).collect() == []
 
 
+def test_jaccard_keys_that_clash_in_their_first_bytes(spark, corpus, docs_of, monkeypatch):
+    from treatment_lake.llm import jaccard_join
+
+    real = jaccard_join.extractor
+
+    def clashing(k):
+        extract = real(k)
+        return lambda texts: [(b"clash!" + key[6:], own) for key, own in extract(texts)]
+
+    monkeypatch.setattr(jaccard_join, "extractor", clashing)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(spark, docs_of(corpus)).collect()}
+    assert got == brute.jaccard_classes(corpus)
+
+
 def test_jaccard_small_set_keys_and_boundary():
     from itertools import combinations
 
@@ -137,6 +151,21 @@ def test_repeated_rows_stay(spark, docs_of):
     assert out == [(1, 0), (1, 0), (2, 30)]
 
 
+def test_repeats_of_texts_whose_keys_begin_alike(spark, docs_of):
+    from treatment_lake.llm.repeats import text_key
+    from treatment_lake.llm.suffix_sort import suffix_dedup
+    from treatment_lake.llm.suffix_trees import substring_dedup
+
+    passage = "the same passage of more than thirteen words stands in both of these texts so that its windows are shared "
+    pairs = [(6843128, 31371571), (30419554, 36864888)]  # found by trying 48 million numbers
+    rows = [(i, passage + str(n)) for i, n in enumerate(n for pair in pairs for n in pair)]
+    keys = [text_key(t.encode()) for _, t in rows]
+    assert len(set(keys)) == 4 and len({k[:6] for k in keys}) == 2
+    for of in (rows, rows[:2]):  # alone, the two texts of a pair meet in nobody else
+        assert _removed(substring_dedup(spark, docs_of(of))) == brute.removed_windows(of, 13, True)
+        assert _removed(suffix_dedup(spark, docs_of(of))) == brute.removed_windows(of, 50, False)
+
+
 def test_two_stage_sort():
     import random
 

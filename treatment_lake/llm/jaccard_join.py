@@ -303,8 +303,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(spark, shared_marks(named, lambda: extractor(words), buckets), scratch_path(spark, "jaccard-marks"))
     info = found.where("size IS NOT NULL").select("doc_id", "text_key", F.col("size").alias("n"))
-    sizes = info.select("doc_id", F.substring("text_key", 1, 6).alias("text_part"), "n").distinct()
-    sets = stored(spark, merged_marks(found).join(sizes, ["doc_id", "text_part"]).select("doc_id", "n", "marks", "counts")
+    sizes = info.distinct()
+    sets = stored(spark, merged_marks(found).join(sizes, ["doc_id", "text_key"]).select("doc_id", "n", "marks", "counts")
                   .mapInArrow(lambda it: _survive(it, percent), "doc_id long, n long, marks binary, prefix array<long>, scan long"),
                   scratch_path(spark, "jaccard-sets"))
     if small_up_to is None:

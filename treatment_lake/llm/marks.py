@@ -161,7 +161,7 @@ def _send(ids: list[int], keys: list[bytes], marks: list[np.ndarray], buckets: i
         mine, n = np.unique(owner[a:z], return_counts=True)
         out["bucket"].append(b), out["info"].append(info)
         out["ids"].append(planes(np.diff(owner_ids[mine], prepend=0)))
-        out["texts"].append(np.ascontiguousarray(all_keys[mine, :6].T).tobytes())
+        out["texts"].append(all_keys[mine].tobytes())
         out["n"].append(planes(n.astype(np.uint32))), out["marks"].append(planes(all_marks[a:z]))
 
     info = owner_ids.tobytes() + all_keys.tobytes() + sizes.tobytes()
@@ -232,9 +232,8 @@ def _meet(rows: pa.Table) -> pa.Table:
     for i in range(rows.num_rows):
         raw = {k: rows[k][i] for k in ("ids", "texts", "n", "marks", "info")}
         n = unplaned(raw["n"].as_buffer(), "uint32")
-        text = np.zeros((len(n), 8), dtype=np.uint8)
-        text[:, :6] = np.frombuffer(raw["texts"].as_buffer(), np.uint8).reshape(6, -1).T
-        docs.append(np.cumsum(unplaned(raw["ids"].as_buffer(), "int64"))), texts.append(text.view(np.uint64).ravel())
+        docs.append(np.cumsum(unplaned(raw["ids"].as_buffer(), "int64")))
+        texts.append(np.frombuffer(raw["texts"].as_buffer(), np.uint64).reshape(-1, 2))
         counts.append(n), raws.append(raw["marks"].as_buffer())
         info = raw["info"].as_py()
         if info:
@@ -246,8 +245,9 @@ def _meet(rows: pa.Table) -> pa.Table:
     doc, text = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((docs, np.int64), (texts, np.uint64)))
     if len(doc):
         # one document, the smallest, speaks for equal texts
-        by_text = np.lexsort((doc, text))
-        first = np.r_[True, text[by_text][1:] != text[by_text][:-1]]
+        by_text = np.lexsort((doc, text[:, 0], text[:, 1]))
+        near = text[by_text]
+        first = np.r_[True, (near[1:] != near[:-1]).any(axis=1)]
         speaks = np.empty(len(doc), bool)
         speaks[by_text] = doc[by_text] == doc[by_text][first][np.cumsum(first) - 1]
         # a bucket's marks are compared in rounds of about AT_ONCE, so that its size bounds memory only by its bytes
@@ -258,7 +258,7 @@ def _meet(rows: pa.Table) -> pa.Table:
         mark, owner, count = mark[by], owner[by], count[by]
         start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, int)
         for a, z in zip(start, np.r_[start[1:], len(owner)]):
-            out["doc_id"].append(int(doc[owner[a]])), out["text_key"].append(text[owner[a]].tobytes()[:6]), out["size"].append(None)
+            out["doc_id"].append(int(doc[owner[a]])), out["text_key"].append(text[owner[a]].tobytes()), out["size"].append(None)
             out["marks"].append(mark[a:z].tobytes()), out["counts"].append(count[a:z].tobytes())
     return pa.table(out, schema=pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("size", pa.int64()),
                                            ("marks", pa.binary()), ("counts", pa.binary())]))
@@ -268,8 +268,7 @@ def shared_marks(docs: DataFrame, make_extract: Callable[[], Extract], buckets:
     """Of ``docs`` (``doc_id`` long and not null, ``text``) two kinds of rows:
 
     - ``doc_id, text_key, size`` for each document (size: number of its marks);
-    - ``doc_id, text_key`` (its first 6 bytes), ``marks, counts`` in several
-      parts, for one document of each text (the smallest id): its marks that
+    - ``doc_id, text_key, marks, counts`` in several parts, for one document of each text (the smallest id): its marks that
       other texts have (uint64) and in how many texts each occurs (uint32).
     """
     bounded_batches(docs.sparkSession)
@@ -280,7 +279,7 @@ def shared_marks(docs: DataFrame, make_extract: Callable[[], Extract], buckets:
 
 
 def merged_marks(found: DataFrame) -> DataFrame:
-    """The second kind of rows with the parts of a document together: ``doc_id, text_part, marks, counts`` (arrays of binary)."""
-    return (found.where("marks IS NOT NULL").groupBy("doc_id", F.col("text_key").alias("text_part"))
+    """The second kind of rows with the parts of a document together: ``doc_id, text_key, marks, counts`` (arrays of binary)."""
+    return (found.where("marks IS NOT NULL").groupBy("doc_id", "text_key")
             .agg(F.collect_list(F.struct("marks", "counts")).alias("p"))
-            .select("doc_id", "text_part", F.col("p.marks").alias("marks"), F.col("p.counts").alias("counts")))
+            .select("doc_id", "text_key", F.col("p.marks").alias("marks"), F.col("p.counts").alias("counts")))

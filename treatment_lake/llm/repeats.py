@@ -188,7 +188,7 @@ class Block:
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch], kind, block_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Candidates (``doc_id, text, text_part, marks``) -> blocks."""
+    """Candidates (``doc_id, text, text_key, marks``) -> blocks."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
@@ -212,7 +212,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], kind, block_bytes: int) -> Ite
             plains = [kind.plain(t.encode("utf-8", "surrogatepass")) for t in some]
             tokens, marks, first, windows = sampled(kind, plains)
             for i, plain, a, n in zip(rows, plains, first.tolist(), windows.tolist()):
-                if not n or text_key(plain)[:6] != parts[i]:
+                if not n or text_key(plain) != parts[i]:
                     continue
                 starts, ends = stretches(np.isin(marks[a:a + n], np.frombuffer(b"".join(found[i]), np.uint64)))
                 pieces = tokens.pieces(a + starts, a + ends + kind.width - 1)
@@ -406,20 +406,20 @@ def _spans(batches: Iterator[pa.RecordBatch], method: Method, heavy: dict, group
             gone = answers[at[item] + inside] < block.ids[doc]
             start = (block.first[run] + np.arange(len(run)) - (np.cumsum(block.windows) - block.windows)[run])[gone]
             doc = doc[gone]
-            out: dict[str, list] = {"doc_id": [], "text_part": [], "starts": [], "ends": []}
+            out: dict[str, list] = {"doc_id": [], "text_key": [], "starts": [], "ends": []}
             edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True]) if len(doc) else np.empty(0, int)
             for low, high in zip(edges[:-1], edges[1:]):  # a block's runs are in the order of its documents
                 d = doc[low]
                 a, z = covered(start[low:high], kind.width)
-                out["doc_id"].append(int(block.ids[d])), out["text_part"].append(block.parts[d])
+                out["doc_id"].append(int(block.ids[d])), out["text_key"].append(block.parts[d])
                 out["starts"].append(a), out["ends"].append(z)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("text_part", pa.binary()),
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()),
                                                                     ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))]))
 
 
 def find_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, buckets: int | None = None,
                  block_bytes: int | None = None, group_windows: int = GROUP_WINDOWS) -> DataFrame:
-    """Of ``docs`` (``doc_id`` long, ``text``): ``doc_id, text_part, starts, ends, copy``.
+    """Of ``docs`` (``doc_id`` long, ``text``): ``doc_id, text_key, starts, ends, copy``.
 
     Spans of tokens that windows with a smaller first id cover; ``copy`` is
     true (and the spans null) where the whole text equals that of a smaller
@@ -432,9 +432,9 @@ def find_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, buc
     first = stored(spark, info.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                    .where("first < last").select("text_key", "first"), scratch_path(spark, "repeat-copies"))
     copies = (info.join(first, "text_key").where("doc_id > first")
-              .select("doc_id", F.substring("text_key", 1, 6).alias("text_part")).distinct())
-    chosen = merged_marks(found).select("doc_id", "text_part", "marks")
-    blocks = stored(spark, named.join(chosen, "doc_id").select("doc_id", "text", "text_part", "marks").mapInArrow(
+              .select("doc_id", "text_key").distinct())
+    chosen = merged_marks(found).select("doc_id", "text_key", "marks")
+    blocks = stored(spark, named.join(chosen, "doc_id").select("doc_id", "text", "text_key", "marks").mapInArrow(
         lambda it: _to_blocks(it, kind, block_bytes), "block long, data binary, n long"), scratch_path(spark, "repeat-blocks"))
     flags = (blocks.select("block", "data").mapInArrow(lambda it: _send_hashes(it, kind, buckets), "bucket int, block long, hashes binary, several binary")
              .groupBy("bucket").applyInArrow(_meet_hashes, "block long, bucket int, n int, flags binary")
@@ -448,9 +448,9 @@ def find_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, buc
                .groupBy("grp").applyInArrow(lambda t: _solve_group(t, method, kind), "block long, grp long, answers binary")
                .groupBy("block").agg(F.collect_list(F.struct("grp", "answers")).alias("found")))
     spans = stored(spark, left.join(answers, "block").select("data", "found").mapInArrow(
-        lambda it: _spans(it, method, heavy, groups, kind), "doc_id long, text_part binary, starts array<long>, ends array<long>"),
+        lambda it: _spans(it, method, heavy, groups, kind), "doc_id long, text_key binary, starts array<long>, ends array<long>"),
         scratch_path(spark, "repeat-spans"))
-    return (spans.withColumn("copy", F.lit(False)).join(copies, ["doc_id", "text_part"], "left_anti")
+    return (spans.withColumn("copy", F.lit(False)).join(copies, ["doc_id", "text_key"], "left_anti")
             .unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True))
 
 
@@ -461,9 +461,9 @@ def _cut(batches: Iterator[pa.RecordBatch], kind, carried: int) -> Iterator[pa.R
             plain = kind.plain((text.as_py() or "").encode("utf-8", "surrogatepass"))
             n, starts, ends, kept = kind.count(plain), [], [], plain
             if found:
-                key = text_key(plain)[:6]
+                key = text_key(plain)
                 for r in found:
-                    if r["text_part"] == key:
+                    if r["text_key"] == key:
                         starts, ends = ([0], [n]) if r["copy"] and n >= kind.width else ([], []) if r["copy"] else (r["starts"], r["ends"])
             if starts:
                 edges = np.array([[0, *ends], [*starts, n]], np.int64)
@@ -484,7 +484,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, kind, method: Method, i
     ``starts``, ``ends`` and ``kept`` (binary; words joined by one space)."""
     carry = [id_col] if carry is None else carry
     found = find_repeats(spark, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), kind, method, **options)
-    by_doc = (found.groupBy("doc_id").agg(F.collect_list(F.struct("text_part", "starts", "ends", "copy")).alias("_found"))
+    by_doc = (found.groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "starts", "ends", "copy")).alias("_found"))
               .withColumnRenamed("doc_id", "_of"))
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     joined = rows.join(by_doc, F.col("_id") == F.col("_of"), "left").select(*[f"c{i}" for i in range(len(carry))], "_text", "_found")

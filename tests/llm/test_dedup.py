@@ -80,6 +80,17 @@ def test_jaccard_keys_that_clash_in_their_first_bytes(spark, corpus, docs_of, mo
     assert got == brute.jaccard_classes(corpus)
 
 
+def test_jaccard_repeated_rows_in_different_partitions(spark):
+    from treatment_lake.llm.jaccard_join import jaccard_components
+
+    whole = " ".join(f"w{i}" for i in range(44))
+    half = " ".join([f"w{i}" for i in range(25)] + [f"x{i}" for i in range(19)])  # 21 of 40 shingles are the other's
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(1, whole), (1, whole), (2, half), (2, half)], 4), "doc_id long, text string")
+    assert docs.rdd.glom().map(len).collect() == [1, 1, 1, 1]
+    out = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(spark, docs).collect())
+    assert out == [(1, 40, 1), (1, 40, 1), (2, 40, 2), (2, 40, 2)]
+
+
 def test_jaccard_small_set_keys_and_boundary():
     from itertools import combinations
 

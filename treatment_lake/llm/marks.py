@@ -244,12 +244,12 @@ def _meet(rows: pa.Table) -> pa.Table:
     out["marks"], out["counts"] = [None] * len(out["doc_id"]), [None] * len(out["doc_id"])
     doc, text = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((docs, np.int64), (texts, np.uint64)))
     if len(doc):
-        # one document, the smallest, speaks for equal texts
+        # one entry, of the smallest document, speaks for equal texts (a repeated row has several entries)
         by_text = np.lexsort((doc, text[:, 0], text[:, 1]))
         near = text[by_text]
         first = np.r_[True, (near[1:] != near[:-1]).any(axis=1)]
-        speaks = np.empty(len(doc), bool)
-        speaks[by_text] = doc[by_text] == doc[by_text][first][np.cumsum(first) - 1]
+        speaks = np.zeros(len(doc), bool)
+        speaks[by_text[first]] = True
         # a bucket's marks are compared in rounds of about AT_ONCE, so that its size bounds memory only by its bytes
         rounds = 1 + sum(r.size for r in raws) // 8 // AT_ONCE
         found = [_several(raws, counts, speaks, rounds, turn) for turn in range(rounds)]

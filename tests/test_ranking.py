@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import duckdb
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from treatment_lake.operators.ranking import with_rank
+from treatment_lake.operators.ranking import with_position, with_rank
+from treatment_lake.plans.oracle_sql import ORACLE
+from treatment_lake.plans.queries import QUERIES
+from treatment_lake.sources.tables import DRIVER_TABLES
 
-from .conftest import rows
+from .conftest import SMOKE_DIR, rows
 
 
 def test_value_ranks_match_window(spark):
@@ -29,3 +33,25 @@ def test_value_ranks_match_window(spark):
     want = df.select("id", "v", F.rank().over(w).cast("long").alias("r"),
                      F.dense_rank().over(w).cast("long").alias("d"))
     assert got_rows == rows(want)
+
+
+def test_positions_match_row_number(spark):
+    df = spark.range(0, 2000, 1, 7).select("id", ((F.col("id") * 7919) % 301).alias("v"))
+    order = [F.col("v").desc_nulls_last(), F.col("id").asc_nulls_last()]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep all sort partitions
+    try:
+        got = rows(with_position(spark, df, order))
+    finally:
+        spark.conf.set(key, old)
+    assert got == rows(df.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long")))
+
+
+def test_mart_order_full_has_every_row(spark):
+    duck = duckdb.connect()
+    for t in DRIVER_TABLES:
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE_DIR}/{t}.parquet')")
+    want = sorted(duck.execute(f"SELECT mart, position, label FROM ({ORACLE['mart_order_full']})").fetchall())
+    assert max(p for _, p, _ in want) > 20
+    assert sorted(tuple(r) for r in QUERIES["mart_order_full"](spark, SMOKE_DIR).select("mart", "position", "label").collect()) == want

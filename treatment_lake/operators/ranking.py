@@ -15,7 +15,7 @@ the partition ids every later step sees are fixed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -48,6 +48,22 @@ def value_ranks(spark: SparkSession, df: DataFrame, col: str, descending: bool =
     )
 
 
+def with_position(spark: SparkSession, df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
+    """``df`` plus column ``out`` (long): each row's place in ``order`` over all rows, as SQL ``row_number()``.
+    The last of ``order`` should tell rows apart; equal rows are numbered in any order."""
+    part = df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
+    local = part.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    path = scratch_path(spark, "positions")
+    write_table(local, path)
+    local = spark.read.schema(local.schema).parquet(path)
+
+    per = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("_pid", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .select(*df.columns, (F.col("_off") + F.col("_pos")).cast("long").alias(out)))
+
+
 def with_rank(spark: SparkSession, df: DataFrame, col: str, out: str, dense: bool = False,
               descending: bool = True) -> DataFrame:
     """``df`` plus column ``out``: the (dense) rank of ``col`` over all rows."""

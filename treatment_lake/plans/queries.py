@@ -9,6 +9,7 @@ from ..functions.tags import GROUP, unwrap_group
 from ..operators import marts
 from ..operators import silver as sv
 from ..operators.combos import combo_ids, combo_label, registry_update
+from ..operators.ranking import with_position
 from ..schemas import FLAT_COLUMNS
 from ..session import scratch_path
 from ..sources.items import read_items, write_items
@@ -102,19 +103,22 @@ def q_monthly_trends_by_role(spark, sf_dir):
     return out
 
 
-@query("mart_order")
-def q_mart_order(spark, sf_dir):
-    """The first twenty rows of E1 (one sort key and the id) and of E3 (two sort keys), with their positions."""
+@query("mart_order_full")
+def q_mart_order_full(spark, sf_dir):
+    """Every row's position in E1 (one sort key and the id) and in E3 (two sort keys)."""
     s = star_t(spark, sf_dir)
-    e1 = marts.provider_treatment_rank(s["fact_treatments"], s["dim_providers"]).limit(20)
-    e3 = marts.monthly_trends(s["fact_treatments"], s["dim_dates"]).limit(20)
+    e1 = with_position(spark, marts.provider_treatment_rank(s["fact_treatments"], s["dim_providers"], ordered=False),
+                       [F.col("total_treatments").desc_nulls_last(), F.col("provider_id").asc_nulls_last()])
+    e3 = with_position(spark, marts.monthly_trends(s["fact_treatments"], s["dim_dates"], ordered=False),
+                       [F.col("year").desc_nulls_last(), F.col("month").desc_nulls_last()])
+    return e1.select(F.lit("provider_treatment_rank").alias("mart"), "position", F.col("provider_id").cast("string").alias("label")).unionByName(
+        e3.select(F.lit("monthly_trends").alias("mart"), "position", F.concat_ws(" ", F.col("year").cast("string"), "month").alias("label")))
 
-    def numbered(df, mart, label):
-        rows = df.select(F.collect_list(label).alias("v")).select(F.posexplode("v").alias("p", "label"))
-        return rows.select(F.lit(mart).alias("mart"), (F.col("p") + 1).cast("int").alias("position"), "label")
 
-    return numbered(e1, "provider_treatment_rank", F.col("provider_id").cast("string")).unionByName(
-        numbered(e3, "monthly_trends", F.concat_ws(" ", F.col("year").cast("string"), "month")))
+@query("mart_order")
+def q_mart_order(spark, sf_dir):
+    """The first twenty positions of each mart, as its SQL twin asks; ``mart_order_full`` has them all."""
+    return q_mart_order_full(spark, sf_dir).where("position <= 20").withColumn("position", F.col("position").cast("int"))
 
 
 # --- silver path (A1, A4, B1-B3, U1-U2, I11-I16, F3-F4, Q5, P1) -------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from treatment_lake.llm.exact_dedup import exact_dedup, keep_rows
 from treatment_lake.llm.jaccard_join import jaccard_components
-from treatment_lake.llm.langid import learn, predict, taught
+from treatment_lake.llm.langid import learn, predict, taught, with_letters
 from treatment_lake.llm.packing import pack
 from treatment_lake.llm.registry import stored
 from treatment_lake.llm.suffix_trees import substring_dedup
@@ -21,8 +21,13 @@ from treatment_lake.session import scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letters, no text) go; a short or unusual text with one stays."""
-    judged = predict(docs, learn(taught(docs)), carry=docs.columns)
+    """Documents without a language (no letters, no text) go; a short or unusual text with one stays.
+
+    Where nothing can be learned, the letters alone decide."""
+    model = learn(taught(docs))
+    if not model["langs"]:
+        return with_letters(docs)
+    judged = predict(docs, model, carry=docs.columns)
     return judged.where(F.col("lang_pred") != "und").select(docs.columns)
 
 

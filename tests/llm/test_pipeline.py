@@ -38,3 +38,12 @@ def test_entry_has_the_operators():
     names = entry.queries()
     assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
     assert {"op5_exact_dedup", "op10_exact_topk"} <= set(entry.oracle_sql())
+
+
+def test_language_stage_without_labels_keeps_texts_with_letters(spark):
+    import corpus_pipeline
+
+    rows = [(1, "a clean text", None), (2, "日本語", None), (3, "12 34 !", None), (4, "", None), (5, None, None), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.language_id(spark, docs, "")
+    assert out.columns == docs.columns and sorted(r.text for r in out.collect()) == sorted([rows[0][1], rows[1][1], rows[5][1]])

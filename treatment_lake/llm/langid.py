@@ -192,6 +192,18 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return out.toDF(*names, "lang_pred", "score")
 
 
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents whose text has a letter; needs no model."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t.as_py() or "")) for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(some, docs.schema)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dims: int = 1024) -> DataFrame:
     """Learns from the labelled documents that are not held out, predicts for all."""
     return predict(docs, learn(taught(docs, id_col), text_col, lang_col, dims), id_col, text_col)

@@ -36,7 +36,7 @@ def test_entry_has_the_operators():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
     assert {"op5_exact_dedup", "op10_exact_topk"} <= set(entry.oracle_sql())
 
 

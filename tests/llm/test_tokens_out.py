@@ -91,9 +91,9 @@ def test_round_trip_through_files(spark, corpus, docs_of, tokenizer, scratch):
 
     rows = [*corpus, (None, "no id"), (-7, "below zero"), (10 ** 15, "far\n\nabove")]
     want = expected(rows, tokenizer)
-    for shard, segment in ((8_000_000, 16_000_000), (2000, 700)):
+    for shard, segment in ((16_000_000, 8_000_000), (8000, 700)):
         path = scratch("tokens")
-        write_tokens(spark, docs_of(rows), path, shard_tokens=shard, segment_tokens=segment)
+        write_tokens(spark, docs_of(rows), path, shard_bytes=shard, segment_tokens=segment)
         out = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32, np.frombuffer(r.ids, "<u4").tolist()) for r in read_tokens(spark, path).collect()}
         assert out == want
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()
@@ -111,7 +111,7 @@ def test_hot_ids_repeated_rows_and_empty_table(spark, docs_of, tokenizer, scratc
 
     rows = [(5, "the same row")] * 40 + [(5, "another text of five")] * 3 + [(1, None), (1, "")] + [(9, "x")]
     path = scratch("tokens")
-    write_tokens(spark, docs_of(rows), path, shard_tokens=20, segment_tokens=15)
+    write_tokens(spark, docs_of(rows), path, shard_bytes=60, segment_tokens=15)
     out = read_tokens(spark, path, with_ids=False).orderBy("start").collect()
     assert [r.doc_id for r in out] == [1, 1] + [5] * 43 + [9]
     assert [r.start for r in out] == np.cumsum([0] + [r.n_tokens for r in out])[:-1].tolist()

@@ -14,13 +14,12 @@ is kept. Files are written by Spark's own writer (a lost executor's task is
 done again, and its commit decides which file counts) and read with its
 ``binaryFile`` source: any store that Spark reads will do.
 
-The way. One pass over the texts writes ids as a table (no texts); that is
-cut into ranges of (document id, row) of bounded size - rows with one id may
-fall into several ranges - and each range is written as segments. Tokens are
-looked up by pre-token (``PieceStore``); only those not seen before go to the
-tokenizer. The boundaries of pre-tokens are found with array operations where
-all characters are old enough to be in every Unicode table; other texts go
-to the tokenizer whole.
+The way. Texts are dealt into ranges of (document id, row) of bounded size -
+rows with one id may fall into several ranges - and each task turns its range
+into segments. Tokens are looked up by pre-token (``PieceStore``); only those not
+seen before go to the tokenizer. The boundaries of pre-tokens are found with
+array operations where all characters are old enough to be in every Unicode
+table; other texts go to the tokenizer whole.
 
 Defined results
 - null or empty text: the end id alone;
@@ -49,14 +48,14 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .elias_fano import EliasFano, encode
 from .piece_store import PieceStore
-from .registry import bounded_batches, query, stored, table
+from .registry import bounded_batches, query, table
 from .worker import memo
 
 MAGIC = b"TOKSEG01"
 HEAD = "<8sIIQQq"
 HEAD_SIZE = struct.calcsize(HEAD)
 SLICE = 1_000_000  # characters looked at together
-REMEMBERED = 1_000_000  # pre-tokens whose ids a worker remembers
+REMEMBERED = 500_000  # pre-tokens whose ids a worker remembers
 AT_ONCE = 10_000  # pre-tokens in one call of the tokenizer
 MOST_SHARDS = 20_000  # tasks that write; beyond, each writes several segments
 READ_AT_ONCE = 65_536  # documents whose boundaries are decoded together
@@ -216,84 +215,62 @@ def _vocabulary(path: str | None) -> str:
     return path
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[pa.RecordBatch]:
+def encoded(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(document id, ids with the end id) of rows ``doc_id, text``."""
     words = memo(("byte level", path), lambda: ByteLevelIds(_vocabulary(path)))
-    kind = "<u4" if words.wide or end_id >= 1 << 16 else "<u2"
-    end = np.array([end_id], kind).tobytes()
-    part, nth = TaskContext.get().partitionId(), 0
-
-    def rows(ids: pa.Array, done: list[bytes], at: int) -> pa.RecordBatch:
-        nonlocal nth
-        out = pa.RecordBatch.from_arrays(
-            [ids.slice(at, len(done)), pa.array([(part << 40) + nth + i for i in range(len(done))], pa.int64()),
-             pa.array([len(x) // int(kind[2]) for x in done], pa.int64()), pa.array([int(kind[2])] * len(done), pa.int32()),
-             pa.array(done, pa.binary())], names=["doc_id", "row", "n", "width", "ids"])
-        nth += len(done)
-        return out
-
+    kind = np.dtype("<u4" if words.wide or end_id >= 1 << 16 else "<u2")
+    end = np.array([end_id], kind)
     for batch in batches:
-        done, at, open_row, chunks = [], 0, 0, []
+        names, open_row, chunks = batch.column(0).to_pylist(), 0, []
         for some in slices(batch.column(1).to_pylist()):
             for (row, _), ids in zip(some, words.of([t for _, t in some])):
                 if row != open_row:
-                    done.append(b"".join(chunks) + end)
+                    yield names[open_row], np.concatenate([*chunks, end])
                     open_row, chunks = row, []
-                chunks.append(ids.astype(kind).tobytes())
-            if sum(map(len, done)) > 1 << 24:
-                yield rows(batch.column(0), done, at)
-                at, done = at + len(done), []
-        if batch.num_rows:
-            done.append(b"".join(chunks) + end)
-            yield rows(batch.column(0), done, at)
-
+                chunks.append(ids.astype(kind))
+        if names:
+            yield names[open_row], np.concatenate([*chunks, end])
 
-def encoded_rows(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, vocab: str | None, end_id: int) -> DataFrame:
-    """``doc_id, row, n, width, ids`` of every document, written as a table."""
-    bounded_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return stored(spark, rows.mapInArrow(lambda it: _encoded(it, vocab, end_id), "doc_id long, row long, n long, width int, ids binary"),
-                  scratch_path(spark, "token-rows"))
 
-
-def segment(doc_ids: list[int | None], ends: np.ndarray, ids: list[bytes], width: int) -> bytes:
+def segment(doc_ids: list[int | None], ends: np.ndarray, ids: list[np.ndarray]) -> bytes:
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     least = int(known[0]) if len(known) else 0
     above = (known.astype(np.uint64) - np.uint64(least % 2 ** 64)) if len(known) else np.empty(0, np.uint64)
-    return b"".join([struct.pack(HEAD, MAGIC, width, len(doc_ids) - len(known), len(doc_ids), int(ends[-1]), least),
-                     encode(above), encode(ends.astype(np.uint64)), *ids, b"\n"])
+    return b"".join([struct.pack(HEAD, MAGIC, ids[0].itemsize, len(doc_ids) - len(known), len(doc_ids), int(ends[-1]), least),
+                     encode(above), encode(ends.astype(np.uint64)), *(x.tobytes() for x in ids), b"\n"])
 
 
-def _segments(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, most: int) -> Iterator[pa.RecordBatch]:
     """Rows in order of (doc_id, row) -> segment files of about ``most`` ids; a longer document is alone."""
     shard, nth = TaskContext.get().partitionId(), 0
-    doc_ids, lengths, ids, held, width = [], [], [], 0, 0
+    doc_ids, lengths, ids, held = [], [], [], 0
 
     def row() -> pa.RecordBatch:
-        blob = segment(doc_ids, np.cumsum(lengths), ids, width)
+        blob = segment(doc_ids, np.cumsum(lengths), ids)
         return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "segment": pa.array([nth], pa.int32()),
                                            "docs": pa.array([len(doc_ids)], pa.int64()), "tokens": pa.array([held], pa.int64()),
                                            "blob": pa.array([blob], pa.binary())})
-    for batch in batches:
-        for d, n, w, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if doc_ids and (held + n > most or w != width):
-                yield row()
-                doc_ids, lengths, ids, held, nth = [], [], [], 0, nth + 1
-            width = w
-            doc_ids.append(d), lengths.append(n), ids.append(raw)
-            held += n
+    for doc_id, own in encoded(batches, path, end_id):
+        if doc_ids and held + len(own) > most:
+            yield row()
+            doc_ids, lengths, ids, held, nth = [], [], [], 0, nth + 1
+        doc_ids.append(doc_id), lengths.append(len(own)), ids.append(own)
+        held += len(own)
     if doc_ids:
         yield row()
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-                 vocab: str | None = None, shard_tokens: int = 8_000_000, segment_tokens: int = 16_000_000) -> None:
+                 vocab: str | None = None, shard_bytes: int = 16_000_000, segment_tokens: int = 8_000_000) -> None:
     """Writes the ids of all documents, in ascending id order, to a fresh folder of segment files."""
-    rows = encoded_rows(spark, docs, id_col, text_col, vocab, end_id)
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    shards = min(MOST_SHARDS, -(-total // shard_tokens)) or 1
+    bounded_batches(spark)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = min(MOST_SHARDS, 1 + total // shard_bytes)
     order = [F.col("doc_id").asc_nulls_first(), F.col("row").asc()]
-    (rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "n", "width", "ids")
-     .mapInArrow(lambda it: _segments(it, segment_tokens), "shard int, segment int, docs long, tokens long, blob binary")
+    (rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+     .select("doc_id", "text").mapInArrow(lambda it: _segments(it, vocab, end_id, segment_tokens),
+                                          "shard int, segment int, docs long, tokens long, blob binary")
      .select("shard", "segment", "docs", "tokens", F.col("blob").cast("string").alias("value"))
      .write.partitionBy("shard", "segment", "docs", "tokens").option("lineSep", "\n").text(path))
 

@@ -55,7 +55,7 @@ MAGIC = b"TOKSEG01"
 HEAD = "<8sIIQQq"
 HEAD_SIZE = struct.calcsize(HEAD)
 SLICE = 1_000_000  # characters looked at together
-REMEMBERED = 500_000  # pre-tokens whose ids a worker remembers
+REMEMBERED = 800_000  # pre-tokens whose ids a worker remembers
 AT_ONCE = 10_000  # pre-tokens in one call of the tokenizer
 MOST_SHARDS = 20_000  # tasks that write; beyond, each writes several segments
 READ_AT_ONCE = 65_536  # documents whose boundaries are decoded together
@@ -261,7 +261,7 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int,
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-                 vocab: str | None = None, shard_bytes: int = 16_000_000, segment_tokens: int = 8_000_000) -> None:
+                 vocab: str | None = None, shard_bytes: int = 8_000_000, segment_tokens: int = 4_000_000) -> None:
     """Writes the ids of all documents, in ascending id order, to a fresh folder of segment files."""
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

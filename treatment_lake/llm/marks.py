@@ -18,11 +18,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .piece_store import MASKS, mix
 from .registry import bounded_batches
-from .worker import memo
 
 FLUSH = 1_000_000  # marks that a worker gathers before it sends them
 AT_ONCE = 500_000  # marks of a bucket that are compared at once
@@ -46,13 +47,6 @@ def slices(texts: Iterable[tuple[int, str]]) -> Iterator[tuple[list[int], list[s
         yield rows, out
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of uint64 whose results look random."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def gram_hashes(x: np.ndarray, k: int, strong: bool = True) -> np.ndarray:
     """One hash for each run of ``k`` neighbours in ``x`` (uint64).
 
@@ -82,55 +76,22 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(low[:len(low) - rest], low[rest:]) if rest else low
 
 
-ODD = 0x9E3779B97F4A7C15
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+SHORT = 16  # bytes of a piece that two integers hold
 
 
 def piece_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each piece of ``raw``: the sum of random values of its bytes times powers of an odd number by place."""
-    n = len(raw)
-
-    def powers(base: int) -> np.ndarray:
-        out = memo(("powers", base), lambda: [np.ones(1, np.uint64)])
-        if len(out[0]) <= n:
-            steps = np.full(n + n // 4 + 1, base, np.uint64)
-            steps[0] = 1
-            out[0] = np.multiply.accumulate(steps)
-        return out[0]
-
-    sums = np.zeros(n + 1, np.uint64)
-    np.add.accumulate(BYTE_VALUES[np.frombuffer(raw, np.uint8)] * powers(ODD)[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(pow(ODD, -1, 1 << 64))[starts])
-
-
-class IdStore:
-    """Ids of byte strings that recur: told apart by a 64-bit hash, made by ``solve`` when first met, looked up with
-    array operations. ``solve`` takes strings and returns their ids in a row and the number of each."""
-
-    def __init__(self, solve: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int):
-        self.solve, self.most = solve, most
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.ids, self.at, self.count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def of(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Ids of the pieces of ``raw`` in a row (little-endian uint32), and how many ids come before each piece."""
-        hashes, first, which = np.unique(piece_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slots) + len(hashes) > self.most:
-            self.forget()
-        keys = hashes.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.slots]
-        if new:
-            ids, n = self.solve([raw[a:z] for a, z in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
-            self.slots.update(zip((keys[i] for i in new), range(len(self.slots), len(self.slots) + len(new))))
-            self.at = np.r_[self.at, len(self.ids) + np.cumsum(n) - n]
-            self.count, self.ids = np.r_[self.count, n], np.concatenate([self.ids, ids])
-        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))
-        n, at = self.count[slot][which], self.at[slot][which]
-        before = np.r_[0, np.cumsum(n)]
-        return self.ids[np.repeat(at - before[:-1], n) + np.arange(before[-1])].astype("<u4").tobytes(), before
+    """A hash of each piece of ``raw``: up to 16 bytes and the length are mixed as integers, no two such pieces by a
+    structure of their letters alone; longer ones go to xxh3."""
+    size = ends - starts
+    words = np.ndarray((len(raw) + SHORT,), "<u8", buffer=raw + bytes(2 * SHORT), strides=(1,))
+    lo = words[starts] & MASKS[np.minimum(size, 8)]
+    hi = words[starts + 8] & MASKS[np.clip(size - 8, 0, 8)]
+    tag = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    out = mix(mix(mix(lo + tag) ^ hi) + np.uint64(0xD6E8FEB86659FD93))
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        out[long] = [xxhash.xxh3_64_intdigest(raw[a:z]) for a, z in zip(starts[long].tolist(), ends[long].tolist())]
+    return out
 
 
 def planes(x: np.ndarray) -> bytes:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .marks import IdStore
+from .piece_store import PieceStore
 from .registry import bounded_batches, query, stored, table
 from .worker import memo
 
@@ -60,7 +60,7 @@ KIND[48:58] = 3
 
 
 class LatinIds:
-    """Ids of plain Latin texts, many texts at a time: words are found and told apart (by a 64-bit hash) with array
+    """Ids of plain Latin texts, many texts at a time: words are found and told apart (by their bytes) with array
     operations, and only words not seen before go to the tokenizer."""
 
     def __init__(self, tokenizer):
@@ -68,7 +68,7 @@ class LatinIds:
         self.tokenizer, self.ends = tokenizer, np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith(WORD_END)
-        self.store = IdStore(self.learn, CACHE_ENTRIES)
+        self.store = PieceStore(self.learn, CACHE_ENTRIES)
 
     def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         parts, counts = [], []
@@ -89,7 +89,8 @@ class LatinIds:
         single, word = kind == 3, kind != 0
         starts = np.flatnonzero(word & (single | np.r_[True, kind[1:] != kind[:-1]]))
         ends = np.flatnonzero(word & (single | np.r_[kind[1:] != kind[:-1], True])) + 1
-        ids, before = self.store.of(raw, starts, ends)
+        found, before = self.store.of(raw, starts, ends)
+        ids = found.astype("<u4").tobytes()
         text_starts = np.cumsum([0, *(len(t) + 1 for t in low)])
         cuts = (4 * before[np.searchsorted(starts, text_starts)]).tolist()
         return [ids[a:z] for a, z in zip(cuts, cuts[1:])]

@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .marks import IdStore, slices
+from .marks import slices
+from .piece_store import PieceStore
 from .registry import bounded_batches, query, table
 from .worker import memo
 
@@ -102,7 +103,7 @@ class Transducer:
         self.lines = not any("\n" in piece for piece in self.ids)
         self.allowed: dict[tuple[str, str], bool] = {}
         self.parts = Memo(self.solve)  # strings without a cut
-        self.store = IdStore(self.learn, STORED)
+        self.store = PieceStore(self.learn, STORED)
 
     # ---- the two-piece machine
 
@@ -134,8 +135,8 @@ class Transducer:
     def arcs(self, word: str, at: int) -> Iterator[str]:
         """Pieces that start here, longest first; a character without a piece stands for its bytes."""
         node, found = self.trie, []
-        for c in word[at:]:
-            node = node.get(c)
+        for i in range(at, len(word)):
+            node = node.get(word[i])
             if node is None:
                 break
             if "" in node:
@@ -204,7 +205,8 @@ class Transducer:
             begins |= x == 10
         begins[text_starts[:-1][np.array([len(r) > 0 for r in raws])]] = True
         starts = np.flatnonzero(begins)
-        ids, before = self.store.of(raw, starts, np.r_[starts[1:], len(raw)])
+        found, before = self.store.of(raw, starts, np.r_[starts[1:], len(raw)])
+        ids = found.astype("<u4").tobytes()
         cuts = (4 * before[np.searchsorted(starts, text_starts)]).tolist()
         return [ids[a:z] for a, z in zip(cuts, cuts[1:])]
 

@@ -1,17 +1,15 @@
 """Exact top-k search by inner product with a KD-tree per shard (operator 10).
 
 Vectors become integers (``floor(scale * x)``), rows are dealt by a hash of
-their id to shards of bounded size, and each shard is a KD-tree: median
-splits on the widest side, leaves with tight bounding boxes, stored in the
-shared folder. Queries travel in blocks. The largest inner product that a box
+the whole row to shards of bounded size (one id may have many vectors), and each
+shard is a KD-tree: median splits on the widest side, leaves with tight bounding
+boxes, stored in the shared folder. Queries travel in blocks to the trees, a tree
+never travels to blocks: both are dealt by shard, the tree first, so a task holds
+one tree and one batch of blocks. The largest inner product that a box
 can hold, ``sum(max(q * low, q * high))``, orders the leaves: a query visits
 them best first and stops when the bound falls below its k-th score. A first
-round over one shard per block gives every query a k-th score, which the
-second round, over all shards, starts from.
-
-Every (block, shard) pair is one row of an equi-join on the shard, so a
-task holds one block and one shard, both of bounded size, however many rows
-are equal: identical vectors spread over shards by their ids.
+round over one shard per block gives its queries a k-th score (none, where that
+shard has no rows), which the second round, over all shards, starts from.
 
 Defined results
 - vectors that are null or hold a null or non-finite component, and rows with
@@ -29,36 +27,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .registry import query, stored, table
+from .registry import bounded_batches, query, stored, table
+from .vectors import EXACT, as_doubles, best_of_shards, finite, floored, matrix, widened
 
-EXACT = 2.0 ** 52  # sums of products below this are exact in doubles
+MOST_TASKS = 20_000
 LAST = np.iinfo(np.int64).max
 
 
 def clean(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """``vec_id, v`` (array of long) of the rows that take part."""
-    inf = F.lit(float("inf"))
-
-    def usable(x: Column) -> Column:
-        return F.coalesce(~F.isnan(x) & (F.abs(x) < inf), F.lit(False))
-
-    as_double = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), as_double.alias("x")).where(
-        F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", usable))
-    return rows.select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("v")).distinct()
-
-
-def matrix(rows: list) -> np.ndarray:
-    """Rows of different lengths, filled up with 0."""
-    width = max((len(r) for r in rows), default=0)
-    out = np.zeros((len(rows), width), dtype=np.int64)
-    for i, r in enumerate(rows):
-        out[i, :len(r)] = r
-    return out
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), as_doubles(F.col(vec_col)).alias("x")).where(
+        F.col("vec_id").isNotNull() & finite(F.col("x")))
+    return rows.select("vec_id", floored(F.col("x"), scale).alias("v")).distinct()
 
 
 def build_tree(ids: np.ndarray, points: np.ndarray, leaf_size: int) -> dict:
@@ -82,17 +67,13 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf_size: int) -> dict:
             "least": np.array([ids[a:b].min() for a, b in leaves], dtype=np.int64)}
 
 
-def _wide(m: np.ndarray, width: int) -> np.ndarray:
-    return np.pad(m, ((0, 0), (0, width - m.shape[1])))
-
-
 def search(block: dict, tree: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Scores and ids (queries x k, best first; id LAST where there is none) of one shard.
 
     Leaves are visited best bound first; ``block["kth"]`` is a score that each
     query's k-th best is known to reach."""
     width = max(block["points"].shape[1], tree["points"].shape[1])
-    q, p, low, high = (_wide(m, width) for m in (block["points"], tree["points"], tree["low"], tree["high"]))
+    q, p, low, high = (widened(m, width) for m in (block["points"], tree["points"], tree["low"], tree["high"]))
     largest = float(np.abs(q).max(initial=0)) * float(max(np.abs(low).max(initial=0), np.abs(high).max(initial=0))) * max(1, width)
     kind = np.float64 if largest < EXACT else object
     q, p, low, high = q.astype(kind), p.astype(kind), low.astype(kind), high.astype(kind)
@@ -128,54 +109,73 @@ def _as_tree(shard_key: tuple, rows: pd.DataFrame, leaf_size: int) -> pd.DataFra
 
 
 def _as_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    block = {"ids": rows["vec_id"].to_numpy(np.int64), "points": matrix(list(rows["v"])),
+    block = {"ids": rows["vec_id"].to_numpy(np.int64), "numbers": rows["row_no"].to_numpy(np.int64), "points": matrix(list(rows["v"])),
              "kth": np.full(len(rows), -np.inf)}
     return pd.DataFrame({"block": [key[0]], "data": [pickle.dumps(block)]})
 
 
-def _first_round(frames: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        out = []
-        for row in frame.itertuples():
-            block = pickle.loads(row.data)
-            block["kth"] = search(block, pickle.loads(row.tree), k)[0][:, -1]
-            out.append((row.block, pickle.dumps(block)))
-        yield pd.DataFrame(out, columns=["block", "data"])
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes, dict | None]]:
+    """Rows ``shard, kind, block, data``, each tree (kind 0) before the blocks that ask it -> (shard, block, data, tree);
+    no tree where the shard has no rows."""
+    tree, at = None, None
+    for batch in batches:
+        for shard, kind, block, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if kind == 0:
+                tree, at = pickle.loads(data), shard
+            else:
+                yield shard, block, data, tree if at == shard else None
+
 
+def _first_round(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for _, number, data, tree in _met(batches):
+        if tree is not None:
+            block = pickle.loads(data)
+            block["kth"] = search(block, tree, k)[0][:, -1]
+            data = pickle.dumps(block)
+        yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int32()), "data": pa.array([data], pa.binary())})
 
-def _second_round(frames: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for row in frame.itertuples():
-            block = pickle.loads(row.data)
-            scores, ids = search(block, pickle.loads(row.tree), k)
-            real = ids != LAST
-            real &= scores >= block["kth"][:, None]
-            yield pd.DataFrame({"query_id": np.repeat(block["ids"], k)[real.ravel()], "vec_id": ids[real],
-                                "score": np.array(scores[real].tolist(), dtype=object).astype(np.int64)})
+
+def _second_round(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for shard, _, data, tree in _met(batches):
+        if tree is None:
+            continue
+        block = pickle.loads(data)
+        scores, ids = search(block, tree, k)
+        real = (ids != LAST) & (scores >= block["kth"][:, None])
+        yield pa.RecordBatch.from_pydict({
+            "query_no": pa.array(np.repeat(block["numbers"], k)[real.ravel()]), "shard": pa.array([shard] * int(real.sum()), pa.int32()),
+            "vec_id": pa.array(ids[real]), "score": pa.array([int(x) for x in scores[real]], pa.int64())})
 
 
 def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
           vec_col: str = "embedding", scale: int = 256, shard_rows: int = 8192, block_rows: int = 1024,
           leaf_size: int = 128) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows where ``is_query`` (an expression over ``vec_id``) holds."""
-    rows = stored(spark, clean(vectors, id_col, vec_col, scale), scratch_path(spark, "topk-rows"))
+    bounded_batches(spark)
+    numbered = clean(vectors, id_col, vec_col, scale).withColumn("row_no", F.monotonically_increasing_id())
+    rows = stored(spark, numbered, scratch_path(spark, "topk-rows"))
     queries = rows.where(is_query)
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     shards, blocks = max(1, -(-sizes["n"] // shard_rows)), max(1, -(-sizes["q"] // block_rows))
-    trees = stored(spark, rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    trees = stored(spark, rows.withColumn("shard", F.pmod(F.xxhash64("row_no"), F.lit(shards)).cast("int"))
                    .groupBy("shard").applyInPandas(lambda key, g: _as_tree(key, g, leaf_size), "shard int, tree binary"),
                    scratch_path(spark, "topk-trees"))
-    asked = (queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+    asked = (queries.withColumn("block", F.pmod(F.xxhash64("row_no", F.lit(1)), F.lit(blocks)).cast("int"))
              .groupBy("block").applyInPandas(_as_block, "block int, data binary"))
-    seeded = stored(spark, asked.withColumn("shard", F.pmod(F.col("block"), F.lit(shards)).cast("int")).join(trees, "shard")
-                    .select("block", "data", "tree").mapInPandas(lambda it: _first_round(it, k), "block int, data binary"),
-                    scratch_path(spark, "topk-queries"))
-    pairs = seeded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(trees, "shard")
-    found = (pairs.select("data", "tree").repartition(max(1, min(shards * blocks, 100_000)))
-             .mapInPandas(lambda it: _second_round(it, k), "query_id long, vec_id long, score long"))
-    best = (found.groupBy("query_id").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")).alias("c"))
-            .select("query_id", F.posexplode(F.slice(F.array_sort("c"), 1, k)).alias("p", "c")))
-    return best.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "c.vec_id", (-F.col("c.s")).alias("score"))
+
+    def with_trees(asking: DataFrame) -> DataFrame:
+        both = trees.select("shard", F.lit(0).alias("kind"), F.lit(-1).alias("block"), F.col("tree").alias("data")).unionByName(
+            asking.select("shard", F.lit(1).alias("kind"), "block", "data"))
+        return both.repartition(max(1, min(shards, MOST_TASKS)), "shard").sortWithinPartitions("shard", "kind")
+
+    seeded = stored(spark, with_trees(asked.withColumn("shard", F.pmod(F.col("block"), F.lit(shards)).cast("int")))
+                    .mapInArrow(lambda it: _first_round(it, k), "block int, data binary"), scratch_path(spark, "topk-queries"))
+    everywhere = seeded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    found = with_trees(everywhere).mapInArrow(lambda it: _second_round(it, k), "query_no long, shard int, vec_id long, score long")
+    best = best_of_shards(found, ["query_no"], k, shards)
+    ids = queries.select(F.col("row_no").alias("query_no"), F.col("vec_id").alias("query_id"))
+    return (best.join(ids, "query_no").select("query_id", F.posexplode("best").alias("p", "c"))
+            .select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "c.vec_id", (-F.col("c.minus")).alias("score")))
 
 
 @query("op10_exact_topk", """

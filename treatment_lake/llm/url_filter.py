@@ -19,7 +19,7 @@ Defined results
 - null url or none with ``://``: empty host and path, no rule, judged by the
   prior alone; ties (and no rule-decided urls at all): allow;
 - null page_id and repeated rows: one result each; null html: no words;
-- very long names: split whole, words of at most ``longest`` letters;
+- very long names: split whole, into words of any length;
 - empty table: empty result; extra columns are ignored.
 """
 
@@ -72,15 +72,24 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def viterbi(name: str, known: dict[tuple[int, int], float], total: float, longest: int) -> list[str]:
-    """The likeliest split; an unknown word of k letters counts 10 / (total * 10^k)."""
-    n = len(name)
+def viterbi(name: str, known: dict[tuple[int, int], float], total: float) -> list[str]:
+    """The likeliest split; an unknown word of k letters counts 10 / (total * 10^k), never more than a known one.
+
+    The best unknown word that ends at a place is the best over all starts of (score there + letters before it), which
+    only grows, so unknown words of any length cost one step a letter."""
+    n, ten = len(name), math.log(10.0)
     best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
     unknown = math.log(10.0 / total)
+    arcs: dict[int, list[int]] = {}
+    for start, end in sorted(known):
+        arcs.setdefault(end, []).append(start)
+    lead, first = -math.inf, 0
     for end in range(1, n + 1):
-        for start in range(max(0, end - longest), end):
-            p = known.get((start, end))
-            score = best[start] + (p if p is not None else unknown - (end - start) * math.log(10.0))
+        if best[end - 1] + (end - 1) * ten > lead:
+            lead, first = best[end - 1] + (end - 1) * ten, end - 1
+        best[end], back[end] = lead + unknown - end * ten, first
+        for start in arcs.get(end, ()):
+            score = best[start] + known[start, end]
             if score > best[end]:
                 best[end], back[end] = score, start
     out, end = [], n
@@ -90,18 +99,21 @@ def viterbi(name: str, known: dict[tuple[int, int], float], total: float, longes
     return out[::-1]
 
 
-def _split(frames: Iterator[pd.DataFrame], total: float, longest: int) -> Iterator[pd.DataFrame]:
+def _split(frames: Iterator[pd.DataFrame], total: float) -> Iterator[pd.DataFrame]:
     for frame in frames:
         words = []
         for name, found in zip(frame["name"], frame["found"]):
             known = {(int(e["at"]), int(e["at"] + e["len"])): math.log(e["n"] / total) for e in found}
-            words.append(viterbi(name, known, total, longest))
+            words.append(viterbi(name, known, total))
         yield pd.DataFrame({"name": frame["name"], "words": words})
 
 
-def segment_names(names: DataFrame, counts: DataFrame, total: float, longest: int = 24) -> DataFrame:
-    """``name, words`` for every distinct ``name`` (letters only)."""
+def segment_names(names: DataFrame, counts: DataFrame, total: float) -> DataFrame:
+    """``name, words`` for every distinct ``name`` (letters only). Substrings are looked up to the length of the longest
+    known word that a name could hold."""
     names = names.where(F.length("name") > 0).distinct()
+    widest = names.agg(F.max(F.length("name"))).first()[0] or 0
+    longest = counts.where(F.length("word") <= widest).agg(F.max(F.length("word"))).first()[0] or 1
     subs = (names.select("name", F.explode(F.sequence(F.lit(0), F.length("name") - 1)).alias("at"))
             .select("name", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("name") - F.col("at")))).alias("len"))
             .withColumn("word", F.expr("substring(name, at + 1, len)")))
@@ -109,7 +121,7 @@ def segment_names(names: DataFrame, counts: DataFrame, total: float, longest: in
              .agg(F.collect_list(F.struct("at", "len", "n")).alias("found")))
     all_names = names.join(found, "name", "left").select(
         "name", F.coalesce("found", F.expr("cast(array() as array<struct<at:int,len:int,n:bigint>>)")).alias("found"))
-    return all_names.mapInPandas(lambda it: _split(it, total, longest), "name string, words array<string>")
+    return all_names.mapInPandas(lambda it: _split(it, total), "name string, words array<string>")
 
 
 def path_tokens(path: Column) -> Column:
@@ -118,7 +130,7 @@ def path_tokens(path: Column) -> Column:
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url",
-          html_col: str = "html", longest: int = 24, smoothing: float = 1.0) -> DataFrame:
+          html_col: str = "html", smoothing: float = 1.0) -> DataFrame:
     """``page_id, host, path, rule, verdict, score, host_words``: score is the log odds of block."""
     host, path = split_url(F.col(url_col))
     cut = pages.select(F.col(id_col).alias("page_id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"),
@@ -130,7 +142,7 @@ def judge(spark: SparkSession, pages: DataFrame, rules=RULES, id_col: str = "pag
 
     hosts = urls.select("host").distinct()
     parts = hosts.select("host", F.posexplode(letter_runs(F.col("host"))).alias("pos", "name"))
-    split = segment_names(parts.select("name"), counts, total, longest)
+    split = segment_names(parts.select("name"), counts, total)
     host_words = stored(spark, hosts.join(
         parts.join(split, "name").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("pos", "words"))).alias("w")), "host", "left")
         .select("host", F.coalesce(F.flatten("w.words"), F.expr("cast(array() as array<string>)")).alias("host_words")),

@@ -28,16 +28,24 @@ def test_exact_dedup_ties_nulls_and_empty(spark, docs_of):
     assert exact_dedup(spark, docs.limit(0)).collect() == []
 
 
-def test_exact_dedup_state_survives_for_later_arrivals(spark, docs_of, scratch):
-    from treatment_lake.llm.exact_dedup import _narrow, stream_state
-
-    folder = scratch("state")
-    first = _narrow(docs_of([(1, "a"), (2, "b")]).select("doc_id", "text"), "doc_id", "text", 64)
-    first.write.parquet(f"{folder}/arrivals")
-    stream_state(spark, f"{folder}/arrivals", first.schema, f"{folder}/s")
-    _narrow(docs_of([(5, "A"), (6, "c")]).select("doc_id", "text"), "doc_id", "text", 64).write.mode("append").parquet(f"{folder}/arrivals")
-    state = {r.best.doc_id: r.rows_seen for r in stream_state(spark, f"{folder}/arrivals", first.schema, f"{folder}/s").collect()}
-    assert state == {5: 2, 2: 1, 6: 1}
+def test_exact_dedup_of_later_arrivals(spark, docs_of, scratch):
+    from treatment_lake.llm.exact_dedup import exact_dedup
+
+    def call(rows, **options):
+        return {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(spark, docs_of(rows), **options).collect()}
+
+    first, second, third = [(1, "a"), (2, "b"), (3, "B"), (4, None)], [(5, "A"), (6, "c"), (0, "b"), (7, "")], [(6, "C"), (9, "d")]
+    for key_hex in (64, 1, 0):  # with no digit all texts meet in one digest
+        folder = scratch("arrivals")
+        assert call(first, work_dir=folder, key_hex=key_hex) == {1: (1, 1, True), 2: (3, 2, False), 3: (3, 2, True), 4: (4, 1, True)}
+        # judged with what came before: 5 takes over from 1, 0 does not from 3
+        assert call(second, work_dir=folder, key_hex=key_hex) == {5: (5, 2, True), 6: (6, 1, True), 0: (3, 3, False), 7: (7, 2, True)}
+        # a tie on the identifier: the later call's row
+        assert call(third, work_dir=folder, key_hex=key_hex) == {6: (6, 2, True), 9: (9, 1, True)}
+        assert call([], work_dir=folder, key_hex=key_hex) == {}
+        state = spark.read.parquet(f"{folder}/texts")
+        assert state.count() == 3 + 4 + 2
+    assert call(second) == {5: (5, 1, True), 6: (6, 1, True), 0: (0, 1, True), 7: (7, 1, True)}
 
 
 def test_exact_dedup_plan_is_native(spark, docs_of):

@@ -4,9 +4,15 @@ Texts are equal when identical after lower-casing A-Z only. A narrow table
 (digest, stable identifier, content locator) streams through a keyed
 aggregation whose state lives in RocksDB and never expires; the state of a
 digest is the row that stays (largest identifier), its locator and the
-number of rows seen. Every hit is then checked on full bytes: rows are
+number of rows seen. Every hit is then checked on full bytes: texts are
 grouped by (digest, whole normalised text), and a digest that turns out to
-hold more than one text is split by text.
+hold more than one text is split by the texts themselves, rows joined to
+their group on (digest, text).
+
+With ``work_dir`` the state is kept: a later call with the same folder streams only
+its own rows into it, and is judged against all earlier arrivals. The folder then
+also keeps one row for each different text of a call (its bytes, how many rows
+had it and the one that stays), which later texts are compared with.
 
 A hot group (a third of all rows) collapses in the map-side half of each
 aggregation, so no task holds it; the final join is between rows and
@@ -15,7 +21,7 @@ one row per digest, which AQE splits when skewed.
 Defined results
 - null text: the empty text, one group with all other empty texts;
 - null identifier: sorts below every other; rows that tie on the
-  identifier: exactly one of them (the one with the largest row locator) stays;
+  identifier: exactly one of them (of the latest call, with the largest row locator) stays;
 - empty table: empty result; extra columns are ignored.
 """
 
@@ -29,9 +35,10 @@ from .registry import query, stored, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # state on disk; many small stores: no preallocated files, small buffers, one memory limit for all stores of an
-# executor (they stay open for a while after the query), and a commit uploads its changes only
+# executor, closed soon after the query, and a commit uploads its changes only
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -49,17 +56,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(only_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str, key_hex: int) -> DataFrame:
-    """One row per document without its text: digest, identifier and locator (source file, row)."""
-    sha = F.sha2(ascii_lower(F.col(text_col)).cast("binary"), 256)
-    return (docs.select(F.col(id_col).alias("doc_id"), sha.alias("sha"), F.input_file_name().alias("file"),
+def _narrow(docs: DataFrame, id_col: str, text_col: str, key_hex: int, arrival: int) -> DataFrame:
+    """One row per document: digest, identifier, locator (call, source file, row) and the normalised text."""
+    norm = ascii_lower(F.col(text_col))
+    return (docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"), F.lit(arrival).alias("arrival"), F.input_file_name().alias("file"),
                         F.monotonically_increasing_id().alias("row"))
-            .withColumn("key", F.substring("sha", 1, key_hex)))
+            .withColumn("sha", F.sha2(F.col("norm").cast("binary"), 256)).withColumn("key", F.substring("sha", 1, key_hex)))
+
+
+LOCATOR = ("arrival", "row", "file")
 
 
-def _best(prefix: str = "") -> Column:
-    return F.max(F.struct(F.col(f"{prefix}doc_id").isNotNull().alias("known"), F.col(f"{prefix}doc_id").alias("doc_id"),
-                          F.col(f"{prefix}row").alias("row"), F.col(f"{prefix}file").alias("file"))).alias("best")
+def _best() -> Column:
+    return F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", *LOCATOR)).alias("best")
 
 
 def stream_state(spark: SparkSession, arrivals: str, schema, state_dir: str) -> DataFrame:
@@ -82,7 +91,7 @@ def stream_state(spark: SparkSession, arrivals: str, schema, state_dir: str) ->
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    located = "struct<known:boolean,doc_id:{},row:bigint,file:string>".format(schema["doc_id"].dataType.simpleString())
+    located = "struct<known:boolean,doc_id:{},arrival:int,row:bigint,file:string>".format(schema["doc_id"].dataType.simpleString())
     changes = spark.read.schema(f"key string, best {located}, rows_seen bigint, batch bigint").parquet(f"{state_dir}/changes")
     # rows_seen only grows, so the newest version of a key is the one with the largest count
     return (changes.groupBy("key").agg(F.max(F.struct("rows_seen", "best")).alias("s"))
@@ -91,35 +100,54 @@ def stream_state(spark: SparkSession, arrivals: str, schema, state_dir: str) ->
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 work_dir: str | None = None, key_hex: int = 64) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, file, row``.
+    """One row per document of this call: ``doc_id, keep_id, group_size, kept, text_sha256, arrival, file, row``. Groups
+    contain the documents of earlier calls with the same ``work_dir``.
 
     ``key_hex``: hex digits of the digest used as the state's key (all by
     default; fewer make collisions, which the byte check then splits).
     """
     work = work_dir or scratch_path(spark, "exact-dedup")
-    source = docs.select(F.col(id_col), F.col(text_col))
-    rows = stored(spark, _narrow(source, id_col, text_col, key_hex), f"{work}/arrivals")
+    arrival = _calls(spark, work) if work_dir else 0
+    base = _narrow(docs.select(F.col(id_col), F.col(text_col)), id_col, text_col, key_hex, arrival)
+    base.drop("norm").write.mode("append").option("compression", "zstd").parquet(f"{work}/arrivals")
+    arrived = spark.read.schema(base.drop("norm").schema).parquet(f"{work}/arrivals")
+    rows = arrived.where(F.col("arrival") == arrival)
     if not rows.head(1):
         return (rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("bigint").alias("group_size"),
-                            F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "file", "row"))
-    state = stream_state(spark, f"{work}/arrivals", rows.schema, f"{work}/state")
+                            F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "arrival", "file", "row"))
+    state = stream_state(spark, f"{work}/arrivals", arrived.schema, f"{work}/state")
 
     # the check on full bytes: copies collapse on the map side, one row per different text moves
-    texts = (source.select(ascii_lower(F.col(text_col)).alias("norm"))
-             .withColumn("key", F.substring(F.sha2(F.col("norm").cast("binary"), 256), 1, key_hex))
-             .groupBy("key", "norm").agg(F.count(F.lit(1)).alias("n")))
-    clashes = stored(spark, texts.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), f"{work}/clashes")
-    groups = state.select("key", F.lit(None).cast("string").alias("sha"), F.col("rows_seen").alias("group_size"), "best")
-    if clashes.head(1):
-        # a digest with several texts: its rows are grouped by their whole digest instead
-        groups = groups.join(clashes, "key", "left_anti").unionByName(
-            rows.join(clashes, "key", "left_semi").groupBy("key", "sha")
-            .agg(F.count(F.lit(1)).alias("group_size"), _best()))
-    g = groups.select(F.col("key").alias("g_key"), F.col("sha").alias("g_sha"), "group_size", "best")
-    return (rows.join(g, (F.col("key") == F.col("g_key")) & (F.col("g_sha").isNull() | (F.col("g_sha") == F.col("sha"))))
-            .select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-                    ((F.col("row") == F.col("best.row")) & (F.col("file") == F.col("best.file"))).alias("kept"),
-                    F.col("sha").alias("text_sha256"), "file", "row"))
+    texts = base.groupBy("key", "norm").agg(F.count(F.lit(1)).alias("n"), *([_best()] if work_dir else []))
+    if work_dir:
+        texts.write.mode("append").option("compression", "zstd").parquet(f"{work}/texts")
+        texts = spark.read.schema(texts.schema).parquet(f"{work}/texts")
+    different = texts.select("key", "norm").distinct() if arrival else texts.select("key", "norm")
+    clashes = stored(spark, different.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), scratch_path(spark, "exact-clashes"))
+
+    def decided(own: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
+        is_best = F.lit(True)
+        for c in LOCATOR:
+            is_best = is_best & (F.col(c) == F.col(f"best.{c}"))
+        return own.join(groups, on).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", is_best.alias("kept"),
+                                           F.col("sha").alias("text_sha256"), *("arrival", "file", "row"))
+
+    groups = state.select("key", F.col("rows_seen").alias("group_size"), "best")
+    if not clashes.head(1):
+        return decided(rows, groups, ["key"])
+    clashed = clashes.select("key")
+    by_text = (texts.groupBy("key", "norm").agg(F.sum("n").alias("group_size"), F.max("best").alias("best")) if work_dir
+               else base.groupBy("key", "norm").agg(F.count(F.lit(1)).alias("group_size"), _best()))
+    split = decided(base.join(clashed, "key", "left_semi"), by_text.join(clashed, "key", "left_semi"), ["key", "norm"])
+    return decided(rows.join(clashed, "key", "left_anti"), groups, ["key"]).unionByName(split)
+
+
+def _calls(spark: SparkSession, work: str) -> int:
+    """How many calls have put documents into the folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{work}/arrivals")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return 0
+    return (spark.read.schema("arrival int").parquet(f"{work}/arrivals").agg(F.max("arrival")).first()[0] or 0) + 1
 
 
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

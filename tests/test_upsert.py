@@ -6,7 +6,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from treatment_lake.operators.dedupe import latest_per_key
@@ -55,13 +54,9 @@ def test_upsert_is_idempotent(spark):
 KV = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
 
 
-def _table(spark, root, **options):
-    return RunTable(spark, root, KV, **options)
-
-
 def test_run_table_replaces_fails_and_retries(spark, scratch):
     root = scratch("rt")
-    t = _table(spark, root)
+    t = RunTable(spark, root, KV, keep_minutes=0)
     assert not t.exists() and t.read().count() == 0
     t.replace(spark.createDataFrame([(1, "a")], KV))
     # a failing write leaves the table as it was, and the next write goes through
@@ -72,36 +67,20 @@ def test_run_table_replaces_fails_and_retries(spark, scratch):
         assert rows(t.read()) == [(1, "a")]
     for v in ("b", "c", "d"):
         t.replace(spark.createDataFrame([(1, v)], KV))
-        assert rows(_table(spark, root).read()) == [(1, v)]
-    # the run before the current one stays for readers, everything older and every failed write is gone
-    assert len(os.listdir(f"{root}/runs")) == 2
-    assert [n for n in os.listdir(f"{root}/pointer") if n.endswith(".draft")] == []
-
-
-def test_merge_is_independent_of_order_and_repetition(spark, scratch):
-    batches = [[(1, "old", D1), (2, "x", D2)], [(1, "new", D2), (3, "n", None)], [(2, "y", D2), (3, "m", D1), (None, "z", D2)]]
-    frames = [spark.createDataFrame(b, SCHEMA).withColumnRenamed("ts", "metadata_modified_at") for b in batches]
-    want = [(1, "new"), (2, "y"), (3, "m")]
-    for order in ([0, 1, 2], [2, 1, 0, 1, 2]):
-        t = _table(spark, scratch("merge"), version="metadata_modified_at")
-        for i in order:
-            t.merge(frames[i], ["k"])
-        assert rows(t.read()) == want, order
-
-
-def test_merge_touches_only_its_parts_and_moves_rows(spark, scratch):
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("m", T.IntegerType()), T.StructField("v", T.StringType())])
-    t = RunTable(spark, scratch("parts"), schema, part=F.col("m"), visible="m IS NOT NULL")
-    frame = lambda data: spark.createDataFrame(data, "k long, m int, v string")
-    t.merge(frame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (4, 5, "d")]), ["k"])
-    before = t.current()
-    # key 3 moves from part 2 to 3 (part 2 becomes empty); key 1 changes in place; part 5 is not written again
-    t.merge(frame([(3, 3, "c2"), (1, 1, "a2")]), ["k"])
-    assert rows(t.read()) == [(1, 1, "a2"), (2, 1, "b"), (3, 3, "c2"), (4, 5, "d")]
-    after = t.current()
-    assert "2" not in after and after["5"] == before["5"] and after["1"] != before["1"]
-    t.merge(frame([(3, 3, "c2"), (1, 1, "a2")]), ["k"])
-    assert rows(t.read()) == [(1, 1, "a2"), (2, 1, "b"), (3, 3, "c2"), (4, 5, "d")]
-    # a row that loses its part is hidden, and gone from the part it was in
-    t.merge(frame([(4, None, "d")]), ["k"])
-    assert [r[0] for r in rows(t.read())] == [1, 2, 3] and t.read_stored().count() == 4
+        assert rows(RunTable(spark, root, KV).read()) == [(1, v)]
+    # old folders and failed writes are gone; with the default they would stay for readers
+    assert len(os.listdir(f"{root}/runs")) == 1 and len([n for n in os.listdir(f"{root}/pointer") if n.endswith(".json")]) == 2
+
+
+def test_run_table_keeps_folders_of_readers_and_refuses_a_second_writer(spark, scratch):
+    root = scratch("rt")
+    t = RunTable(spark, root, KV)
+    t.replace(spark.createDataFrame([(1, "a")], KV))
+    reader = t.read()
+    t.replace(spark.createDataFrame([(1, "b")], KV))
+    assert rows(reader) == [(1, "a")] and rows(t.read()) == [(1, "b")]
+    with pytest.raises(RuntimeError, match="another writer"):
+        t._commit("other", 2)
+    with open(f"{root}/pointer/0000000003.json", "w"):  # a pointer whose content is not there yet
+        pass
+    assert rows(t.read()) == [(1, "b")]

@@ -1,35 +1,32 @@
-"""Upserts (MERGE) and the tables they write.
+"""Upserts (MERGE) as plain frames, and the tables that are replaced as a whole.
 
 ``upsert_type1``: matched keys take the source row, unmatched source rows
 are inserted, other target rows stay. ``insert_new_only``: only unmatched
 source rows are added. Both are one anti join (a shuffle on the key of
 both sides; AQE broadcasts whichever side is measured small) plus a union.
-
-``merge_latest``: the newest version of a key wins, wherever it comes
-from. It is the maximum of ``(version, other columns)`` per key over target
-and source, so it does not depend on the order in which batches arrive,
-and applying a batch twice changes nothing.
-
 NULL keys are removed first: NULL never matches, so it would be inserted on
-every run.
-
-``RunTable`` is a folder per write plus one pointer file that names the
-current folders. A write goes to a fresh folder and counts only once the
-pointer moved, which is a single rename: a failed write leaves the table as
-it was and never stands in the way of the next one. One writer at a time.
+every run. Tables that are merged into are ``merge_table.MergeTable``.
+
+``RunTable`` is for small tables that are replaced as a whole (marts, partial sums,
+the combination registry): a folder per write plus one pointer file that names
+the current folder. A write goes to a fresh folder and counts only once the
+pointer is there; the pointer is created under a name that must not exist yet, so
+of two writers one fails. A failed write leaves the table as it was. Readers of an
+older pointer keep their folder for ``KEEP_MINUTES``.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .dedupe import latest_per_key
 from .sinks import write_table
 
 
@@ -52,29 +49,14 @@ def insert_new_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -
     return target.unionByName(new)
 
 
-def merge_latest(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Target and source, of each key the row with the newest ``version`` (ties: the other columns, largest first)."""
-    both = target.unionByName(_non_null_keys(source, keys).select(*target.columns))
-    return latest_per_key(both, keys, [version])
+KEEP_MINUTES = 60  # folders that no pointer names go when they are older: readers and other writers may use younger ones
 
 
 class RunTable:
-    """A Parquet table of one folder per write.
+    """A Parquet table that is one folder per write."""
 
-    ``version``: a stored column that ``merge`` compares and ``read`` hides.
-    ``part``: an int expression; a merge then rewrites only the parts it
-    touches, those of the source rows plus those where the matched old rows
-    are. The number of parts is bounded by their domain (e.g. months), so the
-    touched list is collected and the pointer stays small.
-    ``visible``: rows that ``read`` shows (the others only take part in merges).
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, version: str | None = None,
-                 part: Column | None = None, visible: str | None = None):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.version, self.part, self.visible = version, part, visible
-
-    # --- pointer -----------------------------------------------------------
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None, keep_minutes: float = KEEP_MINUTES):
+        self.spark, self.root, self.schema, self.keep_minutes = spark, root.rstrip("/"), schema, keep_minutes
 
     def _path(self, *names: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *names)))
@@ -82,113 +64,58 @@ class RunTable:
     def _fs(self):
         return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _names(self, *folder: str) -> list[str]:
-        fs, path = self._fs(), self._path(*folder)
-        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+    def _files(self, folder: str) -> list:
+        fs, path = self._fs(), self._path(folder)
+        return sorted(fs.listStatus(path), key=lambda s: s.getPath().getName()) if fs.exists(path) else []
 
     def _pointers(self) -> list[str]:
-        return [n for n in self._names("pointer") if n.endswith(".json")]
-
-    def _pointed(self, name: str) -> dict[str, str]:
-        stream = self._fs().open(self._path("pointer", name))
+        return [n for s in self._files("pointer") if (n := s.getPath().getName()).endswith(".json")]
+
+    def current(self) -> str | None:
+        """The folder of the committed table, None before the first commit. A pointer that is still being written has no
+        content yet; the one before it counts."""
+        for name in reversed(self._pointers()):
+            stream = self._fs().open(self._path("pointer", name))
+            try:
+                text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith("}"):
+                return json.loads(text)["run"]
+        return None
+
+    def _commit(self, run: str, number: int) -> None:
+        """Creates the pointer, then removes what is older than ``keep_minutes`` and not named by it."""
+        fs = self._fs()
         try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def current(self) -> dict[str, str] | None:
-        """Part -> folder of the committed table, None before the first commit."""
-        names = self._pointers()
-        return self._pointed(names[-1]) if names else None
-
-    def _commit(self, parts: dict[str, str]) -> None:
-        """Moves the pointer, then removes what neither it nor the one before names (a reader may still be there)."""
-        fs, names = self._fs(), self._pointers()
-        number = int(names[-1][:-len(".json")]) + 1 if names else 1
-        before = self._pointed(names[-1]) if names else {}
-        draft = self._path("pointer", f"{number:010d}.{uuid.uuid4().hex}.draft")
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps(parts).encode()))
+            out = fs.create(self._path("pointer", f"{number:010d}.json"), False)  # fails if it is there
+        except Py4JJavaError as error:
+            raise RuntimeError(f"another writer moved the pointer of {self.root}") from error
+        out.write(bytearray(json.dumps({"run": run}).encode()))
         out.close()
-        if not fs.rename(draft, self._path("pointer", f"{number:010d}.json")):
-            raise RuntimeError(f"another writer moved the pointer of {self.root}")
-        named = {f.split("/")[0] for p in (parts, before) for f in p.values()}
-        for run in self._names("runs"):
-            if run not in named:
-                fs.delete(self._path("runs", run), True)
-        for old in names[:-1]:
-            fs.delete(self._path("pointer", old), False)
-
-    # --- reading -----------------------------------------------------------
+        oldest = (time.time() - 60 * self.keep_minutes) * 1000
+        for s in self._files("runs"):
+            if s.getPath().getName() != run and s.getModificationTime() < oldest:
+                fs.delete(s.getPath(), True)
+        for s in self._files("pointer")[:-2]:
+            fs.delete(s.getPath(), False)
 
     def exists(self) -> bool:
         return self.current() is not None
 
-    def _load(self, folders: Sequence[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self._stored())
-        return self.spark.read.schema(self._stored()).parquet(*[f"{self.root}/runs/{f}" for f in folders])
-
-    def _stored(self) -> T.StructType:
-        extra = [T.StructField(self.version, T.TimestampNTZType())] if self.version else []
-        return T.StructType(list(self.schema.fields) + extra)
-
-    def read_stored(self) -> DataFrame:
-        return self._load(sorted(set((self.current() or {}).values())))
-
     def read(self) -> DataFrame:
-        rows = self.read_stored()
-        return (rows.where(self.visible) if self.visible else rows).select(*self.schema.fieldNames())
+        run = self.current()
+        if run is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/runs/{run}")
 
     def count(self) -> int:
         return self.read().count()
 
-    # --- writing -----------------------------------------------------------
-
-    def _typed(self, df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in self._stored().fields])
-
-    def _write(self, df: DataFrame) -> dict[str, str]:
-        """The rows in a fresh folder: part -> folder."""
-        run = uuid.uuid4().hex
-        path = f"{self.root}/runs/{run}"
-        if self.part is None:
-            write_table(df, path, mode="errorifexists")
-            return {"all": run}
-        # clustered by part: AQE splits a large part over several tasks and merges small ones
-        rows = df.withColumn("_part", F.coalesce(self.part.cast("int"), F.lit(0))).hint("rebalance", "_part")
-        write_table(rows, path, mode="errorifexists", partition_by=["_part"])
-        fs, jvm_path = self._fs(), self._path("runs", run)
-        names = [s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory()]
-        return {n.split("=")[1]: f"{run}/{n}" for n in names if n.startswith("_part=")}
-
     def replace(self, df: DataFrame) -> None:
         """``df`` becomes the table."""
-        self._commit(self._write(self._typed(df)))
-
-    def merge(self, source: DataFrame, keys: Sequence[str], insert_only: bool = False) -> None:
-        """Merges ``source`` (a stored frame: it is read more than once): the newest version of a key wins;
-        without a version column the source does, or with ``insert_only`` the target."""
-        src = self._typed(_non_null_keys(source, keys))
-        held = self.current()
-        touched: list[str] = []
-        if not held:
-            held, old = {}, self._load([])
-        elif self.part is None:
-            old = self._load(sorted(set(held.values())))
-        else:
-            part = F.coalesce(self.part.cast("int"), F.lit(0)).alias("_part")
-            moved = self._load(sorted(held.values())).select(*keys, part).join(src.select(*keys), list(keys), "left_semi").select("_part")
-            touched = [str(r[0]) for r in src.select(part).unionByName(moved).distinct().collect()]
-            old = self._load(sorted(held[p] for p in touched if p in held))
-        if insert_only:
-            new = insert_new_only(old, src, keys)
-        elif self.version:
-            new = merge_latest(old, src, keys, self.version)
-        else:
-            new = upsert_type1(old, src, keys)
-        written = self._write(new)
-        if self.part is not None:
-            written = {**{p: f for p, f in held.items() if p not in touched}, **written}
-        self._commit(written)
+        names = self._pointers()
+        number = int(names[-1][:-len(".json")]) + 1 if names else 1
+        run = uuid.uuid4().hex
+        write_table(df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]), f"{self.root}/runs/{run}", mode="errorifexists")
+        self._commit(run, number)

@@ -12,7 +12,7 @@ from treatment_lake.operators import silver as sv
 
 def _unwrap(spark, group_json: str) -> dict:
     df = spark.createDataFrame([(group_json,)], "j string")
-    out = df.select(unwrap_group(F.from_json("j", GROUP)).alias("m")).first()["m"]
+    out = df.select(F.from_json("j", GROUP).alias("g")).select(unwrap_group("g").alias("m")).first()["m"]
     return out
 
 
@@ -33,6 +33,41 @@ def test_nested_list_and_map(spark):
     assert json.loads(m["m"]) == {"k": "v", "n": "3"}
 
 
+def test_containers_at_any_level(spark):
+    deep = {"M": {"items": {"L": [{"M": {"k": {"N": "1"}, "t": {"SS": ["x", 'q"uote']}}}, {"L": [{"L": [{"S": "in"}, {"NULL": True}]}, {"BOOL": False}]}]},
+                  "empty": {"M": {}}, "none": {"L": []}, 'na"me': {"B": "eA=="}}}
+    m = _unwrap(spark, json.dumps({"d": deep, "s": {"S": '{"M": {"k": {"N": "1"}}}'}}))
+    assert json.loads(m["d"]) == {"items": [{"k": "1", "t": ["x", 'q"uote']}, [["in", None], "false"]], "empty": {}, "none": [], 'na"me': "eA=="}
+    assert m["s"] == '{"M": {"k": {"N": "1"}}}'  # a text that looks like a value is a text
+    # beyond the levels that are compiled, values keep their tags
+    from treatment_lake.functions.tags import DEPTH
+
+    value = {"N": "7"}
+    for _ in range(DEPTH + 1):
+        value = {"L": [value]}
+    out = json.loads(_unwrap(spark, json.dumps({"x": value}))["x"])
+    for _ in range(DEPTH):
+        out = out[0]
+    assert out == [{"N": "7"}]
+
+
+def test_unknown_attributes_are_rescued_and_counted(spark, scratch):
+    from treatment_lake.plans.silver_build import extract_to_bronze, rescued
+    from treatment_lake.sources.items import is_item, read_items
+
+    lines = [{"Item": {"treatment": {"M": {"id": {"N": "1"}, "note": {"S": "n"}}}, "insurance": {"M": {"plan": {"N": "7"}}}, "treatment_id_partition_key": {"S": "1"}}},
+             {"Item": {"treatment": {"M": {"id": {"N": "2"}, "note": {"L": [{"S": "a"}]}}}, "patient": {"S": "no group"}, "disease": {"NULL": True}}},
+             {"Item": {"treatment": {"M": {"id": {"N": "3"}}}, "treatment.note": {"S": "a name like another"}}}, {"Item": {"treatment": {"M": {"id": {"N": "4"}}}}}]
+    path, bronze = scratch("items"), scratch("bronze")
+    spark.createDataFrame([(json.dumps(x),) for x in lines], "value string").write.text(path)
+    rows = sv.bronze_from_items(read_items(spark, path).where(is_item())).select(F.col("treatment")["id"]["N"].alias("id"), "rescued").collect()
+    kept = {r["id"]: {e["name"]: json.loads(e["value"]) for e in json.loads(r["rescued"])} if r["rescued"] else None for r in rows}
+    assert kept == {"1": {"insurance": {"M": {"plan": {"N": "7"}}}, "treatment.note": {"S": "n"}},
+                    "2": {"treatment.note": {"L": '[{"S": "a"}]'}, "patient": {"S": "no group"}}, "3": {"treatment.note": {"S": "a name like another"}}, "4": None}
+    assert extract_to_bronze(spark, path, bronze)["rescued_rows"] == 3
+    assert {r["name"]: r["n"] for r in rescued(spark, bronze).collect()} == {"insurance": 1, "treatment.note": 3, "patient": 1}
+
+
 def test_field_named_like_a_tag_is_a_field(spark):
     # A document field literally called "S" or "N" is a field, not a tag.
     m = _unwrap(spark, json.dumps({"S": {"N": "5"}, "N": {"S": "five"}}))
@@ -41,7 +76,7 @@ def test_field_named_like_a_tag_is_a_field(spark):
 
 def test_null_group_and_missing_field(spark):
     df = spark.createDataFrame([(None,)], "j string")
-    assert df.select(unwrap_group(F.from_json("j", GROUP)).alias("m")).first()["m"] is None
+    assert df.select(F.from_json("j", GROUP).alias("g")).select(unwrap_group("g").alias("m")).first()["m"] is None
     bronze = spark.createDataFrame([({"id": {"N": "7"}},)], sv.bronze_from_items(
         spark.createDataFrame([], ITEM_SCHEMA)).select("treatment").schema)
     flat = sv.flatten_items(sv.unwrap_items(bronze))

@@ -6,13 +6,16 @@ An item attribute is a one-key object naming its type: ``{"S": "text"}``,
 
 The JSON reader parses items against a fixed schema (no inference); a
 value is a struct with one nullable field per tag. Unwrapping is then a
-``transform_values``/``transform`` over that struct - no Python worker, no
-JSON round trip per row. Nested ``L``/``M`` values are typed one level
-deep; anything deeper stays as its JSON text.
+``coalesce`` over that struct - no Python worker, no JSON round trip per row.
+Containers inside a group (``L``, ``M``) are kept as their JSON text and parsed only
+where there is one, against a schema of ``DEPTH`` levels whose unwrapping is
+compiled from that schema; what lies deeper keeps its tags.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,57 +36,114 @@ def _scalar_fields() -> list[T.StructField]:
     ]
 
 
-# Values nested inside L / M: deeper containers are kept as JSON text.
-INNER_VALUE = T.StructType(_scalar_fields() + [
+DEPTH = 5  # levels of containers inside a field that are unwrapped
+
+# A field of a group: containers are JSON text until they are unwrapped.
+VALUE = T.StructType(_scalar_fields() + [
     T.StructField("L", T.StringType()),
     T.StructField("M", T.StringType()),
 ])
-VALUE = T.StructType(_scalar_fields() + [
-    T.StructField("L", T.ArrayType(INNER_VALUE)),
-    T.StructField("M", T.MapType(T.StringType(), INNER_VALUE)),
-])
 GROUP = T.MapType(T.StringType(), VALUE)
 
-# One item line: {"Item": {<attr>: <tagged value>, ...}}
-ITEM_SCHEMA = T.StructType([
-    T.StructField("Item", T.StructType(
-        [T.StructField(PARTITION_KEY_ATTR, VALUE)]
-        + [T.StructField(g, T.StructType([T.StructField("M", GROUP)])) for g in ITEM_GROUPS]
-    )),
-])
 
-# Bronze: the outer tag stripped, one map column per group.
+# An attribute of an item: a group is an M of fields.
+ATTRIBUTE = T.StructType(_scalar_fields() + [T.StructField("L", T.StringType()), T.StructField("M", GROUP)])
+
+# One item line: {"Item": {<attribute>: <tagged value>, ...}}; attributes and fields that nobody knows are kept.
+ITEM_SCHEMA = T.StructType([T.StructField("Item", T.MapType(T.StringType(), ATTRIBUTE))])
+
+# Bronze: the outer tag stripped, one map column per group; ``rescued``: what belongs to no known column, as text.
+RESCUED = "rescued"
 BRONZE_SCHEMA = T.StructType(
-    [T.StructField(g, GROUP) for g in ITEM_GROUPS] + [T.StructField("ingest_run_id", T.StringType())]
+    [T.StructField(g, GROUP) for g in ITEM_GROUPS] + [T.StructField(RESCUED, T.StringType()), T.StructField("ingest_run_id", T.StringType())]
 )
 
 
-def _scalar_text(v: Column) -> Column:
-    """Text of a scalar-tagged value; NULL for the NULL tag and for absent tags."""
-    return F.coalesce(
-        v["S"], v["N"], v["BOOL"].cast("string"),
-        F.when(v["SS"].isNotNull(), F.to_json(v["SS"])),
-        F.when(v["NS"].isNotNull(), F.to_json(v["NS"])),
-        v["B"],
-        F.when(v["BS"].isNotNull(), F.to_json(v["BS"])),
-    )
+# The expressions below are SQL text: they are large, and one call hands them over.
+
+_SETS = ("SS", "NS", "BS")
+
+
+def _value_ddl(depth: int) -> str:
+    """The type of a value whose containers are parsed to ``depth`` levels, for ``from_json``."""
+    fields = ["S:string", "N:string", "BOOL:boolean", "`NULL`:boolean", "SS:array<string>", "NS:array<string>", "B:string", "BS:array<string>"]
+    inner = _value_ddl(depth - 1) if depth else None
+    fields += ["L:string", "M:string"] if inner is None else [f"L:array<{inner}>", f"M:map<string,{inner}>"]
+    return f"struct<{','.join(fields)}>"
+
+
+def _scalar_sql(v: str) -> list[str]:
+    """Texts of a scalar-tagged value, the first that is not NULL counts; all NULL for the NULL tag and for absent tags."""
+    return [f"{v}.S", f"{v}.N", f"CAST({v}.BOOL AS STRING)", *[f"CASE WHEN {v}.{s} IS NOT NULL THEN to_json({v}.{s}) END" for s in ("SS", "NS")],
+            f"{v}.B", f"CASE WHEN {v}.BS IS NOT NULL THEN to_json({v}.BS) END"]
+
+
+def _quoted_sql(text: str) -> str:
+    """A JSON string."""
+    return f"substring(to_json(array({text})), 2, length(to_json(array({text}))) - 2)"
+
+
+def _unwrapped_sql(v: str, depth: int) -> str:
+    """JSON of a value parsed to ``depth`` levels of containers. Lists and maps share the expression of their elements (bound to
+    a name), so its size grows with the depth and not with its power."""
+    known = [f"CASE WHEN {v}.{s} IS NOT NULL THEN {_quoted_sql(f'CAST({v}.{s} AS STRING)')} END" for s in ("S", "N", "BOOL", "B")]
+    known += [f"CASE WHEN {v}.{s} IS NOT NULL THEN to_json({v}.{s}) END" for s in _SETS]
+    if not depth:
+        return f"coalesce({', '.join([*known, f'{v}.L', f'{v}.M'])}, 'null')"
+    x, p, k = (f"{n}{depth}" for n in "xpk")
+    parts = f"transform(coalesce({v}.L, map_values({v}.M)), {x} -> {_unwrapped_sql(x, depth - 1)})"
+    named = f"zip_with(map_keys({v}.M), {p}, ({k}, e{depth}) -> concat({_quoted_sql(k)}, ':', e{depth}))"
+    joined = (f"CASE WHEN {v}.L IS NOT NULL THEN concat('[', array_join({p}, ','), ']') "
+              f"WHEN {v}.M IS NOT NULL THEN concat('{{', array_join({named}, ','), '}}') END")
+    return f"coalesce({', '.join(known)}, transform(array({parts}), {p} -> {joined})[0], 'null')"
+
+
+def container_sql(v: str, depth: int = DEPTH) -> str:
+    """JSON of the unwrapped elements of an L or M value, at any level; NULL for others."""
+    whole = f"""coalesce(concat('{{"L":', {v}.L, '}}'), concat('{{"M":', {v}.M, '}}'))"""
+    parsed = f"from_json({whole}, '{_value_ddl(depth)}')"
+    return f"CASE WHEN {v}.L IS NOT NULL OR {v}.M IS NOT NULL THEN transform(array({parsed}), r -> {_unwrapped_sql('r', depth)})[0] END"
+
+
+def scalar_text(v: str) -> Column:
+    """Text of a scalar value named in SQL, such as ``treatment['id']``; NULL for containers."""
+    return F.expr(f"coalesce({', '.join(_scalar_sql(v))})")
+
+
+def container_texts(group: str, fields: Sequence[str]) -> Column:
+    """The fields of a group that are containers, unwrapped; NULL for a group without one, which is all that most rows
+    evaluate."""
+    some = " OR ".join(f"{group}['{f}'].L IS NOT NULL OR {group}['{f}'].M IS NOT NULL" for f in fields)
+    kept = f"map_filter({group}, (k, v) -> v.L IS NOT NULL OR v.M IS NOT NULL)"
+    return F.expr(f"CASE WHEN {some} THEN transform_values({kept}, (k, v) -> {container_sql('v')}) END")
+
+
+def unwrap_group(group: str) -> Column:
+    """map<string, tagged value> named in SQL -> map<string, string>; a NULL group stays NULL."""
+    return F.expr(f"transform_values({group}, (k, v) -> coalesce({', '.join(_scalar_sql('v'))}, {container_sql('v')}))")
 
 
-def _inner_text(v: Column) -> Column:
-    return F.coalesce(_scalar_text(v), v["L"], v["M"])
+RESCUED_TYPE = "array<struct<name:string,value:string>>"
 
 
-def value_text(v: Column) -> Column:
-    """Text of any tagged value: scalars as their text, L/M as JSON of the
-    unwrapped elements."""
-    lst = F.when(v["L"].isNotNull(), F.to_json(F.transform(v["L"], _inner_text)))
-    mp = F.when(v["M"].isNotNull(), F.to_json(F.transform_values(v["M"], lambda _k, x: _inner_text(x))))
-    return F.coalesce(_scalar_text(v), lst, mp)
+def rescued_text(item: str = "Item") -> Column:
+    """JSON list of ``name, value`` for everything in an item (read with ``ITEM_SCHEMA``) that has no column: attributes that
+    are no group under their name, unknown fields as ``group.field``, a group that is no M; values with their tags. NULL
+    where there is nothing. The lambdas run only for items that have such names."""
+    none = f"CAST(array() AS {RESCUED_TYPE})"
 
+    def others(m: str, names: list[str], prefix: str) -> str:
+        listed = ", ".join(f"'{n}'" for n in names)
+        kept = f"filter(map_entries({m}), e -> e.key NOT IN ({listed}))"
+        entries = f"transform({kept}, e -> struct(concat('{prefix}', e.key) AS name, to_json(e.value) AS value))"
+        return f"coalesce(CASE WHEN size(array_except(map_keys({m}), array({listed}))) > 0 THEN {entries} END, {none})"
 
-def unwrap_group(c: Column) -> Column:
-    """map<string, tagged value> -> map<string, string>; a NULL group stays NULL."""
-    return F.transform_values(c, lambda _k, v: value_text(v))
+    parts = [others(item, [*ITEM_GROUPS, PARTITION_KEY_ATTR], "")] + [others(f"{item}['{g}'].M", fields, f"{g}.") for g, fields in ITEM_GROUPS.items()]
+    for g in ITEM_GROUPS:
+        v = f"{item}['{g}']"
+        parts.append(f"CASE WHEN {v} IS NOT NULL AND {v}.M IS NULL AND NOT coalesce({v}.`NULL`, false) "
+                     f"THEN array(struct('{g}' AS name, to_json({v}) AS value)) ELSE {none} END")
+    return F.expr(f"transform(array(concat({', '.join(parts)})), x -> CASE WHEN size(x) > 0 THEN to_json(x) END)[0]")
 
 
 # --- building tagged values (used to produce item files from typed rows) ----

@@ -9,26 +9,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.tags import tag_value, unwrap_group, value_text
+from ..functions.tags import RESCUED, RESCUED_TYPE, container_texts, rescued_text, scalar_text, tag_value, unwrap_group
 from ..schemas import ITEM_GROUPS, PARTITION_KEY_ATTR, SILVER_COLUMNS, SILVER_TYPES
+from ..session import scratch_path
 from .combos import add_combo_ids
+from .sinks import write_table
 
 # --- items <-> bronze ---------------------------------------------------------
 
 
 def bronze_from_items(items: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Strip the outer ``M`` tag of each group (items read with ITEM_SCHEMA).
-    The partition-key attribute is not carried over."""
+    """Strip the outer ``M`` tag of each group. The partition-key attribute is not carried over; what has no column
+    (only items read from files can have it) is kept as text in ``rescued``."""
     cols = [F.col(f"Item.{g}.M").alias(g) for g in ITEM_GROUPS]
-    out = items.select(*cols)
-    return out.withColumn("ingest_run_id", F.lit(run_id).cast("string"))
+    from_files = isinstance(items.schema["Item"].dataType, T.MapType)
+    rescued = rescued_text() if from_files else F.lit(None).cast("string")
+    return items.select(*cols, rescued.alias(RESCUED), F.lit(run_id).cast("string").alias("ingest_run_id"))
+
+
+def rescued_names(bronze: DataFrame) -> DataFrame:
+    """``name, n``: the attributes and fields that have no column, and how many items have each."""
+    names = F.explode(F.from_json(RESCUED, RESCUED_TYPE)["name"]).alias("name")
+    return bronze.where(F.col(RESCUED).isNotNull()).select(names).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def unwrap_items(bronze: DataFrame) -> DataFrame:
     """Every group map -> map<string,string> of plain text values."""
     keep = [c for c in bronze.columns if c not in ITEM_GROUPS and c != PARTITION_KEY_ATTR]
-    return bronze.select(*[unwrap_group(F.col(g)).alias(g) for g in ITEM_GROUPS if g in bronze.columns],
+    return bronze.select(*[unwrap_group(g).alias(g) for g in ITEM_GROUPS if g in bronze.columns],
                          *keep)
 
 
@@ -43,16 +53,18 @@ def flatten_items(unwrapped: DataFrame) -> DataFrame:
 
 
 def flatten_tagged(bronze: DataFrame) -> DataFrame:
-    """``flatten_items(unwrap_items(bronze))`` in one projection: each field's
-    tagged value is picked from its group map first and only that value is
-    unwrapped, so no row rebuilds a whole map through a lambda (higher-order
-    functions are evaluated without codegen)."""
+    """``flatten_items(unwrap_items(bronze))`` without whole maps: each field's
+    tagged value is picked from its group map and only that value is
+    unwrapped, so no row rebuilds a map through a lambda (higher-order
+    functions are evaluated without codegen) unless a field is a container."""
+    groups = {g: fields for g, fields in ITEM_GROUPS.items() if g in bronze.columns}
+    rows = bronze.select(*groups, *[container_texts(g, fields).alias(f"{g}_containers") for g, fields in groups.items()])
     cols = []
     for g, fields in ITEM_GROUPS.items():
         for f in fields:
-            src = value_text(F.col(g)[f]) if g in bronze.columns else F.lit(None).cast("string")
+            src = F.coalesce(scalar_text(f"{g}['{f}']"), F.col(f"{g}_containers")[f]) if g in groups else F.lit(None).cast("string")
             cols.append(src.alias(f"{g}_{f}"))
-    return bronze.select(*cols)
+    return rows.select(*cols)
 
 
 def cast_types(flat: DataFrame) -> DataFrame:
@@ -99,9 +111,13 @@ def reject_rows(both: DataFrame) -> DataFrame:
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:
-    """P1: unwrap -> flatten -> combination id -> cast; 31 silver columns."""
+    """P1: unwrap -> flatten -> combination id -> cast; 31 silver columns.
+
+    The typed rows are written once: the pairs, and then the rows, are read from there, so bronze is parsed once."""
+    spark, path = bronze.sparkSession, scratch_path(bronze.sparkSession, "typed")
     typed = cast_types(flatten_tagged(bronze))
-    return add_combo_ids(typed).select(*SILVER_COLUMNS)
+    write_table(typed, path)
+    return add_combo_ids(spark.read.schema(typed.schema).parquet(path)).select(*SILVER_COLUMNS)
 
 
 # --- typed rows -> tagged items (to produce item files) -------------------------

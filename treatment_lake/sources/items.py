@@ -24,14 +24,32 @@ def write_items(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
     items_json(flat).write.mode(mode).text(path)
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Scan item files with the fixed item schema. A line that is no item has a NULL ``Item`` and, if it is no JSON
-    of this shape, its text in ``CORRUPT``; a missing or empty export gives an empty frame."""
-    schema = T.StructType([*ITEM_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+def item_file_schema() -> T.StructType:
+    return T.StructType([*ITEM_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def item_reader(reader):
+    """A batch or stream reader set up for item files. A line that is no item has a NULL ``Item`` and, if it is no JSON of
+    this shape, its text in ``CORRUPT``."""
+    return reader.schema(item_file_schema()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Scan item files (one path, or a list of files) with the fixed item schema; a missing or empty export gives an empty frame."""
+    if not path or (isinstance(path, str) and not path_exists(spark, path)):
+        return spark.createDataFrame([], item_file_schema())
+    return item_reader(spark.read).option("ignoreMissingFiles", "true").json(path)
+
+
+def listed_files(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
+    """``path, modified`` of the files of an export, from the listing: no content is read. ``modified_after`` (a UTC
+    timestamp) leaves out older ones."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("ignoreMissingFiles", "true").json(path))
+        return spark.createDataFrame([], "path string, modified timestamp")
+    reader = spark.read.format("binaryFile")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.load(path).select("path", F.col("modificationTime").alias("modified"))
 
 
 def is_item() -> Column:
@@ -47,15 +65,16 @@ def modified_at() -> Column:
     return F.col("Item.metadata.M")["modified_at"]["S"].try_cast("timestamp_ntz")
 
 
-def scan_items_window(items: DataFrame, lo=None, hi=None, keep_unknown: bool = False) -> DataFrame:
-    """Items whose nested ``metadata.modified_at`` lies in ``(lo, hi]`` (either bound optional).
+def scan_items_window(items: DataFrame, lo=None, hi=None, keep_unknown: bool = False, with_ties: bool = False) -> DataFrame:
+    """Items whose nested ``metadata.modified_at`` lies in ``(lo, hi]`` (either bound optional), with ``with_ties`` in ``[lo, hi]``.
 
     ``keep_unknown`` also keeps items without a readable time: no window says whether they are new, and upserts
     make reading them again harmless."""
     ts = modified_at()
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (ts > F.lit(lo).cast("timestamp_ntz"))
+        low = F.lit(lo).cast("timestamp_ntz")
+        cond = cond & (ts >= low if with_ties else ts > low)
     if hi is not None:
         cond = cond & (ts <= F.lit(hi).cast("timestamp_ntz"))
     return items.where((cond | ts.isNull()) if keep_unknown else cond)

@@ -79,7 +79,7 @@ def provider_treatment_rank(fact: DataFrame, dim_providers: DataFrame, ordered:
 
 
 def provider_success_rates(fact: DataFrame, dim_providers: DataFrame, dim_combo: DataFrame | None = None,
-                           success_ids: Sequence[int] = (1,), success_statuses=None,
+                           success_ids: Sequence[int] | str = FIRST, success_statuses=None,
                            ordered: bool = False) -> DataFrame:
     """E7 (unordered) and, with ``ordered=True``, E2: success rate per provider."""
     per = _success_counts(fact, "provider_sk", dim_combo, success_ids, success_statuses)
@@ -89,14 +89,14 @@ def provider_success_rates(fact: DataFrame, dim_providers: DataFrame, dim_combo:
     return out.orderBy(F.desc("success_rate"), F.asc("provider_id")) if ordered else out
 
 
-def provider_success_rate_rank(fact, dim_providers, dim_combo=None, success_ids=(1,),
+def provider_success_rate_rank(fact, dim_providers, dim_combo=None, success_ids=FIRST,
                                success_statuses=None) -> DataFrame:
     """E2."""
     return provider_success_rates(fact, dim_providers, dim_combo, success_ids, success_statuses,
                                   ordered=True)
 
 
-def monthly_trends(fact: DataFrame, dim_dates: DataFrame, dim_combo=None, success_ids=(1,),
+def monthly_trends(fact: DataFrame, dim_dates: DataFrame, dim_combo=None, success_ids=FIRST,
                    success_statuses=None, ordered: bool = True, date_role: str = "start") -> DataFrame:
     """E3: per (year, month name) of the start, completion or outcome date; newest year first, month name descending."""
     day = f"{date_role}_date_sk"
@@ -137,7 +137,7 @@ def avg_cost_per_provider(fact: DataFrame, dim_providers: DataFrame) -> DataFram
     return j.select("provider_id", "provider_full_name", avg.alias("avg_treatment_cost"))
 
 
-def provider_rank_with_position(fact, dim_providers, dim_combo=None, success_ids=(1,),
+def provider_rank_with_position(fact, dim_providers, dim_combo=None, success_ids=FIRST,
                                 success_statuses=None) -> DataFrame:
     """E2 plus rank columns, ``rank()`` by total treatments and
     ``dense_rank()`` by success rate (both descending, NULL last).

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.interleave import interleaved_key
+
 DEFAULT_MAX_RECORDS = 5_000_000
 
 
@@ -39,19 +41,32 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, by: Sequence[str], buckets: int, sort_by: Sequence[str] = ()) -> DataFrame:
+    """A distribution key that joins and aggregates can use: a catalog table in ``buckets`` hash buckets of ``by``, one file
+    each. Tables with the same number of buckets of their join keys are joined, and grouped by them, without an exchange."""
+    (df.repartition(buckets, *by).write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(buckets, *by).sortBy(*(sort_by or by)).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_layout(df: DataFrame, path: str, distribute_by: Sequence[str] = (),
                  sort_by: Sequence[str] = (), num_partitions: int | None = None,
-                 range_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+                 range_by: Sequence[str] = (), mode: str = "overwrite", interleave: Sequence[str] = (),
+                 max_records: int = DEFAULT_MAX_RECORDS) -> None:
     """Distribution and sort keys as a write layout.
 
     ``distribute_by`` clusters by the key (a key beyond the advisory partition
-    size is split over several tasks and files), ``range_by`` range-partitions
-    (interleaved-sort analogue), ``num_partitions`` without a key deals rows
+    size is split over several tasks and files), ``range_by`` range-partitions,
+    ``interleave`` sorts by the interleaved bits of the columns' value ranks (each
+    of them alone then prunes), ``num_partitions`` without a key deals rows
     out evenly, ``sort_by`` sorts within each output partition so Parquet
     row-group min/max statistics let later scans skip data.
     """
     out = df
-    if range_by:
+    if interleave:
+        keyed = df.withColumn("_z", interleaved_key(df, interleave))
+        out = keyed.repartitionByRange(*(([num_partitions] if num_partitions else []) + ["_z"])).sortWithinPartitions("_z").drop("_z")
+    elif range_by:
         out = out.repartitionByRange(*(([num_partitions] if num_partitions else []) + list(range_by)))
     elif distribute_by:
         out = out.hint("rebalance", *distribute_by)
@@ -59,7 +74,7 @@ def write_layout(df: DataFrame, path: str, distribute_by: Sequence[str] = (),
         out = out.repartition(num_partitions)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    write_table(out, path, mode)
+    write_table(out, path, mode, max_records=max_records)
 
 
 def bulk_append(df: DataFrame, target_schema: T.StructType, path: str) -> None:

@@ -6,64 +6,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import GROUP, unwrap_group
-from ..operators import marts
+from ..operators import dims, marts
 from ..operators import silver as sv
 from ..operators.combos import combo_ids, combo_label, registry_update
 from ..operators.ranking import with_position
-from ..schemas import FLAT_COLUMNS
+from ..schemas import FLAT_COLUMNS, TIMESTAMP_COLUMNS, WATERMARK_COLUMN
 from ..session import scratch_path
 from ..sources.items import read_items, write_items
 from ..sources.tables import Tables
-from .registry import QUERIES, QueryFn, bronze_t, flat_t, query, silver_t, star_t
+from .registry import QUERIES, QueryFn, bronze_t, flat_snapshot, flat_t, query, silver_t, star_t
 from .star import build_star
 
 # --- marts (E1-E7, F5) ------------------------------------------------------
 
+#: the columns of T that a mart needs: those of a fact row's identity, of its pair, provider and place
+ROW_COLUMNS = ["treatment_id", "treatment_start_date", WATERMARK_COLUMN]
+PAIR_COLUMNS = ["treatment_type", "treatment_outcome_status"]
+PROVIDER_COLUMNS = ROW_COLUMNS + list(dims.DIM_MAPPINGS["dim_providers"])
+PLACE_COLUMNS = ROW_COLUMNS + list(dims.DIM_MAPPINGS["dim_locations"])
+COMBOS = "dim_treatment_types_and_outcome_statuses"
+
+
 @query("provider_treatment_rank")
 def q_provider_treatment_rank(spark, sf_dir):
-    s = star_t(spark, sf_dir, with_ids=False)
+    s = star_t(spark, sf_dir, False, PROVIDER_COLUMNS)
     return marts.provider_treatment_rank(s["fact_treatments"], s["dim_providers"])
 
 
 @query("provider_success_rate_rank")
 def q_provider_success_rate_rank(spark, sf_dir):
-    s = star_t(spark, sf_dir)
-    return marts.provider_success_rate_rank(s["fact_treatments"], s["dim_providers"])
+    s = star_t(spark, sf_dir, True, PROVIDER_COLUMNS + PAIR_COLUMNS)
+    return marts.provider_success_rate_rank(s["fact_treatments"], s["dim_providers"], s[COMBOS])
 
 
 @query("provider_success_rates")
 def q_provider_success_rates(spark, sf_dir):
-    s = star_t(spark, sf_dir)
-    return marts.provider_success_rates(s["fact_treatments"], s["dim_providers"])
+    s = star_t(spark, sf_dir, True, PROVIDER_COLUMNS + PAIR_COLUMNS)
+    return marts.provider_success_rates(s["fact_treatments"], s["dim_providers"], s[COMBOS])
 
 
 @query("provider_rank_with_position")
 def q_provider_rank_with_position(spark, sf_dir):
-    s = star_t(spark, sf_dir)
-    return marts.provider_rank_with_position(s["fact_treatments"], s["dim_providers"])
+    s = star_t(spark, sf_dir, True, PROVIDER_COLUMNS + PAIR_COLUMNS)
+    return marts.provider_rank_with_position(s["fact_treatments"], s["dim_providers"], s[COMBOS])
 
 
 @query("monthly_trends")
 def q_monthly_trends(spark, sf_dir):
-    s = star_t(spark, sf_dir)
-    return marts.monthly_trends(s["fact_treatments"], s["dim_dates"])
+    s = star_t(spark, sf_dir, True, ROW_COLUMNS + PAIR_COLUMNS + TIMESTAMP_COLUMNS)
+    return marts.monthly_trends(s["fact_treatments"], s["dim_dates"], s[COMBOS])
 
 
 @query("geo_distribution")
 def q_geo_distribution(spark, sf_dir):
-    s = star_t(spark, sf_dir, with_ids=False)
+    s = star_t(spark, sf_dir, False, PLACE_COLUMNS)
     return marts.geo_distribution(s["fact_treatments"], s["dim_locations"])
 
 
 @query("treatments_per_city")
 def q_treatments_per_city(spark, sf_dir):
-    s = star_t(spark, sf_dir, with_ids=False)
+    s = star_t(spark, sf_dir, False, PLACE_COLUMNS)
     return marts.treatments_per_city(s["fact_treatments"], s["dim_locations"])
 
 
 @query("avg_cost_per_provider")
 def q_avg_cost_per_provider(spark, sf_dir):
-    s = star_t(spark, sf_dir, with_ids=False)
+    s = star_t(spark, sf_dir, False, PROVIDER_COLUMNS + ["treatment_cost"])
     return marts.avg_cost_per_provider(s["fact_treatments"], s["dim_providers"])
 
 
@@ -95,10 +103,10 @@ for _key, _table in [
 @query("monthly_trends_by_role")
 def q_monthly_trends_by_role(spark, sf_dir):
     """E3 for each of the fact's three date roles."""
-    s = star_t(spark, sf_dir)
+    s = star_t(spark, sf_dir, True, ROW_COLUMNS + PAIR_COLUMNS + TIMESTAMP_COLUMNS)
     out = None
     for role in ("start", "completion", "outcome"):
-        part = marts.monthly_trends(s["fact_treatments"], s["dim_dates"], ordered=False, date_role=role).withColumn("date_role", F.lit(role))
+        part = marts.monthly_trends(s["fact_treatments"], s["dim_dates"], s[COMBOS], ordered=False, date_role=role).withColumn("date_role", F.lit(role))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -106,10 +114,10 @@ def q_monthly_trends_by_role(spark, sf_dir):
 @query("mart_order_full")
 def q_mart_order_full(spark, sf_dir):
     """Every row's position in E1 (one sort key and the id) and in E3 (two sort keys)."""
-    s = star_t(spark, sf_dir)
+    s = star_t(spark, sf_dir, True, PROVIDER_COLUMNS + PAIR_COLUMNS + TIMESTAMP_COLUMNS)
     e1 = with_position(spark, marts.provider_treatment_rank(s["fact_treatments"], s["dim_providers"], ordered=False),
                        [F.col("total_treatments").desc_nulls_last(), F.col("provider_id").asc_nulls_last()])
-    e3 = with_position(spark, marts.monthly_trends(s["fact_treatments"], s["dim_dates"], ordered=False),
+    e3 = with_position(spark, marts.monthly_trends(s["fact_treatments"], s["dim_dates"], s[COMBOS], ordered=False),
                        [F.col("year").desc_nulls_last(), F.col("month").desc_nulls_last()])
     return e1.select(F.lit("provider_treatment_rank").alias("mart"), "position", F.col("provider_id").cast("string").alias("label")).unionByName(
         e3.select(F.lit("monthly_trends").alias("mart"), "position", F.concat_ws(" ", F.col("year").cast("string"), "month").alias("label")))
@@ -159,8 +167,7 @@ def q_unwrap_nested(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
     line = F.concat(F.lit('{"props_m":{"M":{"k":{"N":"'), k, F.lit('"}}},"props_l":{"L":[{"N":"'), k,
                     F.lit('"}]}}'))
-    parsed = F.from_json(line, GROUP)
-    u = ev.select("event_id", unwrap_group(parsed).alias("g"))
+    u = ev.select("event_id", F.from_json(line, GROUP).alias("parsed")).select("event_id", unwrap_group("parsed").alias("g"))
     return u.select("event_id",
                     F.get_json_object(F.col("g")["props_m"], "$.k").alias("k"),
                     F.get_json_object(F.col("g")["props_l"], "$[0]").alias("k_from_list"))
@@ -220,7 +227,7 @@ def q_combo_label(spark, sf_dir):
 @query("type_outcome_registry")
 def q_type_outcome_registry(spark, sf_dir):
     """Ids of a first batch (finished and open orders), then the whole table arrives."""
-    flat = flat_t(spark, sf_dir)
+    flat = flat_snapshot(spark, sf_dir, PAIR_COLUMNS)
     first = combo_ids(flat.where(F.col("treatment_outcome_status").isin("F", "O")))
     return registry_update(first, flat)
 

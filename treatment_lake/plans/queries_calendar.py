@@ -11,7 +11,7 @@ from ..functions.calendar import calendar_columns, epoch_seconds, second_of_day,
 from ..operators.dims import distinct_dates, distinct_times
 from ..schemas import TIMESTAMP_COLUMNS
 from ..sources.tables import Tables
-from .registry import flat_t, query
+from .registry import flat_snapshot, flat_t, query
 
 
 @query("calendar_attributes")
@@ -88,8 +88,8 @@ def q_null_safe_join(spark, sf_dir):
     """Each record joined to the distinct (start, completion, outcome) triples with
     NULL-safe equality (planned as an equi hash join), counted per status;
     a plain equality join would lose every record without an outcome."""
-    t = flat_t(spark, sf_dir).where(F.col("treatment_start_date").isNotNull())
     cols = ["treatment_start_date", "treatment_completion_date", "treatment_outcome_date"]
+    t = flat_snapshot(spark, sf_dir, [*cols, "treatment_outcome_status"]).where(F.col("treatment_start_date").isNotNull())
     d = t.select(*[F.col(c).alias(f"d_{c}") for c in cols]).distinct()
     cond = None
     for c in cols:

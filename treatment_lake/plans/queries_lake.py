@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.tags import BRONZE_SCHEMA
 from ..operators import silver as sv
 from ..operators.dedupe import latest_per_key
+from ..operators.merge_table import MergeTable
 from ..operators.sinks import bulk_append, write_bronze, write_layout, write_table
-from ..operators.upsert import RunTable, insert_new_only, upsert_type1
+from ..operators.upsert import insert_new_only, upsert_type1
 from ..schemas import FACT_SCHEMA, WATERMARK_COLUMN, silver_schema
 from ..session import scratch_path
 from ..sources import layers
@@ -336,10 +337,10 @@ def q_upsert_late_version(spark, sf_dir):
     """The newer version of some orders is merged first, then an older one of all of them."""
     orders = Tables(spark, sf_dir).orders
     schema = orders.select("o_orderkey", "o_totalprice").schema
-    table = RunTable(spark, scratch_path(spark, "late"), schema, version=WATERMARK_COLUMN)
+    table = MergeTable(spark, scratch_path(spark, "late"), schema, ["o_orderkey"], version=WATERMARK_COLUMN)
     newer = orders.where("o_orderpriority = '1-URGENT'").select(
         "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias(WATERMARK_COLUMN))
     older = orders.select("o_orderkey", "o_totalprice", F.col("o_orderdate").alias(WATERMARK_COLUMN))
-    table.merge(newer, ["o_orderkey"])
-    table.merge(older, ["o_orderkey"])
+    table.merge(newer)
+    table.merge(older)
     return table.read()

@@ -7,7 +7,7 @@ driver tables, so every query's work grows with those tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,23 +36,25 @@ def flat_t(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_t(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T: 31-column silver records derived from the driver tables."""
-    return add_combo_ids(flat_t(spark, sf_dir))
+    """T: 31-column silver records derived from the driver tables (once: the pairs come from the stored rows)."""
+    return silver_snapshot(spark, sf_dir)
 
 
-def flat_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat_snapshot(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """T without ids written once as a table in the shared folder: queries that
     derive several frames from T scan it, so each source table is read once and
-    their lineage starts at the files."""
+    their lineage starts at the files. With ``columns`` only those are derived and
+    written; the others are NULL, for frames that are never asked for them (T has one
+    row per treatment, so no tie is decided by them)."""
     rows = flat_t(spark, sf_dir)
     path = scratch_path(spark, "flat-snapshot")
-    write_table(rows, path)
+    write_table(rows.select(*[c for c in rows.columns if columns is None or c in columns]), path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def silver_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_snapshot(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """T with ids over the snapshot: the ids are a broadcast join on its scan."""
-    return add_combo_ids(flat_snapshot(spark, sf_dir))
+    return add_combo_ids(flat_snapshot(spark, sf_dir, columns))
 
 
 def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +62,6 @@ def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.bronze_from_items(sv.items_from_flat(flat_t(spark, sf_dir)), "t")
 
 
-def star_t(spark: SparkSession, sf_dir: str, with_ids: bool = True) -> dict[str, DataFrame]:
-    """The star over one snapshot of T; without ids there is no combination dimension."""
-    return build_star(silver_snapshot(spark, sf_dir) if with_ids else flat_snapshot(spark, sf_dir))
+def star_t(spark: SparkSession, sf_dir: str, with_ids: bool = True, columns: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The star over one snapshot of T (of the given columns); without ids there is no combination dimension."""
+    return build_star(silver_snapshot(spark, sf_dir, columns) if with_ids else flat_snapshot(spark, sf_dir, columns))

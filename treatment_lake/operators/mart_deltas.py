@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import MONEY
-from .marts import COMBO_SK, FIRST, _rate, _with_providers, success_combos
+from .marts import COMBO_SK, FIRST, _rate, _with_providers, explicit_ids, success_combos
 from .merge_table import MergeTable
 from .upsert import RunTable
 
@@ -83,7 +83,7 @@ def marts_from_partials(partials: DataFrame, star: dict[str, DataFrame], success
     def rates(kind: str, name: str) -> DataFrame:
         rows = of(kind, name)
         if ok is None:
-            hit = F.coalesce(F.col("combo").isin(list(success_ids)), F.lit(False))
+            hit = F.coalesce(F.col("combo").isin(explicit_ids(success_ids)), F.lit(False))
         else:
             rows, hit = rows.join(ok, F.col("combo") == F.col("_ok_sk"), "left"), F.col("_ok_sk").isNotNull()
         return rows.groupBy(name).agg(F.sum("n").alias("total_treatments"), F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("n_success"))

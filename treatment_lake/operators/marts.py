@@ -31,11 +31,11 @@ FIRST = "first"
 
 
 def success_combos(dim_combo: DataFrame | None, success_ids=FIRST, success_statuses: Sequence[str] | None = None) -> DataFrame | None:
-    """The combination ids that count as success (``_ok_sk``); None: ``success_ids`` says it by itself."""
-    if success_statuses is None and success_ids != FIRST:
+    """The combination ids that count as success (``_ok_sk``); None: ``explicit_ids`` says it by itself."""
+    if success_statuses is None and (success_ids != FIRST or dim_combo is None):
         return None
     if dim_combo is None:
-        raise ValueError("success by status or by the first combination needs the type/outcome dimension")
+        raise ValueError("success by status needs the type/outcome dimension")
     if success_statuses is not None:
         ok = dim_combo.where(F.col("treatment_outcome_status").isin(list(success_statuses)))
     else:
@@ -44,6 +44,11 @@ def success_combos(dim_combo: DataFrame | None, success_ids=FIRST, success_statu
     return ok.select(F.col(COMBO_SK).alias("_ok_sk"))
 
 
+def explicit_ids(success_ids) -> list[int]:
+    """Without the dimension the first combination is the one that a full load numbers first."""
+    return [1] if success_ids == FIRST else list(success_ids)
+
+
 def _rate(success: str, total: str) -> F.Column:
     return F.try_divide(F.col(success).cast("double") * F.lit(100.0), F.col(total).cast("double"))
 
@@ -58,7 +63,7 @@ def _success_counts(fact: DataFrame, key: str, dim_combo=None, success_ids=FIRST
     per = fact.groupBy(key, COMBO_SK).agg(F.count("fact_treatment_sk").alias("n"))
     ok = success_combos(dim_combo, success_ids, success_statuses)
     if ok is None:
-        hit = F.coalesce(F.col(COMBO_SK).isin(list(success_ids)), F.lit(False))
+        hit = F.coalesce(F.col(COMBO_SK).isin(explicit_ids(success_ids)), F.lit(False))
     else:
         per = per.join(ok, F.col(COMBO_SK) == F.col("_ok_sk"), "left")
         hit = F.col("_ok_sk").isNotNull()

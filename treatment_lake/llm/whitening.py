@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import exact_spectrum as spectrum
 from .registry import bounded_batches, query, stored, table
-from .vectors import EXACT, as_doubles, finite, floored
+from .vectors import as_doubles, finite, floored
 
 LIMB = 20  # bits of an integer that go into one product of doubles
 ROWS = 4096  # rows multiplied at once: 2 ** (2 * LIMB + 12) is below 2 ** 53

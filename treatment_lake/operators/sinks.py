@@ -4,7 +4,7 @@ No ``coalesce(1)``: every write is parallel; ``maxRecordsPerFile`` caps
 file size and AQE coalesces small shuffle partitions before the write.
 Bronze and silver are partitioned by ingest run (a run is read back by
 partition pruning, and written again it replaces itself); other tables are
-rewritten by ``upsert.RunTable``.
+written by ``merge_table.MergeTable`` and ``upsert.RunTable``.
 """
 
 from __future__ import annotations

@@ -17,14 +17,14 @@ from ..operators.tracker import Tracker
 from ..schemas import COMBO_ID, TRACKER_SCHEMA, WATERMARK_COLUMN, silver_schema
 from ..session import scratch_path
 from ..sources import layers
-from ..sources.items import write_items
+from ..sources.items import write_items, write_lines
 from ..sources.tables import Tables
 from ..streaming.arrivals import stream_bronze
 from .end_to_end import FIXED_CLOCK
 from .gold import build_gold, read_mart, write_marts
 from .queries import COMBOS, PAIR_COLUMNS, PROVIDER_COLUMNS
 from .registry import flat_snapshot, query, silver_snapshot, star_t
-from .silver_build import bronze_to_silver, extract_to_bronze, read_silver, rejects, rescued
+from .silver_build import bronze_to_silver, extract_to_bronze, read_files, read_silver, rejects, rescued
 
 TIE = "1996-06-01 00:00:00"
 DELAY_DAYS = 30
@@ -72,15 +72,18 @@ def q_late_rejects(spark, sf_dir):
 
 @query("new_files_only")
 def q_new_files_only(spark, sf_dir):
-    """An export that grows by files: what each run reads."""
+    """An export that grows by files, each a folder of parts that several tasks write: what each run reads."""
     flat, bronze, path = flat_snapshot(spark, sf_dir), scratch_path(spark, "bronze"), scratch_path(spark, "export")
     out = []
     parts = ((f"{WATERMARK_COLUMN} < '1997-01-01'", 3), (f"{WATERMARK_COLUMN} >= '1997-01-01'", 2), (None, 0))
     for run, (cond, files) in enumerate(parts):
         if cond:
-            _export(spark, flat.where(cond).repartition(files), path)
+            rows = flat.where(cond).withColumn("_file", F.pmod(F.xxhash64("treatment_id"), F.lit(files)))
+            for k in range(files):
+                _export(spark, rows.where(F.col("_file") == k), f"{path}/file={run}-{k}")
         got = extract_to_bronze(spark, path, bronze, f"r{run}", clock=_clock)
-        out.append((run, got["files"], got["rows"]))
+        read = read_files(spark, bronze, f"r{run}").select(F.regexp_extract("path", "^(.*)/", 1)).distinct().count()
+        out.append((run, read, got["rows"]))
     return spark.createDataFrame(out, "run int, files int, n_rows long")
 
 
@@ -94,7 +97,7 @@ def q_rescued_attributes(spark, sf_dir):
     noted = F.when(typed, F.regexp_replace("j", r'"treatment":\{"M":\{', '"treatment":{"M":{"note":{"S":"seen"},')).otherwise(F.col("j"))
     insured = F.when(status, F.concat(F.lit('{"insurance":{"M":{"plan":{"N":"7"}}},'), F.substring(noted, F.lit(2), F.length(noted)))).otherwise(noted)
     path = scratch_path(spark, "export")
-    lines.select(F.concat(F.lit('{"Item":'), insured, F.lit("}")).alias("value")).write.text(path)
+    write_lines(lines.select(F.concat(F.lit('{"Item":'), insured, F.lit("}")).alias("value")), path)
     extract_to_bronze(spark, path, bronze, "r1", clock=_clock)
     return rescued(spark, bronze).groupBy("name").agg(F.sum("n").alias("n"))
 

@@ -15,7 +15,7 @@ from ..operators.upsert import insert_new_only, upsert_type1
 from ..schemas import FACT_SCHEMA, WATERMARK_COLUMN, silver_schema
 from ..session import scratch_path
 from ..sources import layers
-from ..sources.items import read_items, scan_items_window, write_items
+from ..sources.items import read_items, scan_items_window, write_items, write_lines
 from ..sources.tables import Tables, read_table
 from .end_to_end import FIXED_CLOCK, Layout, run_once
 from .gold import gold_tables
@@ -282,10 +282,10 @@ def q_empty_export(spark, sf_dir):
 def q_pipeline_rejects(spark, sf_dir):
     """An export with values that do not cast and lines that are no items: what the pipeline refused, by kind and column."""
     items_path, bronze_root, silver_root = (scratch_path(spark, n) for n in ("export", "bronze", "silver"))
-    sv.items_json(text_with_bad_values(spark, sf_dir)).write.text(items_path)
+    write_lines(sv.items_json(text_with_bad_values(spark, sf_dir)), items_path)
     broken = Tables(spark, sf_dir).orders.where("o_orderstatus = 'P'").select(
         F.concat(F.lit('{"Item": {"treatment": '), F.col("o_orderkey").cast("string")).alias("value"))
-    broken.write.mode("append").text(items_path)
+    write_lines(broken, items_path, "append")
     run = extract_to_bronze(spark, items_path, bronze_root)
     bronze_to_silver(spark, bronze_root, silver_root, run["run_id"])
     both = rejects(spark, bronze_root).unionByName(rejects(spark, silver_root))

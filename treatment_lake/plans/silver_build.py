@@ -107,6 +107,12 @@ def new_files(spark: SparkSession, items_path: str, bronze_root: str, modified_a
     return listed_files(spark, items_path, modified_after).join(read, ["path", "modified"], "left_anti")
 
 
+def read_files(spark: SparkSession, bronze_root: str, run_id: str) -> DataFrame:
+    """``path, modified`` of the files that a committed run has read."""
+    done = [r for r in ledger(spark, bronze_root).runs() if r == run_id]
+    return _side(spark, bronze_root, "files", FILES_SCHEMA, done).select("path", "modified")
+
+
 def bronze_time() -> Column:
     return F.col("metadata")["modified_at"]["S"].try_cast("timestamp_ntz")
 

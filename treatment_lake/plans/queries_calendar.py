@@ -95,7 +95,7 @@ def q_null_safe_join(spark, sf_dir):
     for c in cols:
         e = F.col(c).eqNullSafe(F.col(f"d_{c}"))
         cond = e if cond is None else cond & e
-    j = t.join(d, cond, "inner")
+    j = t.join(d.hint("merge"), cond, "inner")  # the triples grow with the records: never in the driver
     return j.groupBy("treatment_outcome_status").agg(
         F.count(F.lit(1)).alias("n_joined"),
         F.count("treatment_outcome_date").alias("n_with_outcome"))

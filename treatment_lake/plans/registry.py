@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import silver as sv
 from ..operators.combos import add_combo_ids
+from ..operators.merge_table import settings
 from ..operators.sinks import write_table
 from ..session import scratch_path
 from ..sources.adapter import flat_records
@@ -40,6 +41,14 @@ def silver_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_snapshot(spark, sf_dir)
 
 
+def measured_broadcasts(spark: SparkSession) -> dict[str, str]:
+    """Settings under which a table is broadcast by its measured size only. An estimate from file sizes takes a million short
+    keys, which pack well, for a small table; the driver then builds its hash table."""
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    measured = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) or most
+    return {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": measured}
+
+
 def flat_snapshot(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """T without ids written once as a table in the shared folder: queries that
     derive several frames from T scan it, so each source table is read once and
@@ -48,7 +57,8 @@ def flat_snapshot(spark: SparkSession, sf_dir: str, columns: Sequence[str] | Non
     row per treatment, so no tie is decided by them)."""
     rows = flat_t(spark, sf_dir)
     path = scratch_path(spark, "flat-snapshot")
-    write_table(rows.select(*[c for c in rows.columns if columns is None or c in columns]), path)
+    with settings(spark, measured_broadcasts(spark)):
+        write_table(rows.select(*[c for c in rows.columns if columns is None or c in columns]), path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

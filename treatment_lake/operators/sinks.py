@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from ..functions.interleave import interleaved_key
 
 DEFAULT_MAX_RECORDS = 5_000_000
+#: rows that an even layout gives one task at most: some 400 MB of silver in a shuffle
+TASK_RECORDS = 2_000_000
 
 
 def write_bronze(df: DataFrame, path: str, run_id: str) -> None:
@@ -59,7 +61,7 @@ def write_layout(df: DataFrame, path: str, distribute_by: Sequence[str] = (),
     size is split over several tasks and files), ``range_by`` range-partitions,
     ``interleave`` sorts by the interleaved bits of the columns' value ranks (each
     of them alone then prunes), ``num_partitions`` without a key deals rows
-    out evenly, ``sort_by`` sorts within each output partition so Parquet
+    out evenly (to more partitions, where these would get over ``TASK_RECORDS`` each; the rows are counted for that), ``sort_by`` sorts within each output partition so Parquet
     row-group min/max statistics let later scans skip data.
     """
     out = df
@@ -71,7 +73,7 @@ def write_layout(df: DataFrame, path: str, distribute_by: Sequence[str] = (),
     elif distribute_by:
         out = out.hint("rebalance", *distribute_by)
     elif num_partitions:
-        out = out.repartition(num_partitions)
+        out = out.repartition(max(num_partitions, -(-df.count() // TASK_RECORDS)))
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     write_table(out, path, mode, max_records=max_records)

@@ -129,7 +129,8 @@ RESCUED_TYPE = "array<struct<name:string,value:string>>"
 def rescued_text(item: str = "Item") -> Column:
     """JSON list of ``name, value`` for everything in an item (read with ``ITEM_SCHEMA``) that has no column: attributes that
     are no group under their name, unknown fields as ``group.field``, a group that is no M; values with their tags. NULL
-    where there is nothing. The lambdas run only for items that have such names."""
+    where there is nothing. Items that name no more than the known fields, in their order, are told by comparing names; the
+    lambdas run only for others."""
     none = f"CAST(array() AS {RESCUED_TYPE})"
 
     def others(m: str, names: list[str], prefix: str) -> str:
@@ -143,7 +144,13 @@ def rescued_text(item: str = "Item") -> Column:
         v = f"{item}['{g}']"
         parts.append(f"CASE WHEN {v} IS NOT NULL AND {v}.M IS NULL AND NOT coalesce({v}.`NULL`, false) "
                      f"THEN array(struct('{g}' AS name, to_json({v}) AS value)) ELSE {none} END")
-    return F.expr(f"transform(array(concat({', '.join(parts)})), x -> CASE WHEN size(x) > 0 THEN to_json(x) END)[0]")
+    whole = f"transform(array(concat({', '.join(parts)})), x -> CASE WHEN size(x) > 0 THEN to_json(x) END)[0]"
+
+    def plain(m: str, names: Sequence[str]) -> str:
+        return f"map_keys({m}) = array({', '.join(repr(n) for n in names)})"
+
+    usual = [plain(item, [PARTITION_KEY_ATTR, *ITEM_GROUPS]), *[plain(f"{item}['{g}'].M", fields) for g, fields in ITEM_GROUPS.items()]]
+    return F.expr(f"CASE WHEN {' AND '.join(usual)} THEN CAST(NULL AS STRING) ELSE {whole} END")
 
 
 # --- building tagged values (used to produce item files from typed rows) ----

@@ -110,12 +110,20 @@ def scalar_text(v: str) -> Column:
     return F.expr(f"coalesce({', '.join(_scalar_sql(v))})")
 
 
+def _some_container(group: str, fields: Sequence[str]) -> str:
+    return " OR ".join(f"{group}['{f}'].L IS NOT NULL OR {group}['{f}'].M IS NOT NULL" for f in fields)
+
+
+def with_containers(group: str, fields: Sequence[str]) -> Column:
+    """A group with a container among its fields, NULL for others."""
+    return F.expr(f"CASE WHEN {_some_container(group, fields)} THEN {group} END")
+
+
 def container_texts(group: str, fields: Sequence[str]) -> Column:
     """The fields of a group that are containers, unwrapped; NULL for a group without one, which is all that most rows
     evaluate."""
-    some = " OR ".join(f"{group}['{f}'].L IS NOT NULL OR {group}['{f}'].M IS NOT NULL" for f in fields)
     kept = f"map_filter({group}, (k, v) -> v.L IS NOT NULL OR v.M IS NOT NULL)"
-    return F.expr(f"CASE WHEN {some} THEN transform_values({kept}, (k, v) -> {container_sql('v')}) END")
+    return F.expr(f"CASE WHEN {_some_container(group, fields)} THEN transform_values({kept}, (k, v) -> {container_sql('v')}) END")
 
 
 def unwrap_group(group: str) -> Column:

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.tags import RESCUED, RESCUED_TYPE, container_texts, rescued_text, scalar_text, tag_value, unwrap_group
+from ..functions.tags import RESCUED, RESCUED_TYPE, container_texts, rescued_text, scalar_text, tag_value, unwrap_group, with_containers
 from ..schemas import ITEM_GROUPS, PARTITION_KEY_ATTR, SILVER_COLUMNS, SILVER_TYPES
-from ..session import scratch_path
+from ..session import scratch_path, wide_rows
 from .combos import add_combo_ids
+from .merge_table import settings
 from .sinks import write_table
 
 # --- items <-> bronze ---------------------------------------------------------
@@ -56,13 +57,17 @@ def flatten_tagged(bronze: DataFrame) -> DataFrame:
     """``flatten_items(unwrap_items(bronze))`` without whole maps: each field's
     tagged value is picked from its group map and only that value is
     unwrapped, so no row rebuilds a map through a lambda (higher-order
-    functions are evaluated without codegen) unless a field is a container."""
+    functions are evaluated without codegen) unless a field is a container, and
+    only groups with a container are handed on as maps."""
     groups = {g: fields for g, fields in ITEM_GROUPS.items() if g in bronze.columns}
-    rows = bronze.select(*groups, *[container_texts(g, fields).alias(f"{g}_containers") for g, fields in groups.items()])
+    texts = [scalar_text(f"{g}['{f}']").alias(f"{g}_{f}") for g, fields in groups.items() for f in fields]
+    rows = bronze.select(*texts, *[with_containers(g, fields).alias(g) for g, fields in groups.items()])
+    rows = rows.select(*[f"{g}_{f}" for g, fields in groups.items() for f in fields],
+                       *[container_texts(g, fields).alias(f"{g}_containers") for g, fields in groups.items()])
     cols = []
     for g, fields in ITEM_GROUPS.items():
         for f in fields:
-            src = F.coalesce(scalar_text(f"{g}['{f}']"), F.col(f"{g}_containers")[f]) if g in groups else F.lit(None).cast("string")
+            src = F.coalesce(F.col(f"{g}_{f}"), F.col(f"{g}_containers")[f]) if g in groups else F.lit(None).cast("string")
             cols.append(src.alias(f"{g}_{f}"))
     return rows.select(*cols)
 
@@ -105,19 +110,25 @@ def reject_rows(both: DataFrame) -> DataFrame:
     names = [c for c in SILVER_TYPES if f"raw_{c}" in both.columns]
     cells = F.array(*[F.when(F.col(f"raw_{c}").isNotNull() & F.col(c).isNull(),
                              F.struct(F.lit(c).alias("column_name"), F.col(f"raw_{c}").alias("value"))) for c in names])
-    return (both.where("n_rejects > 0").select(F.col("raw_treatment_id").alias("treatment_id"),
-                                               F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("r"))
-            .select("treatment_id", "r.column_name", "r.value"))
+    # no filter before the explode: pushed down to the scan, it would parse and cast every value once more
+    return (both.select(F.col("raw_treatment_id").alias("treatment_id"), F.explode_outer(F.filter(cells, lambda x: x.isNotNull())).alias("r"))
+            .where("r IS NOT NULL").select("treatment_id", "r.column_name", "r.value"))
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:
     """P1: unwrap -> flatten -> combination id -> cast; 31 silver columns.
 
     The typed rows are written once: the pairs, and then the rows, are read from there, so bronze is parsed once."""
+    return add_combo_ids(typed_rows(bronze)).select(*SILVER_COLUMNS)
+
+
+def typed_rows(bronze: DataFrame) -> DataFrame:
+    """The unwrapped, flattened and typed rows, written once."""
     spark, path = bronze.sparkSession, scratch_path(bronze.sparkSession, "typed")
     typed = cast_types(flatten_tagged(bronze))
-    write_table(typed, path)
-    return add_combo_ids(spark.read.schema(typed.schema).parquet(path)).select(*SILVER_COLUMNS)
+    with settings(spark, wide_rows(spark)):
+        write_table(typed, path)
+    return spark.read.schema(typed.schema).parquet(path)
 
 
 # --- typed rows -> tagged items (to produce item files) -------------------------
@@ -125,6 +136,10 @@ def to_silver(bronze: DataFrame) -> DataFrame:
 _NUMERIC = {"LongType", "IntegerType", "DecimalType"}
 
 
+def _kind(name: str) -> str:
+    return "N" if type(SILVER_TYPES[name]).__name__ in _NUMERIC else "S"
+
+
 def items_from_flat(flat: DataFrame) -> DataFrame:
     """Typed 30-column rows -> item rows (struct ``Item``) in the document
     encoding: numbers as N, text and timestamps as S, NULL as the NULL tag."""
@@ -133,15 +148,18 @@ def items_from_flat(flat: DataFrame) -> DataFrame:
         kv = []
         for f in fields:
             name = f"{g}_{f}"
-            kind = "N" if type(SILVER_TYPES[name]).__name__ in _NUMERIC else "S"
-            kv += [F.lit(f), tag_value(F.col(name), kind)]
+            kv += [F.lit(f), tag_value(F.col(name), _kind(name))]
         groups.append(F.struct(F.create_map(*kv).alias("M")).alias(g))
     pk = tag_value(F.col("treatment_id"), "S").alias(PARTITION_KEY_ATTR)
     return flat.select(F.struct(pk, *groups).alias("Item"))
 
 
 def items_json(flat: DataFrame) -> DataFrame:
-    """One JSON text line per item (``value`` column), as an export file holds."""
-    return items_from_flat(flat).select(F.to_json("Item").alias("_item")) \
-        .select(F.concat(F.lit('{"Item":'), F.col("_item"), F.lit("}")).alias("value"))
-
+    """One JSON text line per item (``value`` column), as an export file holds: the text of ``items_from_flat``, whose NULL
+    tags ``to_json`` leaves out, from structs (no map is built, and a value has its own tag and NULL only)."""
+    def value(name: str, kind: str) -> F.Column:
+        c = F.col(name)
+        return F.struct(c.cast("string").alias(kind), F.when(c.isNull(), F.lit(True)).alias("NULL"))
+
+    groups = [F.struct(F.struct(*[value(f"{g}_{f}", _kind(f"{g}_{f}")).alias(f) for f in fields]).alias("M")).alias(g) for g, fields in ITEM_GROUPS.items()]
+    return flat.select(F.to_json(F.struct(F.struct(value("treatment_id", "S").alias(PARTITION_KEY_ATTR), *groups).alias("Item"))).alias("value"))

@@ -23,7 +23,10 @@ data is written; written again it replaces itself.
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +35,14 @@ from ..functions.tags import BRONZE_SCHEMA, RESCUED
 from ..operators import silver as sv
 from ..operators.combos import REGISTRY_SCHEMA, assign_with_registry, registry_update
 from ..operators.ledger import Ledger
+from ..operators.merge_table import settings
 from ..operators.sinks import write_bronze, write_run
 from ..operators.tracker import Tracker, utc_now
 from ..operators.upsert import RunTable
 from ..schemas import ITEM_GROUPS, SILVER_COLUMNS, silver_schema
+from ..session import wide_rows
 from ..sources import layers
-from ..sources.items import bad_lines, is_item, listed_files, modified_at, read_items, scan_items_window
+from ..sources.items import bad_files, bad_lines, is_item, listed_files, modified_at, read_items, scan_items_window, with_file
 
 REJECT_SCHEMA = "kind string, treatment_id string, column_name string, value string, ingest_run_id string"
 
@@ -113,6 +118,15 @@ def read_files(spark: SparkSession, bronze_root: str, run_id: str) -> DataFrame:
     return _side(spark, bronze_root, "files", FILES_SCHEMA, done).select("path", "modified")
 
 
+def in_wide_rows(step: Callable) -> Callable:
+    """A step that runs under the settings for whole items."""
+    @functools.wraps(step)
+    def run(spark: SparkSession, *args, **kwargs):
+        with settings(spark, wide_rows(spark)):
+            return step(spark, *args, **kwargs)
+    return run
+
+
 def bronze_time() -> Column:
     return F.col("metadata")["modified_at"]["S"].try_cast("timestamp_ntz")
 
@@ -153,6 +167,15 @@ def _write_edge(run_rows: DataFrame, edge: DataFrame, newest, lookback: str | No
     write_run(both, f"{bronze_root}_meta/edge", run_id)
 
 
+def _named(paths: list[str], uris: list[str]) -> list[str]:
+    """The paths that the URIs name, escaped or not; all of them, should one URI name none."""
+    spelled = [{u, unquote(u)} for u in (u.replace("file:///", "file:/") for u in uris)]
+    wanted = set().union(*spelled)
+    known = {p.replace("file:///", "file:/"): p for p in paths}
+    return [p for k, p in known.items() if k in wanted] if all(s & known.keys() for s in spelled) else paths
+
+
+@in_wide_rows
 def extract_to_bronze(spark: SparkSession, items_path: str, bronze_root: str, run_id: str | None = None,
                       tracker: Tracker | None = None, lookback: str | None = None, clock=utc_now,
                       modified_after: str | None = None, reject_late: bool = True) -> dict:
@@ -170,10 +193,10 @@ def extract_to_bronze(spark: SparkSession, items_path: str, bronze_root: str, ru
     if tracker:
         tracker.started(*step)
     try:
-        items, edge = read_items(spark, [r["path"] for r in listed]), _side(spark, bronze_root, "edge", EDGE_SCHEMA, committed[-1:])
+        items, edge = with_file(read_items(spark, [r["path"] for r in listed])), _side(spark, bronze_root, "edge", EDGE_SCHEMA, committed[-1:])
         read, kept = Observation(), Observation()
         before = F.lit(False) if low is None else is_item() & (modified_at() < F.lit(low).cast("timestamp_ntz"))
-        window = scan_items_window(items.observe(read, F.count_if(~is_item()).alias("bad"), F.count_if(before).alias("older")),
+        window = scan_items_window(items.observe(read, F.count_if(~is_item()).alias("bad"), F.count_if(before).alias("older"), bad_files()),
                                    low, clock() if mode == "incremental" else None, keep_unknown=True, with_ties=True)
         rows = sv.bronze_from_items(window.where(is_item()))
         if wm is not None:
@@ -182,7 +205,7 @@ def extract_to_bronze(spark: SparkSession, items_path: str, bronze_root: str, ru
                                   F.count(RESCUED).alias("rescued")), bronze_root, run_id)
         got, layer = {**read.get, **kept.get}, layers.read_layer(spark, bronze_root, BRONZE_SCHEMA)
         search = bool(got["older"]) and reject_late
-        refused = [rejected_lines(items)] if got["bad"] else []
+        refused = [rejected_lines(read_items(spark, _named([r["path"] for r in listed], got["bad_files"])))] if got["bad"] else []
         if search:
             refused.append(_late(items, layer.where(F.col("ingest_run_id").isin(committed)), low))
         write_rejects(refused, bronze_root, run_id)
@@ -205,6 +228,7 @@ def extract_to_bronze(spark: SparkSession, items_path: str, bronze_root: str, ru
             "older_rows": got["older"], "late_rows": late, "rescued_rows": got["rescued"]}
 
 
+@in_wide_rows
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, run_id: str,
                      tracker: Tracker | None = None) -> dict:
     done = ledger(spark, silver_root)

@@ -60,6 +60,15 @@ def _conf_get(spark: SparkSession, key: str) -> str | None:
     return value or None
 
 
+def wide_rows(spark: SparkSession) -> dict[str, str]:
+    """Settings for steps that parse, unwrap or cast whole items. Their rows pack to a tenth or less and cost much per byte, so a task gets less
+    than Spark's 128 MB, and there are several tasks per core (else one task more than there are cores takes a second
+    wave). Generated functions beyond 8000 bytes are never compiled by the JVM: such a step runs faster without whole-stage codegen."""
+    return {"spark.sql.files.maxPartitionBytes": "32m",
+            "spark.sql.files.minPartitionNum": str(4 * spark.sparkContext.defaultParallelism),
+            "spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 

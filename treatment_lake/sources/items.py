@@ -19,8 +19,8 @@ from .layers import path_exists
 CORRUPT = "_corrupt_line"
 
 
-#: a gzip file is read by one task: this many lines, some 200 MB of text
-MAX_LINES = 200_000
+#: a gzip file is read by one task: this many lines, some 50 MB of text
+MAX_LINES = 50_000
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "error") -> None:
@@ -66,6 +66,17 @@ def is_item() -> Column:
     return F.col("Item").isNotNull() & F.col(CORRUPT).isNull()
 
 
+def with_file(items: DataFrame) -> DataFrame:
+    """With ``_file``, the place of the file a line comes from (as a URI)."""
+    from_files = bool(items.inputFiles())
+    return items.withColumn("_file", F.col("_metadata.file_path") if from_files else F.lit(None).cast("string"))
+
+
+def bad_files() -> Column:
+    """``bad_files``: the files that hold lines that are no items (as many names at most as the export has files), to be read again."""
+    return F.collect_set(F.when(~is_item(), F.col("_file"))).alias("bad_files")
+
+
 def bad_lines(items: DataFrame) -> DataFrame:
     """``line`` of every line that is no item."""
     return items.where(~is_item()).select(F.coalesce(F.col(CORRUPT), F.to_json("Item"), F.lit("{}")).alias("line"))

@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 from ..functions.tags import BRONZE_SCHEMA
 from ..operators import silver as sv
 from ..operators.dedupe import latest_per_key
-from ..operators.merge_table import MergeTable
+from ..operators.merge_table import MergeTable, settings
 from ..operators.sinks import bulk_append, write_bronze, write_layout, write_table
 from ..operators.upsert import insert_new_only, upsert_type1
 from ..schemas import FACT_SCHEMA, WATERMARK_COLUMN, silver_schema
-from ..session import scratch_path
+from ..session import scratch_path, wide_rows
 from ..sources import layers
 from ..sources.items import read_items, scan_items_window, write_items, write_lines
 from ..sources.tables import Tables, read_table
 from .end_to_end import FIXED_CLOCK, Layout, run_once
 from .gold import gold_tables
 from .queries import text_with_bad_values
-from .registry import flat_snapshot, flat_t, query, silver_snapshot, silver_t
+from .registry import flat_snapshot, flat_t, measured_broadcasts, query, silver_snapshot, silver_t
 from .silver_build import bronze_to_silver, extract_to_bronze, read_silver, rejects, reset_layer
 
 # --- upserts (D0, D0b, D10) --------------------------------------------------------
@@ -142,13 +142,14 @@ def q_multi_source_count(spark, sf_dir):
 
 def _bronze_two_runs(spark, sf_dir) -> str:
     """Item files -> bronze in two ingest runs: finished orders, then the rest."""
-    flat = flat_t(spark, sf_dir)
+    flat = flat_snapshot(spark, sf_dir)
     first = F.col("treatment_outcome_status") == "F"
     root = scratch_path(spark, "bronze")
     for run, cond in (("r1", first), ("r2", ~first | F.col("treatment_outcome_status").isNull())):
         items_path = scratch_path(spark, f"items-{run}")
-        write_items(flat.where(cond), items_path)
-        write_bronze(sv.bronze_from_items(read_items(spark, items_path)), root, run)
+        with settings(spark, wide_rows(spark)):
+            write_items(flat.where(cond), items_path)
+            write_bronze(sv.bronze_from_items(read_items(spark, items_path)), root, run)
     return root
 
 
@@ -162,7 +163,7 @@ def q_bronze_roundtrip(spark, sf_dir):
 def q_read_run(spark, sf_dir):
     bronze = layers.read_layer(spark, _bronze_two_runs(spark, sf_dir), BRONZE_SCHEMA)
     one = layers.read_run(bronze, "r2")
-    return sv.cast_types(sv.flatten_tagged(one))
+    return sv.typed_rows(one)
 
 
 @query("silver_roundtrip")
@@ -251,7 +252,8 @@ def q_file_filter(spark, sf_dir):
 def q_source_to_silver(spark, sf_dir):
     """Item export -> bronze run -> silver table, read back."""
     items_path = scratch_path(spark, "export")
-    write_items(flat_t(spark, sf_dir), items_path)
+    with settings(spark, measured_broadcasts(spark)):
+        write_items(flat_t(spark, sf_dir), items_path)
     bronze_root = scratch_path(spark, "bronze")
     silver_root = scratch_path(spark, "silver")
     run = extract_to_bronze(spark, items_path, bronze_root)
@@ -282,7 +284,8 @@ def q_empty_export(spark, sf_dir):
 def q_pipeline_rejects(spark, sf_dir):
     """An export with values that do not cast and lines that are no items: what the pipeline refused, by kind and column."""
     items_path, bronze_root, silver_root = (scratch_path(spark, n) for n in ("export", "bronze", "silver"))
-    write_lines(sv.items_json(text_with_bad_values(spark, sf_dir)), items_path)
+    with settings(spark, measured_broadcasts(spark)):
+        write_lines(sv.items_json(text_with_bad_values(spark, sf_dir)), items_path)
     broken = Tables(spark, sf_dir).orders.where("o_orderstatus = 'P'").select(
         F.concat(F.lit('{"Item": {"treatment": '), F.col("o_orderkey").cast("string")).alias("value"))
     write_lines(broken, items_path, "append")
@@ -296,7 +299,8 @@ def q_pipeline_rejects(spark, sf_dir):
 def q_layer_reset(spark, sf_dir):
     """A loaded layer, the same layer after its reset, and after it was loaded again."""
     items_path, bronze_root = scratch_path(spark, "export"), scratch_path(spark, "bronze")
-    write_items(flat_t(spark, sf_dir), items_path)
+    with settings(spark, measured_broadcasts(spark)):
+        write_items(flat_t(spark, sf_dir), items_path)
     out = []
     for state in ("loaded", "reset", "loaded again"):
         if state == "reset":

@@ -32,6 +32,7 @@ from ..operators.merge_table import settings
 from ..operators.sinks import write_bronze, write_table
 from ..operators.tracker import Tracker
 from ..plans.silver_build import bronze_time, ledger, rejected_lines, write_rejects, write_rescued
+from ..session import wide_rows
 from ..sources import layers
 from ..sources.items import CORRUPT, is_item, item_reader, modified_at
 
@@ -107,7 +108,7 @@ def stream_bronze(spark: SparkSession, export_glob: str, bronze_root: str, check
 
     spark.streams.addListener(listener)
     try:
-        with settings(spark, STATE):
+        with settings(spark, {**STATE, **wide_rows(spark)}):
             q = (arrivals(spark, export_glob, delay, max_files).writeStream.queryName(name).foreachBatch(per_batch)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
             q.awaitTermination(timeout_s)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,6 +161,46 @@ def rescued_text(item: str = "Item") -> Column:
     return F.expr(f"CASE WHEN {' AND '.join(usual)} THEN CAST(NULL AS STRING) ELSE {whole} END")
 
 
+# --- bronze rows as one text (to be moved between tasks) ---------------------
+
+_NEXT, _OTHER = "\x01", "\x02"  # between the values of a packed row; in place of a value that has no packed form
+_GROUPS_DDL = ", ".join(f"{g} map<string,{_value_ddl(0)}>" for g in ITEM_GROUPS)
+
+
+def packed_groups(rows: DataFrame, name: str) -> DataFrame:
+    """The groups of bronze rows as one text column: the values alone, each after a letter for its tag, where every group has its
+    known fields in their order and each value is one S, N or NULL; JSON for other rows. ``unpacked_groups`` gives the groups
+    back. Rows of maps are names and absent tags for the most part."""
+    plain = " AND ".join(f"v.{t} IS NULL" for t in ("BOOL", "SS", "NS", "B", "BS", "L", "M"))
+    value = (f"CASE WHEN {plain} AND NOT contains(coalesce(v.S, v.N, ''), '{_NEXT}') THEN CASE WHEN v.N IS NULL AND v.`NULL` IS NULL THEN concat('S', v.S) "
+             "WHEN v.S IS NULL AND v.`NULL` IS NULL THEN concat('N', v.N) WHEN v.S IS NULL AND v.N IS NULL AND v.`NULL` THEN '0' END END")
+    usual = " AND ".join(f"map_keys({g}) = array({', '.join(repr(f) for f in fields)})" for g, fields in ITEM_GROUPS.items())
+    values = f"concat({', '.join(f'map_values({g})' for g in ITEM_GROUPS)})"
+    short = F.expr(f"CASE WHEN {usual} THEN array_join(transform({values}, v -> coalesce({value}, '{_OTHER}')), '{_NEXT}') END")
+    rows = rows.withColumn(name, short)
+    whole = F.to_json(F.struct(*ITEM_GROUPS))
+    return rows.withColumn(name, F.when(F.col(name).isNotNull() & ~F.col(name).contains(_OTHER), F.col(name)).otherwise(whole)).drop(*ITEM_GROUPS)
+
+
+def unpacked_groups(rows: DataFrame, name: str) -> DataFrame:
+    """The group columns of what ``packed_groups`` made, in place of the text."""
+    def value(i: int) -> str:
+        p = f"get(_parts, {i})"
+        tags = {f.name: f"CAST(NULL AS {f.dataType.simpleString()})" for f in VALUE.fields}
+        tags |= {t: f"CASE WHEN startswith({p}, '{t}') THEN substring({p}, 2) END" for t in ("S", "N")} | {"NULL": f"CASE WHEN {p} = '0' THEN true END"}
+        return f"named_struct({', '.join(f'{t!r}, {v}' for t, v in tags.items())})"
+
+    kept = [c for c in rows.columns if c != name]
+    rows = rows.select(*kept, F.expr(f"CASE WHEN startswith({name}, '{{') THEN from_json({name}, '{_GROUPS_DDL}') END").alias("_whole"),
+                       F.expr(f"split({name}, '{_NEXT}', -1)").alias("_parts"))
+    groups, at = [], 0
+    for g, fields in ITEM_GROUPS.items():
+        short = f"map({', '.join(f'{f!r}, {value(at + i)}' for i, f in enumerate(fields))})"
+        groups.append(F.expr(f"CASE WHEN _whole IS NULL THEN {short} ELSE _whole.{g} END").alias(g))
+        at += len(fields)
+    return rows.select(*groups, *kept)
+
+
 # --- building tagged values (used to produce item files from typed rows) ----
 
 def tag_value(c: Column, kind: str) -> Column:

@@ -7,6 +7,8 @@ write (plus the small combination-id side plan).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,13 +23,13 @@ from .sinks import write_table
 # --- items <-> bronze ---------------------------------------------------------
 
 
-def bronze_from_items(items: DataFrame, run_id: str | None = None) -> DataFrame:
+def bronze_from_items(items: DataFrame, run_id: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Strip the outer ``M`` tag of each group. The partition-key attribute is not carried over; what has no column
-    (only items read from files can have it) is kept as text in ``rescued``."""
+    (only items read from files can have it) is kept as text in ``rescued``. ``keep``: columns beside the item that stay."""
     cols = [F.col(f"Item.{g}.M").alias(g) for g in ITEM_GROUPS]
     from_files = isinstance(items.schema["Item"].dataType, T.MapType)
     rescued = rescued_text() if from_files else F.lit(None).cast("string")
-    return items.select(*cols, rescued.alias(RESCUED), F.lit(run_id).cast("string").alias("ingest_run_id"))
+    return items.select(*cols, rescued.alias(RESCUED), F.lit(run_id).cast("string").alias("ingest_run_id"), *keep)
 
 
 def rescued_names(bronze: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators import silver as sv
 from ..operators.combos import add_combo_ids
 from ..operators.merge_table import settings
 from ..operators.sinks import write_table
-from ..session import scratch_path
+from ..session import SHUFFLES_GO, scratch_path
 from ..sources.adapter import flat_records
 from ..sources.tables import Tables
 from .star import build_star
@@ -57,7 +57,7 @@ def flat_snapshot(spark: SparkSession, sf_dir: str, columns: Sequence[str] | Non
     row per treatment, so no tie is decided by them)."""
     rows = flat_t(spark, sf_dir)
     path = scratch_path(spark, "flat-snapshot")
-    with settings(spark, measured_broadcasts(spark)):
+    with settings(spark, measured_broadcasts(spark) | SHUFFLES_GO):
         write_table(rows.select(*[c for c in rows.columns if columns is None or c in columns]), path)
     return spark.read.schema(rows.schema).parquet(path)
 

@@ -80,8 +80,13 @@ def rescued(spark: SparkSession, bronze_root: str) -> DataFrame:
 
 
 def rejected_lines(items: DataFrame) -> DataFrame:
+    return line_rejects(bad_lines(items))
+
+
+def line_rejects(lines: DataFrame) -> DataFrame:
+    """Reject rows of the lines (``line``) that are no items."""
     nothing = F.lit(None).cast("string")
-    return bad_lines(items).select(F.lit("line").alias("kind"), nothing.alias("treatment_id"), nothing.alias("column_name"), F.col("line").alias("value"))
+    return lines.select(F.lit("line").alias("kind"), nothing.alias("treatment_id"), nothing.alias("column_name"), F.col("line").alias("value"))
 
 
 def combo_registry(spark: SparkSession, silver_root: str) -> RunTable:

@@ -69,6 +69,10 @@ def wide_rows(spark: SparkSession) -> dict[str, str]:
             "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
+#: a query's shuffle files go when it ends; else they stay on the executors' disks until the driver happens to collect its garbage
+SHUFFLES_GO = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -110,7 +114,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Removes the intermediate tables of this process (frames that read them can no longer be evaluated)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     while _HANDED_OUT:
-        path = hadoop.Path(_HANDED_OUT.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _HANDED_OUT[-1])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes one intermediate table of this process."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _HANDED_OUT.remove(path)

@@ -77,9 +77,14 @@ def bad_files() -> Column:
     return F.collect_set(F.when(~is_item(), F.col("_file"))).alias("bad_files")
 
 
+def bad_line() -> Column:
+    """Text of a line that is no item, NULL for an item."""
+    return F.when(~is_item(), F.coalesce(F.col(CORRUPT), F.to_json("Item"), F.lit("{}")))
+
+
 def bad_lines(items: DataFrame) -> DataFrame:
     """``line`` of every line that is no item."""
-    return items.where(~is_item()).select(F.coalesce(F.col(CORRUPT), F.to_json("Item"), F.lit("{}")).alias("line"))
+    return items.where(~is_item()).select(bad_line().alias("line"))
 
 
 def modified_at() -> Column:

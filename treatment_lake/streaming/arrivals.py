@@ -10,6 +10,10 @@ watermark's time are admitted, repeated ones are dropped. Items more than
 watermark and counted. Items without a readable time, and lines that are no
 items, pass beside the state.
 
+A row goes to the state with its groups packed as one text (as maps of tags the rows take three times the
+shuffle). What the state lets through is stored once, in a scratch table of packed rows that goes when
+the batch has been written, so the state is evaluated once a batch.
+
 A batch is counted while it runs: ``BatchCounts`` is a query listener that keeps each
 batch's observed metrics and its state operator's late count. They are
 compared with the rows written (observed by the write) in the tracker, and kept in
@@ -21,23 +25,25 @@ from __future__ import annotations
 import threading
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from ..functions.tags import BRONZE_SCHEMA, RESCUED
+from ..functions.tags import BRONZE_SCHEMA, RESCUED, packed_groups, unpacked_groups
 from ..operators import silver as sv
 from ..operators.merge_table import settings
 from ..operators.sinks import write_bronze, write_table
 from ..operators.tracker import Tracker
-from ..plans.silver_build import bronze_time, ledger, rejected_lines, write_rejects, write_rescued
-from ..session import wide_rows
+from ..plans.silver_build import bronze_time, ledger, line_rejects, write_rejects, write_rescued
+from ..session import SHUFFLES_GO, remove, scratch_path, wide_rows
 from ..sources import layers
-from ..sources.items import CORRUPT, is_item, item_reader, modified_at
+from ..sources.items import CORRUPT, bad_line, is_item, item_reader, modified_at
 
+#: of a row that the state lets through: an item's groups and what has no column, or a line that is no item
+ARRIVED = ("packed", RESCUED, "line")
 STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+         "spark.sql.streaming.stateStore.compression.codec": "zstd"}
 ARRIVALS = "ingest_run_id string, batch_id long, lines_read long, items_read long, bad_lines long, late_items long, repeated_lines long, refused_lines long, admitted_items long"
 
 
@@ -78,8 +84,10 @@ def arrivals(spark: SparkSession, export_glob: str, delay: str, max_files: int |
     item = is_item()
     lines = reader.json(export_glob).withColumn("event_time", F.when(item, modified_at()).cast("timestamp"))
     text = F.when(item, F.to_json("Item")).otherwise(F.concat(F.lit("no item "), F.coalesce(F.col(CORRUPT), F.to_json("Item"), F.lit(""))))
-    return (lines.observe("read", F.count(F.lit(1)).alias("lines"), F.count_if(item).alias("items"))
-            .withColumn("digest", F.sha2(text.cast("binary"), 256))
+    lines = (lines.observe("read", F.count(F.lit(1)).alias("lines"), F.count_if(item).alias("items"))
+             .withColumn("digest", F.sha2(text.cast("binary"), 256)).withColumn("line", bad_line()))
+    rows = packed_groups(sv.bronze_from_items(lines, keep=["event_time", "digest", "line"]), "packed")
+    return (rows.withColumn("packed", F.when(F.col("line").isNull(), F.col("packed")))
             .withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_time", "digest"]))
 
 
@@ -91,24 +99,25 @@ def stream_bronze(spark: SparkSession, export_glob: str, bronze_root: str, check
 
     def per_batch(batch: DataFrame, number: int) -> None:
         run = f"{name}-{number:08d}"
-        batch = batch.persist(StorageLevel.DISK_ONLY)  # evaluated once; a lost part is computed again from the state's version
+        staged = scratch_path(spark, "arrived")
         try:
-            seen = Observation()
-            rows = sv.bronze_from_items(batch.where(is_item()))
+            write_table(batch.select(*ARRIVED), staged)  # the state is evaluated once, and its rows are stored in columns
+            arrived, seen = spark.read.schema(", ".join(f"{c} string" for c in ARRIVED)).parquet(staged), Observation()
+            rows = unpacked_groups(arrived.where("line IS NULL").select("packed", RESCUED), "packed")
             rows = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.max(bronze_time()).alias("wm"), F.count(RESCUED).alias("rescued"))
             write_bronze(rows, bronze_root, run)
             write_rescued(layers.read_run(layers.read_layer(spark, bronze_root, BRONZE_SCHEMA), run), seen.get["rescued"], bronze_root, run)
-            bad = rejected_lines(batch)
+            bad = line_rejects(arrived.where("line IS NOT NULL"))
             n_bad = bad.count()
             write_rejects([bad] if n_bad else [], bronze_root, run)
         finally:
-            batch.unpersist()
+            remove(spark, staged)
         written[number] = (run, seen.get["n"], n_bad)
         done.commit(run, seen.get["n"], seen.get["wm"])
 
     spark.streams.addListener(listener)
     try:
-        with settings(spark, {**STATE, **wide_rows(spark)}):
+        with settings(spark, {**STATE, **SHUFFLES_GO, **wide_rows(spark)}):
             q = (arrivals(spark, export_glob, delay, max_files).writeStream.queryName(name).foreachBatch(per_batch)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
             q.awaitTermination(timeout_s)

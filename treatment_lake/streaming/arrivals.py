@@ -43,7 +43,8 @@ from ..sources.items import CORRUPT, bad_line, is_item, item_reader, modified_at
 ARRIVED = ("packed", RESCUED, "line")
 STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-         "spark.sql.streaming.stateStore.compression.codec": "zstd"}
+         "spark.sql.streaming.stateStore.compression.codec": "zstd",  # digests are hex
+         "spark.sql.streaming.stateStore.rocksdb.compression": "zstd"}
 ARRIVALS = "ingest_run_id string, batch_id long, lines_read long, items_read long, bad_lines long, late_items long, repeated_lines long, refused_lines long, admitted_items long"
 
 
